@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vanewright.catalog import profiles
+from vanewright.catalog import ordered, profiles, projections, streams, texts
 from vanewright.catalog.views import Entry
 
-MODULES = [profiles]
+MODULES = [projections, profiles, ordered, texts, streams]
 
 
 def entries() -> dict[str, Entry]:

@@ -45,8 +45,9 @@ def fleet_schema(features: Sequence[str] = FEATURES) -> T.StructType:
 
 
 def packet_schema(features: Sequence[str] = FEATURES) -> T.StructType:
-    """JSON packet; ids travel as doubles and both label spellings are accepted."""
-    names = [*features, "unit", "cycle", "Fc", "rul", "RUL"]
+    """JSON packet; ids travel as doubles.  Column names ignore case, so the label's
+    second spelling (``RUL``) is read by path when ``rul`` is absent."""
+    names = [*features, "unit", "cycle", "Fc", "rul"]
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names]
                         + [T.StructField("timestamp_ms", T.LongType())])
 

@@ -47,7 +47,8 @@ def decode_packets(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFra
     return _parsed(df, features).where(_well_formed()).select(
         safe_int(p["unit"]).alias("unit"), safe_int(p["cycle"]).alias("cycle"),
         p["timestamp_ms"].alias("timestamp_ms"),
-        F.coalesce(p["rul"], p["RUL"], F.lit(0.0)).alias("true_rul"),
+        F.coalesce(p["rul"], F.get_json_object("value", "$.RUL").try_cast("double"),
+                   F.lit(0.0)).alias("true_rul"),
         *[F.coalesce(p[f], F.lit(0.0)).alias(f) for f in features])
 
 

@@ -79,7 +79,8 @@ def stream_windows(packets: DataFrame, features: Sequence[str] = FEATURES,
     """Sliding windows per unit with session resets, emitted when full.
 
     State per unit is bounded: ``size - 1`` packets, a cycle and a counter.
-    Rows of a micro-batch are ordered by event time inside a unit.
+    Rows of a micro-batch are ordered by event time inside a unit; after
+    ``with_watermark`` packets behind the watermark are dropped.
     """
     spark = packets.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
@@ -88,10 +89,12 @@ def stream_windows(packets: DataFrame, features: Sequence[str] = FEATURES,
               T.StructField("session_id", T.LongType()), T.StructField("window", window)]
     ring = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
     processor = _WindowState(features, carry, size, ring, compat_drop_first, order)
-    needed = dict.fromkeys(["unit", "cycle", order, *carry, *features])
+    timed = "event_time" in packets.columns
+    needed = dict.fromkeys(["unit", "cycle", order, *carry, *features]
+                           + (["event_time"] if timed else []))
     return (packets.select(*needed).groupBy("unit").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=T.StructType(fields),
-        outputMode="Append", timeMode="None"))
+        outputMode="Append", timeMode="EventTime" if timed else "None"))
 
 
 @dataclass(frozen=True)
