@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vanewright.catalog import views as v
 from vanewright.catalog.views import Entry, oracle
 from vanewright.operators import text as t
+from vanewright.plans.sizing import spread
 from vanewright.sources import sinks
 
 # Line-wise counterparts of the section cutters.
@@ -78,18 +79,18 @@ def _article_rows(s, d):
 
 
 def _paragraphs(s, d):
-    out = v.table(s, d, "documents").withColumn("p", t.clean_paragraphs("text"))
+    out = spread(v.table(s, d, "documents")).withColumn("p", t.clean_paragraphs("text"))
     return out.select("doc_id", F.size("p").alias("paragraphs"), F.md5(F.array_join("p", "\n")).alias("digest"))
 
 
 def _markdown(s, d):
-    out = t.html_to_markdown(v.table(s, d, "pages"), "html", ("script", "style", "nav", "footer"))
+    out = t.html_to_markdown(spread(v.table(s, d, "pages")), "html", ("script", "style", "nav", "footer"))
     return out.select("page_id", F.md5("markdown").alias("digest"), F.length("markdown").alias("chars"))
 
 
 def _guides(s, d):
     """Pages with a code block appended, through protection and sections."""
-    p = v.table(s, d, "pages").withColumn("html", F.concat(
+    p = spread(v.table(s, d, "pages")).withColumn("html", F.concat(
         "html", F.lit("<h2>Example</h2><pre>select\n  "), F.col("page_id").cast("string"), F.lit("</pre>")))
     md = t.html_to_markdown(p, "html", ("script", "style", "nav", "footer"), protect_pre=True)
     rows = t.explode_fragments(t.chunk_by_headers(md, "markdown", codes="codes"), ["page_id"])

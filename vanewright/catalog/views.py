@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vanewright.operators.windows import raw_rul, session_ids
 from vanewright.plans.lineage import checkpoint_dir
+from vanewright.plans.sizing import spread
 from vanewright.session import configure
 
 
@@ -121,7 +122,7 @@ def documents_with(spark: SparkSession, d: str, style: str) -> DataFrame:
                 else F.concat(F.lit("Article "), i.cast("string"), F.lit(" "), line))
         return F.when(i % 3 == 0, head).otherwise(line)
     lines = F.transform(F.split("text", "\n"), mark)
-    return table(spark, d, "documents").select("doc_id", "source",
+    return spread(table(spark, d, "documents")).select("doc_id", "source",
                                                F.array_join(lines, "\n").alias("text"))
 
 

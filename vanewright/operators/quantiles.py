@@ -32,15 +32,27 @@ def _value(f: str) -> Column:
 
 def _pick(ranked: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
     """Quantiles from rows (value, n, first rank, last rank, total)."""
-    aggs = []
+    aggs, needed = [], F.lit(False)
     for name, p in probs.items():
         spot = (F.col("total") - 1) * F.lit(p)
         low, high = F.floor(spot), F.ceil(spot)
+        needed = needed | (F.col("lo") <= high) & (low <= F.col("hi"))
         at_low = F.max(F.when((F.col("lo") <= low) & (low <= F.col("hi")), F.col("value")))
         at_high = F.max(F.when((F.col("lo") <= high) & (high <= F.col("hi")), F.col("value")))
         share = F.max(spot - low)
         aggs.append((at_low + (at_high - at_low) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*aggs)
+    return ranked.where(needed).groupBy(*keys).agg(*aggs)
+
+
+def _in_one_buffer(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
+                   by: Sequence[str]) -> DataFrame:
+    """The built-in exact percentile; for inputs whose values fit a task."""
+    points = F.array(*[F.lit(p) for p in probs.values()])
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.percentile(_value(f), points).alias("q"))
+                     for f in features])
+    wide = (df.groupBy(*by) if by else df.groupBy()).agg(rows.alias("__rows"))
+    return wide.select(*by, F.inline("__rows")).select(
+        *by, "feature", *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(probs)])
 
 
 def _by_counts(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
@@ -105,6 +117,8 @@ def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str,
                     by: Sequence[str] = ()) -> DataFrame:
     """One row per (group, feature) with a column per named quantile."""
     policy = SizePolicy.of(df.sparkSession)
+    if is_small(df, policy.broadcast_bytes):
+        return _in_one_buffer(df, features, probs, by)
     if by or is_small(df, policy.small_bytes):
         return _by_counts(df, features, probs, by)
     return _by_brackets(df, features, probs)

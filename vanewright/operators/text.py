@@ -20,33 +20,40 @@ from vanewright.operators.scanner import MarkdownBuilder
 # Separator put between pieces; a code point no text contains.
 CUT = "\ufdd0"
 _GAP = r"[^\S\n]"   # white space inside a line
-# (?d) only \n ends a line, (?m) per line, (?U) Unicode white space and digits.
-_FLAGS = "(?dmU)"
 
-# Heading and clean-up patterns.
-LINE_ENDS = r"\r\n|[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
-ARTICLE_LINE = (r"^(?:#+" + _GAP + r"+)?(?:\*\*|__)?(?:Article|Chapter|Section)"
+# Line ends, white space, headings, clean-up patterns, list starts.
+LINE_ENDS = r"[\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+ARTICLE_LINE = (r"(?:#+" + _GAP + r"+)?(?:\*\*|__)?(?:Article|Chapter|Section)"
                 + _GAP + r"+\d+")
 ARTICLE_ID = r"(?U)Article\s+(\d+\w?)"
-HEADER_LINE = r"^#{1,5}" + _GAP
-JSON_LD = r'(?U)\{"@context":[^\n]*\}'
-ANCHOR_LINK = r"\[([^\]]+)\]\(#[^\)]+\)"
-SEGMENT_START = r"(?:[*\-+>]|1\.|2\.|3\.|Yes:|No:)"
+HEADER_LINE = r"#{1,5}" + _GAP
+JSON_LD_START, JSON_LD = '{"@context":', r'\{"@context":[^\n]*\}'
+ANCHOR_START, ANCHOR_LINK = "](#", r"\[([^\]]+)\]\(#[^\)]+\)"
+LIST_MARKS, NUMBER_MARKS, LABELS = ["*", "-", "+", ">"], ["1.", "2.", "3."], ["Yes:", "No:"]
 CODE_TOKEN = r"CODETOKEN\d+BLOCK"
 
 
 def unified_lines(text: Column | str) -> Column:
     """All line terminators become a line feed."""
-    return F.regexp_replace(col_of(text), LINE_ENDS, "\n")
+    c = F.replace(col_of(text), F.lit("\r\n"), F.lit("\n"))
+    return F.regexp_replace(c, LINE_ENDS, "\n")
 
 
 def strip(c: Column) -> Column:
     """Trim white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def _pieces(text: Column, line: str) -> Column:
-    return F.split(text, f"{_FLAGS}(?={line})")
+    """Cut before every line that starts with the pattern."""
+    return F.split(text, rf"(?U)\n(?={line})")
+
+
+def _without(c: Column, start: str, pattern: str, by: str) -> Column:
+    """Regex replacement, tried only on texts that contain a fixed part of it."""
+    return F.when(F.contains(c, F.lit(start)), F.regexp_replace(c, pattern, by)).otherwise(c)
 
 
 def clean_paragraphs(text: Column | str, code_tokens: bool = False) -> Column:
@@ -56,21 +63,20 @@ def clean_paragraphs(text: Column | str, code_tokens: bool = False) -> Column:
     lines of a paragraph, and starts a new paragraph at list items and labels;
     a line with a code token stands alone.
     """
-    c = F.regexp_replace(col_of(text), JSON_LD, "")
-    c = F.regexp_replace(c, ANCHOR_LINK, "$1")
-    c = F.replace(c, F.lit("\n\n"), F.lit(CUT))
-    # Strip every line and drop the empty ones; separators are not white space.
-    c = F.regexp_replace(c, rf"(?U)\s*\n\s*", "\n")
-    edge = f"(?:^|(?<=[\n{CUT}]))"
-    if code_tokens:
-        c = F.regexp_replace(c, rf"{edge}([^\n{CUT}]*{CODE_TOKEN}[^\n{CUT}]*)", f"{CUT}$1{CUT}")
-    c = F.regexp_replace(c, rf"(?U){edge}\s*(?={SEGMENT_START})", CUT)
-    joined = F.transform(F.split(c, CUT), lambda p: F.regexp_replace(strip(p), "\n", " "))
-    return F.filter(F.transform(joined, strip), lambda p: p != "")
+    c = _without(col_of(text), JSON_LD_START, JSON_LD, "")
+    c = _without(c, ANCHOR_START, ANCHOR_LINK, "$1")
 
+    def marked(line: Column) -> Column:
+        s = strip(line)
+        starts = (F.substring(s, 1, 1).isin(*LIST_MARKS) | F.substring(s, 1, 2).isin(*NUMBER_MARKS)
+                  | s.startswith(LABELS[0]) | s.startswith(LABELS[1]))
+        out = F.when(line == "", F.lit(CUT))
+        if code_tokens:
+            out = out.when(s.rlike(CODE_TOKEN), F.concat(F.lit(CUT), s, F.lit(CUT)))
+        return out.when(starts, F.concat(F.lit(CUT), s)).otherwise(s)
 
-def markdown_lines(text: Column | str) -> Column:
-    return unified_lines(text)
+    lines = F.filter(F.transform(F.split(c, "\n"), marked), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.array_join(lines, " "), CUT), strip), lambda p: p != "")
 
 
 def chunk_by_articles(df: DataFrame, text: str, name: str = "fragments") -> DataFrame:
@@ -82,12 +88,12 @@ def chunk_by_articles(df: DataFrame, text: str, name: str = "fragments") -> Data
     pieces = _pieces(F.col(text), ARTICLE_LINE)
 
     def fragment(p: Column) -> Column:
-        headed = p.rlike(f"{_FLAGS}\\A{ARTICLE_LINE}")
-        header = strip(F.substring_index(p, "\n", 1))
-        body = F.when(F.contains(p, F.lit("\n")),
-                      strip(F.regexp_replace(p, r"(?d)\A[^\n]*\n", ""))).otherwise("")
+        line = F.substring_index(p, "\n", 1)
+        headed = line.rlike(f"(?U)^{ARTICLE_LINE}")
+        header = strip(line)
+        body = strip(F.substr(p, F.length(line) + 2))
         found = F.regexp_extract(header, ARTICLE_ID, 1)
-        section = strip(F.regexp_replace(header, "^#+", ""))
+        section = strip(F.ltrim(header, F.lit("#")))
         return F.struct(
             F.when(headed, section).otherwise("Preamble/Recitals").alias("section"),
             F.when(headed, F.when(found != "", found).otherwise(header)).alias("article_id"),
@@ -97,10 +103,6 @@ def chunk_by_articles(df: DataFrame, text: str, name: str = "fragments") -> Data
     return df.withColumn(name, F.filter(made, lambda f: (f["type"] == "article") | (f["text"] != "")))
 
 
-def _header_of(piece: Column) -> Column:
-    return F.substring_index(piece, "\n", 1)
-
-
 def chunk_by_headers(df: DataFrame, text: str, name: str = "fragments",
                      codes: str | None = None) -> DataFrame:
     """Array of section fragments: (section, level, type, text paragraphs).
@@ -113,16 +115,15 @@ def chunk_by_headers(df: DataFrame, text: str, name: str = "fragments",
     tokens = codes is not None
 
     def fragment(p: Column) -> Column:
-        headed = p.rlike(f"{_FLAGS}\\A{HEADER_LINE}")
-        line = _header_of(p)
-        title = strip(F.regexp_replace(line, r"(?U)\A#{1,5}\s+", ""))
-        cleaned = clean_paragraphs(title, tokens)
-        level = F.length(F.regexp_extract(line, r"\A(#{1,5})", 1))
+        line = F.substring_index(p, "\n", 1)
+        headed = line.rlike(f"(?U)^{HEADER_LINE}")
+        level = F.length(line) - F.length(F.ltrim(line, F.lit("#")))
+        title = strip(F.ltrim(line, F.lit("#")))
         body = clean_paragraphs(p, tokens)
         if codes is not None:
             body = F.transform(body, lambda q: restore_code(q, F.col(codes)))
         return F.struct(
-            F.when(headed, F.coalesce(F.get(cleaned, F.lit(0)), title))
+            F.when(headed, F.coalesce(F.get(clean_paragraphs(title, tokens), F.lit(0)), title))
              .otherwise("Introduction").alias("section"),
             F.when(headed, level).otherwise(0).alias("level"),
             F.lit("guide_section").alias("type"), body.alias("text"))
@@ -146,7 +147,7 @@ def explode_fragments(df: DataFrame, keys: Sequence[str], name: str = "fragments
 
 def outline(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """Heading lines of level 1 to 5: order, level, title."""
-    found = F.regexp_extract_all(unified_lines(text), F.lit(_FLAGS + r"^(#{1,5}" + _GAP + r"[^\n]*)$"),
+    found = F.regexp_extract_all(unified_lines(text), F.lit(r"(?dmU)^(#{1,5}" + _GAP + r"[^\n]*)$"),
                                  F.lit(1))
     heads = df.select(*keys, F.posexplode(found).alias("heading_no", "__h"))
     return heads.select(*keys, "heading_no",

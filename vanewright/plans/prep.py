@@ -13,7 +13,7 @@ from vanewright.functions.scalars import extract_key, flatten_window
 from vanewright.operators.project import stats_map, zscore
 from vanewright.operators.scaling import compute_scalers
 from vanewright.operators.windows import moving_average, stride_sample, training_windows
-from vanewright.plans.sizing import lookup_join
+from vanewright.plans.sizing import lookup_join, pinned
 from vanewright.schemas import REPLAY_FLEET
 from vanewright.sources.sinks import write_splits
 
@@ -85,11 +85,11 @@ def extract_splits(df: DataFrame, val_units: DataFrame, split: str = "split", te
 def prepare(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     """Splits, scalers of the train rows only, optional smoothing, z-scores.
 
-    Two scans: a narrow one for the scalers, the main one for the rows.  The
-    scalers are one row per feature and enter the plan as literals.
+    The chosen units are computed once, so scalers and rows see the same split.
+    The scalers are one row per feature and enter the plan as literals.
     """
     dev = df.where(F.col("split") != "test")
-    val_units = choose_validation_units(dev, cfg.val_fraction, cfg.seed)
+    val_units = pinned(choose_validation_units(dev, cfg.val_fraction, cfg.seed))
     tagged = extract_splits(df, val_units)
     train = tagged.where(F.col("part") == "train")
     stats = stats_map(compute_scalers(train, cfg.features, pooled=cfg.pooled))

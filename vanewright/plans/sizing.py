@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vanewright.plans.lineage import cut
+
 CONF_PREFIX = "spark.vanewright."
 
 
@@ -55,6 +57,22 @@ def is_small(df: DataFrame, limit: int) -> bool:
     return size is not None and size <= limit
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few splits, such as one file with one row
+    group.  Only for small inputs; a large one has enough splits and is left as
+    it is."""
+    if not is_small(df, SizePolicy.of(df.sparkSession).small_bytes):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """A table that several later steps read, computed once: held by the driver
+    if it is small enough, otherwise checkpointed."""
+    copy = bounded_copy(df, SizePolicy.of(df.sparkSession).broadcast_rows)
+    return copy if copy is not None else cut(df)
+
+
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality of the key columns of two sides."""
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
