@@ -47,7 +47,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimised plan, None if unavailable."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except (AttributeError, TypeError, ValueError):
         return None
 
