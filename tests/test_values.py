@@ -195,19 +195,21 @@ def brute_lowess(x, y, frac, iters):
     return np.where(np.isnan(fit), y, fit)
 
 
-@pytest.mark.parametrize("iters", [0, 2])
-def test_lowess(spark, iters):
+@pytest.mark.parametrize("iters,split", [(0, False), (2, False), (1, True)])
+def test_lowess(spark, request, iters, split):
+    if split:       # reduced series of more than 25 points are cut into blocks
+        request.getfixturevalue("split_groups")
     rng = np.random.default_rng(2)
     parts = []
     for unit, n in [(1, 120), (2, 40), (3, 4)]:
-        x = np.sort(rng.integers(0, 30, n)).astype(float)
+        x = np.sort(rng.integers(0, 60, n)).astype(float)
         parts.append(pd.DataFrame({"unit": unit, "x": x, "y": np.sin(x / 5) + rng.normal(0, 0.2, n)}))
     pdf = pd.concat(parts, ignore_index=True)
     pdf["id"] = range(len(pdf))
-    got = smoothing.lowess(spark.createDataFrame(pdf), "x", "y", 0.4, ["unit"], iters).toPandas().sort_values("id")
+    got = smoothing.lowess(spark.createDataFrame(pdf), "x", "y", 0.25, ["unit"], iters).toPandas().sort_values("id")
     for unit, g in pdf.groupby("unit"):
         mine = got[got["unit"] == unit]["y_smooth"].to_numpy()
-        want = brute_lowess(g["x"].to_numpy(), g["y"].to_numpy(), 0.4, iters) if len(g) >= 5 else g["y"].to_numpy()
+        want = brute_lowess(g["x"].to_numpy(), g["y"].to_numpy(), 0.25, iters) if len(g) >= 5 else g["y"].to_numpy()
         np.testing.assert_allclose(mine, want, atol=1e-8)
 
 

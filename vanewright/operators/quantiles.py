@@ -100,7 +100,8 @@ def _by_brackets(df: DataFrame, features: Sequence[str],
         F.when(_value(f).between(F.lit(lo), F.lit(hi)),
                F.struct(F.lit(f).alias("feature"), F.lit(name).alias("q"), _value(f).alias("value")))
         for f, name, lo, hi, _ in brackets]))
-    inside = df.select(F.inline(tags))
+    # The outer form keeps the tags from being computed twice (see text operators).
+    inside = df.select(F.inline_outer(tags)).where(F.col("q").isNotNull())
     counts = inside.groupBy("feature", "q", "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_sum(counts, ["feature", "q"], ["value"], "n", "cum")
     ranked = (ranked.join(F.broadcast(table), ["feature", "q"])

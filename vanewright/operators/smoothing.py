@@ -18,56 +18,100 @@ from pyspark.sql import functions as F
 
 from vanewright.operators.quantiles import exact_quantiles
 from vanewright.plans.lineage import cut
-from vanewright.plans.sizing import lookup_join
+from vanewright.plans.ordered import running_sum
+from vanewright.plans.sizing import SizePolicy, lookup_join, split_by_heat
 
 MIN_POINTS = 5       # fixed value: shorter series are returned as they are
 MIN_NEIGHBOURS = 2
 
 
-def fit_series(x: np.ndarray, n: np.ndarray, w: np.ndarray, wy: np.ndarray,
-               frac: float) -> np.ndarray:
-    """Local linear fit at each distinct x.
+def fit_series(x: np.ndarray, n: np.ndarray, w: np.ndarray, wy: np.ndarray, k: int,
+               wanted: np.ndarray | None = None) -> np.ndarray:
+    """Local linear fit at each distinct x (sorted), or at the wanted ones.
 
     ``n`` points lie at each x (they count as neighbours), with total robustness
-    weight ``w`` and weighted sum ``wy``.
+    weight ``w`` and weighted sum ``wy``.  The ``k`` nearest points lie in a run
+    of consecutive x, so each fit looks at no more than that run.
     """
-    total = int(n.sum())
-    k = min(total, max(MIN_NEIGHBOURS, int(frac * total + 1e-10)))
-    fitted = np.empty(len(x))
-    for i, at in enumerate(x):
-        dist = np.abs(x - at)
-        near = np.argsort(dist, kind="stable")
-        reach = dist[near[np.searchsorted(np.cumsum(n[near]), k)]]
+    before = np.concatenate([[0], np.cumsum(n)])
+    fitted = np.full(len(x), np.nan)
+    for i in range(len(x)) if wanted is None else np.flatnonzero(wanted):
+        at = x[i]
+        first = np.searchsorted(before, before[i + 1] - k, side="right") - 1
+        starts = np.arange(max(0, first), i + 1)
+        ends = np.searchsorted(before, before[starts] + k, side="left")   # exclusive
+        fits = ends <= len(x)
+        starts, ends = starts[fits], np.maximum(ends[fits], i + 1)
+        if len(starts):
+            reach = np.maximum(at - x[starts], x[ends - 1] - at).min()
+        else:
+            reach = max(at - x[0], x[-1] - at)
+        near = slice(np.searchsorted(x, at - reach, side="left"),
+                     np.searchsorted(x, at + reach, side="right"))
+        dist = np.abs(x[near] - at)
         if reach > 0:
             ratio = dist / reach
             kernel = np.where(ratio < 0.999, (1 - np.minimum(ratio, 1.0) ** 3) ** 3, 0.0)
             kernel[ratio <= 0.001] = 1.0
         else:
             kernel = (dist == 0).astype(float)
-        weight = kernel * w
+        weight = kernel * w[near]
         mass = weight.sum()
         if mass <= 0:
-            fitted[i] = np.nan
             continue
-        mean_x, mean_y = (weight * x).sum() / mass, (kernel * wy).sum() / mass
-        spread = (weight * (x - mean_x) ** 2).sum()
-        if spread <= 1e-12 * max(1.0, mass * reach * reach):
-            fitted[i] = mean_y
-        else:
-            slope = (kernel * wy * (x - mean_x)).sum() / spread
-            fitted[i] = mean_y + slope * (at - mean_x)
+        mean_x, mean_y = (weight * x[near]).sum() / mass, (kernel * wy[near]).sum() / mass
+        spread = (weight * (x[near] - mean_x) ** 2).sum()
+        fitted[i] = mean_y
+        if spread > 1e-12 * max(1.0, mass * reach * reach):
+            slope = (kernel * wy[near] * (x[near] - mean_x)).sum() / spread
+            fitted[i] += slope * (at - mean_x)
     return fitted
 
 
+def _neighbours(total: int, frac: float) -> int:
+    return min(total, max(MIN_NEIGHBOURS, int(frac * total + 1e-10)))
+
+
 def _fit(sums: DataFrame, group: Sequence[str], frac: float) -> DataFrame:
-    schema = sums.select(*group, "__x").schema.add("__fit", "double").add("__total", "long")
+    """Fit every reduced series.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__x")
+    A series longer than a task should hold is cut into blocks of consecutive
+    points, each at least as wide as the neighbourhood; a block is fitted with
+    the blocks beside it at hand, which hold all its neighbours.
+    """
+    keys = list(group)
+    schema = sums.select(*keys, "__x").schema.add("__fit", "double").add("__total", "long")
+
+    def fitted(pdf: pd.DataFrame, total: int, own: np.ndarray | None) -> pd.DataFrame:
         fit = fit_series(pdf["__x"].to_numpy(float), pdf["__n"].to_numpy(float),
-                         pdf["__w"].to_numpy(float), pdf["__wy"].to_numpy(float), frac)
-        return pdf[[*group, "__x"]].assign(__fit=fit, __total=int(pdf["__n"].sum()))
-    return sums.groupBy(*group).applyInPandas(run, schema)
+                         pdf["__w"].to_numpy(float), pdf["__wy"].to_numpy(float),
+                         _neighbours(total, frac), own)
+        out = pdf[[*keys, "__x"]].assign(__fit=fit, __total=total)
+        return out if own is None else out[own]
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return fitted(pdf.sort_values("__x"), int(pdf["__n"].sum()), None)
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__x")
+        own = (pdf["__blk"] == pdf["__home"]).to_numpy()
+        return fitted(pdf, int(pdf["__all"].iloc[0]), own)
+
+    def plain(part: DataFrame) -> DataFrame:
+        return part.groupBy(*keys).applyInPandas(whole, schema)
+
+    def hot(big: DataFrame, _: DataFrame) -> DataFrame:
+        rows = SizePolicy.of(big.sparkSession).hot_rows
+        placed = running_sum(big, keys, ["__x"], "__n", "__cum", "__all")
+        width = F.greatest(F.lit(rows), F.ceil(F.col("__all") * frac), F.lit(MIN_NEIGHBOURS))
+        own = F.floor((F.col("__cum") - 1) / width).cast("long")
+        first = F.floor((F.col("__cum") - F.col("__n")) / width).cast("long")
+        # A point reaches from the block of its first copy to that of its last.
+        copies = placed.withColumns({"__blk": own, "__home": F.sequence(first - 1, own + 1)})
+        spread = copies.withColumn("__home", F.explode("__home"))
+        return spread.groupBy(*keys, "__home").applyInPandas(block, schema)
+
+    return split_by_heat(sums, keys, plain, hot)
 
 
 def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[str] = ("unit",),

@@ -141,15 +141,27 @@ def restore_code(paragraph: Column, codes: Column) -> Column:
 
 def explode_fragments(df: DataFrame, keys: Sequence[str], name: str = "fragments") -> DataFrame:
     """One row per fragment with its position in the document."""
-    out = df.select(*keys, F.posexplode(name).alias("chunk_no", "__f"))
+    out = _posexplode_once(df, keys, F.col(name), "chunk_no", "__f")
     return out.select(*keys, "chunk_no", "__f.*")
 
 
+def _posexplode_once(df: DataFrame, keys: Sequence[str], array: Column, pos: str,
+                     item: str) -> DataFrame:
+    """``posexplode`` that computes its array once.
+
+    For the inner form the optimiser adds a filter on the array's size below the
+    generator, which repeats an expensive expression; the outer form with a
+    filter on its output does not.
+    """
+    out = df.select(*keys, F.posexplode_outer(array).alias(pos, item))
+    return out.where(F.col(pos).isNotNull())
+
+
 def outline(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """Heading lines of level 1 to 5: order, level, title."""
     found = F.regexp_extract_all(unified_lines(text), F.lit(r"(?dmU)^(#{1,5}" + _GAP + r"[^\n]*)$"),
                                  F.lit(1))
-    heads = df.select(*keys, F.posexplode(found).alias("heading_no", "__h"))
+    heads = _posexplode_once(df, keys, found, "heading_no", "__h")
     return heads.select(*keys, "heading_no",
                         F.length(F.regexp_extract("__h", "^(#+)", 1)).alias("level"),
                         strip(F.regexp_replace("__h", r"(?U)^#+\s+", "")).alias("title"))
