@@ -82,6 +82,16 @@ def test_scalers(spark, rows):
     assert total["a"]["std"] == pytest.approx(rows["a"].std(ddof=0))
 
 
+@pytest.mark.parametrize("pooled", ["within", "total"])
+def test_scalers_from_moments(spark, rows, pooled):
+    df = spark.createDataFrame(rows).withColumns({"dataset": F.col("unit") % 3, "unit": F.col("unit")})
+    parts = scaling.moments(df, ["a", "b", "flat"], ["dataset", "unit"])
+    pooled_rows = {r["feature"]: r for r in scaling.pool_moments(parts, pooled=pooled).collect()}
+    for r in scaling.compute_scalers(df, ["a", "b", "flat"], pooled=pooled).collect():
+        assert pooled_rows[r["feature"]]["mean"] == pytest.approx(r["mean"])
+        assert pooled_rows[r["feature"]]["std"] == pytest.approx(r["std"])
+
+
 def test_single_row_dataset_adds_nothing(spark):
     df = spark.createDataFrame([("x", 5.0), ("y", 1.0), ("y", 3.0)], "dataset string, a double")
     got = scaling.compute_scalers(df, ["a"]).first()

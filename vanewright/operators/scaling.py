@@ -35,6 +35,28 @@ def compute_scalers(df: DataFrame, features: Sequence[str], by: str = "dataset",
         (F.sum("total") / rows).alias("mean"), _floored(F.sum("ss") / rows).alias("std"))
 
 
+def moments(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows, values, mean and centred sum of squares per group and feature."""
+    return per_feature(df, features, {
+        "rows": lambda f: F.count(F.lit(1)), "n": F.count, "mean": F.avg,
+        "ss": lambda f: F.var_pop(f) * F.count(f)}, by)
+
+
+def pool_moments(parts: DataFrame, by: str = "dataset", pooled: str = "within") -> DataFrame:
+    """``compute_scalers`` from moments of any finer groups, without the rows."""
+    keys = [by, "feature"] if pooled == "within" else ["feature"]
+    centre = parts.groupBy(*keys).agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__c"))
+    moved = parts.join(centre, keys)
+    per_set = moved.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.first("__c").alias("c"),
+        F.sum(F.col("ss") + F.col("n") * F.pow(F.col("mean") - F.col("__c"), 2)).alias("ss"))
+    rows = F.sum("n")
+    return per_set.groupBy("feature").agg(
+        (F.sum(F.col("n") * F.col("c")) / rows).alias("mean"),
+        _floored(F.sum("ss") / rows).alias("std"))
+
+
 def _floored(variance: Column) -> Column:
     return F.sqrt(F.greatest(variance, F.lit(VARIANCE_FLOOR)))
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from vanewright.functions.scalars import extract_key, flatten_window
 from vanewright.operators.project import stats_map, zscore
-from vanewright.operators.scaling import compute_scalers
+from vanewright.operators.scaling import moments, pool_moments
 from vanewright.operators.windows import moving_average, stride_sample, training_windows
-from vanewright.plans.sizing import lookup_join, pinned
+from vanewright.plans.sizing import checked_broadcast, lookup_join, pinned
 from vanewright.schemas import REPLAY_FLEET
 from vanewright.sources.sinks import write_splits
 
@@ -48,10 +48,18 @@ def choose_validation_units(df: DataFrame, fraction: float = 0.1, seed: int | No
     """Units in hash order (or by descending id) as long as their rows stay
     within the fraction; at least one.
 
-    Only the per-unit counts are ordered, and those in pieces: units are summed
-    per range of the order first, then inside a range.
     """
     counts = df.groupBy(unit).agg(F.count(F.lit(1)).alias("rows"))
+    return choose_by_count(counts, fraction, seed, unit)
+
+
+def choose_by_count(counts: DataFrame, fraction: float, seed: int | None,
+                    unit: str = "unit") -> DataFrame:
+    """The choice from a table of rows per unit.
+
+    Units are ordered in pieces: summed per range of the order first, then inside
+    a range.
+    """
     if seed is None:
         spot = -F.col(unit).cast("long")
     else:
@@ -85,14 +93,19 @@ def extract_splits(df: DataFrame, val_units: DataFrame, split: str = "split", te
 def prepare(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     """Splits, scalers of the train rows only, optional smoothing, z-scores.
 
-    The chosen units are computed once, so scalers and rows see the same split.
-    The scalers are one row per feature and enter the plan as literals.
+    Two scans.  The first reduces the rows to moments per unit, from which both
+    the validation units and, without them, the scalers follow; the second is
+    the rows themselves.  The scalers are one row per feature and enter the plan
+    as literals.
     """
     dev = df.where(F.col("split") != "test")
-    val_units = pinned(choose_validation_units(dev, cfg.val_fraction, cfg.seed))
+    parts = pinned(moments(dev, cfg.features, ["dataset", "unit"]))
+    counts = (parts.where(F.col("feature") == cfg.features[0])
+                   .groupBy("unit").agg(F.sum("rows").alias("rows")))
+    val_units = pinned(choose_by_count(counts, cfg.val_fraction, cfg.seed))
+    train = parts.join(checked_broadcast(val_units), "unit", "left_anti")
+    stats = stats_map(pool_moments(train, pooled=cfg.pooled))
     tagged = extract_splits(df, val_units)
-    train = tagged.where(F.col("part") == "train")
-    stats = stats_map(compute_scalers(train, cfg.features, pooled=cfg.pooled))
     rows = tagged.drop("split").withColumnRenamed("part", "split")
     if cfg.smooth:
         rows = moving_average(rows, cfg.features, cfg.order)
