@@ -115,10 +115,11 @@ def _by_brackets(df: DataFrame, features: Sequence[str],
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
-                    by: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, feature) with a column per named quantile."""
+                    by: Sequence[str] = (), small: bool = False) -> DataFrame:
+    """One row per (group, feature) with a column per named quantile.  ``small``
+    as in ``split_by_heat``."""
     policy = SizePolicy.of(df.sparkSession)
-    if is_small(df, policy.broadcast_bytes):
+    if small or is_small(df, policy.broadcast_bytes):
         return _in_one_buffer(df, features, probs, by)
     if by or is_small(df, policy.small_bytes):
         return _by_counts(df, features, probs, by)

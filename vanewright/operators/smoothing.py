@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from vanewright.operators.quantiles import exact_quantiles
 from vanewright.plans.lineage import cut
 from vanewright.plans.ordered import running_sum
-from vanewright.plans.sizing import SizePolicy, lookup_join, split_by_heat
+from vanewright.plans.sizing import SizePolicy, is_small, lookup_join, split_by_heat
 
 MIN_POINTS = 5       # fixed value: shorter series are returned as they are
 MIN_NEIGHBOURS = 2
@@ -72,7 +72,7 @@ def _neighbours(total: int, frac: float) -> int:
     return min(total, max(MIN_NEIGHBOURS, int(frac * total + 1e-10)))
 
 
-def _fit(sums: DataFrame, group: Sequence[str], frac: float) -> DataFrame:
+def _fit(sums: DataFrame, group: Sequence[str], frac: float, small: bool) -> DataFrame:
     """Fit every reduced series.
 
     A series longer than a task should hold is cut into blocks of consecutive
@@ -111,7 +111,7 @@ def _fit(sums: DataFrame, group: Sequence[str], frac: float) -> DataFrame:
         spread = copies.withColumn("__home", F.explode("__home"))
         return spread.groupBy(*keys, "__home").applyInPandas(block, schema)
 
-    return split_by_heat(sums, keys, plain, hot)
+    return split_by_heat(sums, keys, plain, hot, small)
 
 
 def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[str] = ("unit",),
@@ -124,6 +124,8 @@ def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[st
     """
     keys = list(group)
     out_name = name or f"{y}_smooth"
+    # Residuals have the rows of the input, so its size decides for all passes.
+    small = is_small(df, SizePolicy.of(df.sparkSession).broadcast_bytes)
     rows = df.withColumns({"__x": F.col(x).cast("double"), "__y": F.col(y).cast("double")})
     weighted = rows.withColumn("__u", F.lit(1.0))
     fit = None
@@ -131,19 +133,22 @@ def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[st
         sums = weighted.groupBy(*keys, "__x").agg(
             F.count(F.lit(1)).alias("__n"), F.sum("__u").alias("__w"),
             F.sum(F.col("__u") * F.col("__y")).alias("__wy"))
-        fit = _fit(sums, keys, frac)
-        if step < iters:
+        fit = _fit(sums, keys, frac, small)
+        # Fits and medians are small next to the rows: once on storage, a bounded
+        # read of them decides on a broadcast, which spares shuffling the rows.
+        if step < iters or not small:
             fit = cut(fit)
-            resid = lookup_join(rows, fit, [*keys, "__x"], probe=False).withColumn(
+        if step < iters:
+            resid = lookup_join(rows, fit, [*keys, "__x"], probe=not small).withColumn(
                 "__r", F.abs(F.col("__y") - F.coalesce("__fit", "__y")))
-            medians = cut(exact_quantiles(resid, ["__r"], {"__m": 0.5}, keys).drop("feature"))
-            scaled = lookup_join(resid, medians, keys, probe=False)
+            medians = exact_quantiles(resid, ["__r"], {"__m": 0.5}, keys, small).drop("feature")
+            scaled = lookup_join(resid, medians if small else cut(medians), keys, probe=not small)
             ratio = F.col("__r") / (F.col("__m") * 6)
             u = (F.when(F.col("__m") == 0, F.when(F.col("__r") == 0, 1.0).otherwise(0.0))
                   .when(ratio >= 0.999, 0.0).when(ratio <= 0.001, 1.0)
                   .otherwise(F.pow(1 - ratio * ratio, 2)))
             weighted = scaled.withColumn("__u", u)
-    joined = lookup_join(rows, fit, [*keys, "__x"], probe=False)
+    joined = lookup_join(rows, fit, [*keys, "__x"], probe=not small)
     smooth = F.when(F.col("__total") < MIN_POINTS, F.col("__y")).otherwise(
         F.coalesce(F.nanvl("__fit", "__y"), "__y"))
     return joined.select(*df.columns, smooth.alias(out_name))

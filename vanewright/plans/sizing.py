@@ -141,9 +141,14 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
 
 def split_by_heat(df: DataFrame, keys: Sequence[str],
                   plain: Callable[[DataFrame], DataFrame],
-                  hot: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Run ``plain`` on groups that fit a task and ``hot`` on those that do not."""
-    table = hot_groups(df, keys)
+                  hot: Callable[[DataFrame, DataFrame], DataFrame],
+                  small: bool = False) -> DataFrame:
+    """Run ``plain`` on groups that fit a task and ``hot`` on those that do not.
+
+    ``small`` says the caller has already shown the whole input to fit: Catalyst's
+    estimate multiplies the sides of a join, which hides that a lookup adds no rows.
+    """
+    table = None if small else hot_groups(df, keys)
     if table is None:
         return plain(df)
     names = table.select(*keys)
