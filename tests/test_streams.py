@@ -59,9 +59,12 @@ def test_pipeline_end_to_end_and_restart(spark, source, tmp_path):
     raw = stream(spark, path, 2)
     messages = bus.encode_packets(raw.withColumnRenamed("true_rul", "rul"), "timestamp_ms")
     for _ in range(2):      # the second start finds nothing new
-        for q in pipeline.telemetry_pipeline(messages, str(tmp_path), scorer, ["a"], {"a": (1.0, 2.0)}, 4):
+        for q in pipeline.telemetry_pipeline(messages, str(tmp_path), scorer, ["a"], {"a": (1.0, 2.0)}, 4,
+                                             snapshot_every=1):
             q.awaitTermination()
     got = pipeline.read_scores(spark, str(tmp_path)).toPandas()
+    snapshots = [spark.read.parquet(str(p)).count() for p in sorted((tmp_path / "snapshot").iterdir())]
+    assert snapshots[-1] == len(got) and len(snapshots) == 3
     assert not got.duplicated(["unit", "timestamp_ms"]).any()
     batch = windows.session_ids(spark.read.parquet(path), ["timestamp_ms"])
     full = windows.sliding_windows(batch, ["a"], ["timestamp_ms"], 4, ["unit", "session_id"]).toPandas()

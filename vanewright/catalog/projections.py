@@ -128,10 +128,14 @@ bounds AS (
   FROM env)"""
 
 
-def _schema_columns(s, d):
-    names = ["nation", "supplier", "part", "orders", "lineitem", "events"]
-    frames = [scans.schema_frame(v.table(s, d, n), n) for n in names]
-    return joins.synthesis(frames)
+def value_counts(df, columns):
+    """Non-null values per column, from the whole table."""
+    return profile.per_feature(df, columns, {"values": F.count})
+
+
+def _found_columns(s, d):
+    li = v.table(s, d, "lineitem")
+    return project.find_columns(value_counts(li, li.columns), ["KEY", "date"], "feature")
 
 
 def _read_many(s, d):
@@ -154,13 +158,20 @@ def _quarantine(s, d):
 
 
 def _catalog(s, d):
-    v.telemetry(s, d).createOrReplaceTempView("fleet_telemetry_view")
-    return scans.catalog_report(s, "fleet_telemetry_view")
+    """Catalogue columns of a registered view with their filled values."""
+    t = v.telemetry(s, d)
+    t.createOrReplaceTempView("fleet_telemetry_view")
+    filled = value_counts(t, t.columns).withColumnRenamed("feature", "column_name")
+    return (scans.catalog_report(s, "fleet_telemetry_view").drop("data_type")
+            .join(filled, "column_name"))
 
 
 def _dual_check(s, d):
+    """Completeness over the columns that hold values."""
     dual = project.dual_domain(v.telemetry(s, d), STATS, S)
-    return joins.check_dual_schema(scans.schema_frame(dual, "dual"), len(S))
+    names = [c for c in dual.columns if c in S or c.endswith("_z")]
+    filled = value_counts(dual, names).where("values > 0")
+    return joins.check_dual_schema(filled, len(S), "feature")
 
 
 def _stats_report(s, d):
@@ -272,7 +283,12 @@ ENTRIES = [
     Entry("s9_metric_log_scan", lambda s, d: scans.merge_metric_logs(
               [v.metric_log(s, d).where("tag <> '5-LOW'"), v.metric_log(s, d).where("tag = '5-LOW'")]),
           oracle("SELECT * FROM metric_log", v.METRIC_LOG)),
-    Entry("s10_catalog_report", _catalog),
+    Entry("s10_catalog_report", _catalog,
+          oracle("""SELECT column_name, 'fleet_telemetry_view' AS table_name, true AS "exists", cast(p AS integer) AS position, n AS values
+                    FROM (SELECT count(*) AS n FROM telemetry),
+                      (SELECT unnest(['dataset', 'split', 'unit', 'cycle', 'l_shipdate', 'l_orderkey', 'l_linenumber',
+                                      'l_partkey', 's1', 's2', 's3', 's4', 'fc', 'hs']) AS column_name,
+                              unnest(range(14)) AS p)""", v.TELEMETRY)),
     Entry("s11_lookup_registry", lambda s, d: scans.lookup_registry(
               v.table(s, d, "customer").select("c_custkey", F.concat(F.lit("nation_"), (F.col("c_nationkey") + 3)
                                                .cast("string")).alias("slug")), _registry(s, d)),
@@ -316,11 +332,10 @@ ENTRIES = [
               v.telemetry(s, d), "s1", 50, "dataset"), 6, "avg_value"),
           oracle("""SELECT dataset, round(avg(s1), 6) AS avg_value, max(s1) AS max_value, max(s1) < 50 AS looks_normalized
                     FROM telemetry GROUP BY dataset""", v.TELEMETRY)),
-    Entry("p12_find_columns", lambda s, d: project.find_columns(_schema_columns(s, d), ["KEY", "date"])
-          .select("table_name", "column_name"),
-          """SELECT table_name, column_name FROM duckdb_columns() WHERE schema_name = 'main' AND table_name IN
-             ('nation', 'supplier', 'part', 'orders', 'lineitem', 'events')
-             AND (lower(column_name) LIKE '%key%' OR lower(column_name) LIKE '%date%')"""),
+    Entry("p12_find_columns", _found_columns,
+          """SELECT unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_shipdate']) AS feature,
+               unnest([count(l_orderkey), count(l_partkey), count(l_suppkey), count(l_shipdate)]) AS values
+             FROM lineitem"""),
     Entry("p13_safe_casts", lambda s, d: v.table(s, d, "part").select(
               "p_partkey", scalars.safe_int(F.when(F.col("p_size") % 3 == 0, F.lit("n/a")).otherwise(
                   F.concat(F.col("p_size").cast("string"), F.lit(".7")))).alias("as_int")),
@@ -391,7 +406,9 @@ ENTRIES = [
     Entry("u3_dropped_inputs", lambda s, d: joins.dropped_inputs(
               v.table(s, d, "documents"), v.table(s, d, "labels"), "doc_id"),
           "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"),
-    Entry("u5_check_dual_schema", _dual_check),
+    Entry("u5_check_dual_schema", _dual_check,
+          oracle("""SELECT 4::bigint AS z_columns, true AS complete FROM (SELECT count(s1 + s2 + s3 + s4) AS n FROM telemetry)
+                    WHERE n > 0""", v.TELEMETRY)),
     # --- scalars
     Entry("f1_scalar_functions", _scalar_mix,
           oracle(f"""SELECT {KEY_SQL}, abs(s1 - 25) AS a, greatest(0.0, s1 - 25) AS b, cast(floor(s2 / 1000) AS bigint) AS c,

@@ -70,16 +70,17 @@ def scorer(df):
     return scoring.linear_score(renamed, {"s1": 1.5, "s2": -0.5}, 20.0, 0.5)
 
 
-def _pipeline(s, d):
-    root = v.scratch(s, "pipeline")
-    for q in pipeline.telemetry_pipeline(message_stream(s, d), root, scorer, FEATS, DOMAIN, 5):
+def _scored_stream(s, d):
+    root = v.scratch(s, "scored")
+    for q in pipeline.telemetry_pipeline(message_stream(s, d), root, scorer, FEATS, DOMAIN, 5,
+                                         snapshot_every=1):
         q.awaitTermination()
     out = pipeline.read_scores(s, root)
     return r(out.select("unit", "cycle", "timestamp_ms", "true_rul", "s1", "s2_z", "predicted_rul"), 5,
              "s1", "s2_z", "predicted_rul")
 
 
-PIPELINE_SQL = """
+SCORED_SQL = """
 good AS (SELECT event_id, cast(unit AS integer) AS unit, cycle10 AS cycle, timestamp_ms,
                 cast(31 - cycle AS double) AS true_rul,
                 CASE WHEN abs(s1) > 15 THEN s1 ELSE s1 * 47.5 + 50 END AS s1,
@@ -150,10 +151,10 @@ ENTRIES = [
                         FROM sessions) WHERE session_id = 0 OR rn > 1
                      WINDOW w AS (PARTITION BY unit, session_id ORDER BY timestamp_ms, event_id
                                   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) WHERE n = 5""", v.SESSIONS)),
-    Entry("m3_telemetry_pipeline", _pipeline,
+    Entry("m3_scored_stream", _scored_stream,
           oracle("""SELECT unit, cycle, timestamp_ms, true_rul, round(s1, 5) AS s1, round(s2_z, 5) AS s2_z,
                       round(greatest(x, 0.0) + ln(1 + exp(-abs(x))), 5) AS predicted_rul
-                    FROM sc WHERE session_id = last""", v.PACKETS, PIPELINE_SQL)),
+                    FROM sc WHERE session_id = last""", v.PACKETS, SCORED_SQL)),
     Entry("m4_dead_letters", _rejects,
           oracle("SELECT cast(unit AS varchar) AS key, '{broken' AS value FROM packets WHERE event_id % 97 = 0",
                  v.PACKETS)),

@@ -126,14 +126,15 @@ def read_scores(spark: SparkSession, root: str) -> DataFrame:
 def telemetry_pipeline(messages: DataFrame, root: str, scorer: Callable[[DataFrame], DataFrame],
                        features: Sequence[str] = FEATURES, stats: DataFrame | Stats | None = None,
                        size: int = WINDOW_SIZE, threshold: float = PHYSICAL_ABOVE,
-                       mode: str = "per_value", snapshot_every: int = 1,
+                       mode: str = "per_value", snapshot_every: int = 0,
                        trigger: dict | None = None) -> list[StreamingQuery]:
     """Decode, dual domain, window, score, persist, snapshot; rejects go aside.
 
     Each micro-batch overwrites its own ``batch_id`` partition, so a replayed
     batch leaves no duplicates.  A session reset needs no delete: rows carry
-    their session and readers keep the last one.  ``scorer`` maps a frame with a
-    ``window`` column to one with scores.
+    their session and readers keep the last one (``read_scores``).  A snapshot
+    copies the whole table, so it is off unless asked for every so many batches.
+    ``scorer`` maps a frame with a ``window`` column to one with scores.
     """
     sink = SinkPaths(root)
     known = stats_map(stats) if stats is not None else None
