@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.components import components
 from vanewright.llm.tables import held, small_side
-from vanewright.llm.textscan import LOWER, Texts, blobs, mix, per_batch, pieces, runs
+from vanewright.llm.textscan import LOWER, Texts, blobs, distinct, mix, per_batch, pieces, runs
 
 HUBS = 3
 #: Bytes of signatures and sets that one block of a large band may hold on either side.
@@ -77,7 +77,7 @@ def shingle_sets(texts: Texts, k: int) -> list[np.ndarray]:
     out = []
     for a, b in zip(texts.first[:-1], texts.first[1:]):
         if b - a >= k:
-            out.append(np.unique(grams[a:b - k + 1]))
+            out.append(distinct(grams[a:b - k + 1]))
         elif b > a:  # the whole sequence; its length is part of it, so it equals no full shingle
             out.append(runs(words[a:b], b - a, salt=int(b - a)))
         else:
