@@ -87,8 +87,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
     base = F.col("base")
-    count = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k, *_ in secrets.BASE]
-    return found.select("doc_id", *count, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k, *_ in secrets.BASE], F.sha2(secrets.listed(base), 256).alias("base_sha256"),
                         secrets.listed(F.col("spans")).alias("spans"))
 
 

@@ -32,8 +32,25 @@ BUNDLES = 4096
 CELL_ROWS = 50_000
 
 
+def _even(sizes: np.ndarray, to: np.ndarray, shards: int, close: float = 1e-4) -> None:
+    """Move units from the fullest shard to the emptiest, by the first dimension, as long as
+    that brings them closer."""
+    load = np.bincount(to, sizes, shards)
+    for _ in range(32 * shards):
+        a, b = int(load.argmax()), int(load.argmin())
+        gap = load[a] - load[b]
+        own = np.flatnonzero((to == a) & (sizes > 0) & (sizes < gap))
+        if gap <= close * load.mean() or not len(own):
+            return
+        i = own[np.argmin(np.abs(sizes[own] - gap / 2))]
+        to[i] = b
+        load[a] -= sizes[i]
+        load[b] += sizes[i]
+
+
 def place(sizes: np.ndarray, shards: int) -> np.ndarray:
-    """A shard for each row of ``sizes`` (units by dimensions)."""
+    """A shard for each row of ``sizes`` (units by dimensions); the first dimension is evened
+    out at the end."""
     capacity = np.maximum(sizes.sum(axis=0) / shards, 1e-9)
     share = sizes / capacity
     residual = np.ones((shards, sizes.shape[1]))
@@ -44,6 +61,7 @@ def place(sizes: np.ndarray, shards: int) -> np.ndarray:
         s = int(np.argmax(np.where(fits, score, -np.inf))) if fits.any() else int(np.argmax(residual.min(axis=1)))
         out[i] = s
         residual[s] -= share[i]
+    _even(sizes[:, 0], out, shards)
     return out
 
 

@@ -56,7 +56,7 @@ def fold(text: str | None) -> str:
 @dataclass(frozen=True)
 class Learning:
     sample: int = 12_000
-    least_toxic: int = 5
+    least_toxic: int = 3
     beginnings: tuple[int, ...] = (4, 5, 6, 7, 8)
     least_weight: float = 2.0
     exceptions: int = 5
