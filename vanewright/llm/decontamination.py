@@ -173,24 +173,45 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Leaks = Leaks(), id_c
 
     A benchmark beyond ``PASS_ITEMS`` items is looked for in several passes.
     """
-    if cfg.radius > 23:
-        raise ValueError("the tables guarantee a radius of at most 23")
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
-    passes = max(1, -(-items.count() // PASS_ITEMS))
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     schema = f"id {id_type}, item {item_type}, start_word long, n_words long, distance int, similarity double"
     out = None
-    for i in range(passes):
-        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i).orderBy("item", "text").collect()
-        shared = rows.sparkSession.sparkContext.broadcast(Index([r["item"] for r in some], [r["text"] for r in some], cfg))
-        part = per_batch(rows, _searcher(shared, benchmark.schema[item_col].dataType, schema), schema)
+    for shared in _passes(benchmark, cfg, item_col, item_text):
+        part = per_batch(rows, _searcher(shared, benchmark.schema[item_col].dataType), schema)
         out = part if out is None else out.unionByName(part)
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "start_word", "n_words", "distance", "similarity")
 
 
-def _searcher(shared, item_type, schema: str):
+def without_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Leaks = Leaks(), text: str = "text",
+                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that contain no item, unchanged and in place."""
+    schema = docs.schema
+    for shared in _passes(benchmark, cfg, item_col, item_text):
+        def work(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
+            column = pc.utf8_lower(batch.column(batch.schema.get_field_index(text)))
+            clean = np.ones(batch.num_rows, bool)
+            for at, _, data, off in pieces(column):
+                for d, *_ in shared.value.search(Texts(data, off, LOOSE)):
+                    clean[at + d] = False
+            yield batch.filter(pa.array(clean))
+        docs = per_batch(docs, work, schema)
+    return docs
+
+
+def _passes(benchmark: DataFrame, cfg: Leaks, item_col: str, item_text: str) -> Iterator:
+    """Broadcast indexes of at most about ``PASS_ITEMS`` items."""
+    if cfg.radius > 23:
+        raise ValueError("the tables guarantee a radius of at most 23")
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
+    passes = max(1, -(-items.count() // PASS_ITEMS))
+    for i in range(passes):
+        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i).orderBy("item", "text").collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([r["item"] for r in some], [r["text"] for r in some], cfg))
+
+
+def _searcher(shared, item_type):
     from pyspark.sql.pandas.types import to_arrow_type
 
     arrow_type = to_arrow_type(item_type)

@@ -112,10 +112,10 @@ def fingerprint(grams: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(grams, salt).sum(dtype=np.uint64).view(np.int64)) for salt in (0x51ED27, 0xC2B2AE35))
 
 
-def _scan(docs: DataFrame, cfg: NearDup, id_col: str, text: str) -> DataFrame:
-    """(id, f1, f2, n_shingles, bands) for every row."""
+def _scan(docs: DataFrame, cfg: NearDup) -> DataFrame:
+    """(id, f1, f2, n_shingles, bands, k1, k2) for every row of (id, text, k1, k2)."""
     factors, shifts = _coefficients(cfg.hashes)
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type = docs.schema["id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for at, to, data, off in pieces(batch.column(1)):
@@ -130,11 +130,17 @@ def _scan(docs: DataFrame, cfg: NearDup, id_col: str, text: str) -> DataFrame:
                     lists[i] = row
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, to - at), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["id", "f1", "f2", "n_shingles", "bands"])
+                 pa.array([len(s) for s in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64())),
+                 batch.column(2).slice(at, to - at), batch.column(3).slice(at, to - at)],
+                names=["id", "f1", "f2", "n_shingles", "bands", "k1", "k2"])
 
-    return per_batch(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), work,
-                     f"id {id_type}, f1 long, f2 long, n_shingles long, bands array<long>")
+    return per_batch(docs, work, f"id {id_type}, f1 long, f2 long, n_shingles long, bands array<long>, k1 long, k2 long")
+
+
+def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), body.alias("text"), F.xxhash64(body).alias("k1"),
+                       F.xxhash64(F.lit(1), body).alias("k2"))
 
 
 def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
@@ -253,8 +259,31 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
 
 def near_groups(docs: DataFrame, cfg: NearDup = NearDup(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept) for every row of ``docs``."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    scanned = held(_scan(docs, cfg, "id", "text").withColumn("node", F.struct("f1", "f2")).drop("f1", "f2"))
+    return _groups(_keyed(docs, id_col, text), cfg).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, cfg: NearDup = NearDup(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id, and one of rows equal in
+    id and text.  Rows without an id take no part and stay."""
+    keys = ["__k1", "__k2"]
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.withColumns({"__k1": F.xxhash64(body), "__k2": F.xxhash64(F.lit(1), body)})
+    named = rows.where(F.col(id_col).isNotNull())
+    placed = _groups(_keyed(named, id_col, text), cfg)
+    placed = held(placed.select(F.col("id").alias(id_col), F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "kept"))
+    gone = small_side(held(placed.where("not kept").select(id_col, *keys).distinct()), 32)
+    stay = named.join(gone, [id_col, *keys], "left_anti")
+    twice = held(placed.where("kept").groupBy(id_col, *keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
+    if not twice.isEmpty():
+        twice = small_side(twice, 32)
+        again = stay.join(twice, [id_col, *keys], "left_semi").dropDuplicates([id_col, *keys])
+        stay = stay.join(twice, [id_col, *keys], "left_anti").unionByName(again)
+    return stay.unionByName(rows.where(F.col(id_col).isNull())).select(*docs.columns)
+
+
+def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
+    """(id, k1, k2, n_shingles, component_id, kept) for every row of (id, text, k1, k2)."""
+    scanned = held(_scan(docs, cfg).withColumn("node", F.struct("f1", "f2")).drop("f1", "f2"))
     classes = held(scanned.where("n_shingles > 0").groupBy("node")
                           .agg(F.min("id").alias("least"), F.first("bands").alias("bands")))
     banded = classes.select("node", F.explode("bands").alias("key"))
@@ -286,7 +315,7 @@ def near_groups(docs: DataFrame, cfg: NearDup = NearDup(), id_col: str = "doc_id
                      .withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = grouped.join(least, "root").select("node", "component_id")
-    out = scanned.select("id", "node", "n_shingles").join(of_class, "node", "left")
+    out = scanned.select("id", "k1", "k2", "node", "n_shingles").join(of_class, "node", "left")
     root = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", root.alias("component_id"),
+    return out.select("id", "k1", "k2", "n_shingles", root.alias("component_id"),
                       F.coalesce(F.col("id") == root, F.lit(False)).alias("kept"))

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 2 << 20
 
@@ -137,7 +138,8 @@ def pieces(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         at = to
 
 
-def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
+              schema: str | StructType) -> DataFrame:
     """Apply ``work`` to each Arrow batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
