@@ -308,11 +308,14 @@ def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
     links = held(_verify(_prune(pairs, sets, cfg), sets, cfg))
     roots = components(links)
     more = held(_rest(members, hubs, roots, sets, cfg))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = components(links)
     grouped = classes.select("node", "least").join(roots, "node", "left") \
-                     .withColumn("root", F.coalesce("root", "node"))
+                     .select("node", "least", F.coalesce("root", "node").alias("root"))
+    if not more.isEmpty():
+        ends = {x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"}
+        above = components(more.join(ends["a"], "a", "left").join(ends["b"], "b", "left")
+                           .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+        grouped = grouped.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
+                         .select("node", "least", F.coalesce("top", "root").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = grouped.join(least, "root").select("node", "component_id")
     out = scanned.select("id", "k1", "k2", "node", "n_shingles").join(of_class, "node", "left")
