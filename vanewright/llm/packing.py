@@ -237,7 +237,8 @@ def harmonic(pieces: DataFrame, cfg: Packing = Packing()) -> DataFrame:
     counts = {r["__k"]: r["n"] for r in pool.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
     done = []
     while counts:
-        workers = {k: -(-n // cfg.worker_rows) for k, n in counts.items()}
+        # A worker takes several sequences' worth, so that each level pools far fewer pieces.
+        workers = {k: -(-n // max(cfg.worker_rows, 4 * k)) for k, n in counts.items()}
         if max(workers.values()) >= 1 << 24:
             raise ValueError("raise worker_rows")
         of = F.create_map(*[F.lit(x).cast("long") for kn in workers.items() for x in kn])

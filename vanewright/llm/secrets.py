@@ -34,6 +34,8 @@ HINTS = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA
          "markov": "[A-Za-z0-9+/_-]{16}"}
 #: A run of 16 or more; shorter ones are no match at all, which leaves the longer ones as they are.
 LONG = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
+#: Weight of single characters in a pair's row, and count that every character starts with.
+BACKING, BARE = 5.0, 0.1
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -80,11 +82,13 @@ def _base(docs: DataFrame, id_col: str, text: str, carry: tuple[str, ...] = ())
 
 
 def samples(docs: DataFrame, cfg: Markov = Markov(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(token, random): values that the base patterns find, and words of the texts outside them."""
+    """(token, random): values that the base patterns find, and the words that at least two
+    texts without such values hold, each once; an unlisted secret is hardly found twice."""
     rows = _base(docs, id_col, text)
     secret = rows.select(F.explode(F.transform("base", lambda s: s["value"])).alias("token"), F.lit(True).alias("random"))
     clean = F.regexp_extract_all(F.when(F.size("base") == 0, F.col("text")), F.lit(cfg.word), F.lit(0))
-    return secret.unionByName(rows.select(F.explode(clean).alias("token"), F.lit(False).alias("random")))
+    words = rows.select(F.explode(F.array_distinct(clean)).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return secret.unionByName(words.where("n > 1").select("token", F.lit(False).alias("random")))
 
 
 def train(labelled: DataFrame) -> list[float] | None:
@@ -100,15 +104,17 @@ def train(labelled: DataFrame) -> list[float] | None:
         table[r["random"]][r["pair"]] += r["n"]
     if not any(table[True]) or not any(table[False]):
         return None
-    # Characters outside the samples' alphabet are as likely as others in either model.
-    used = len({p % 128 for r in counted for p in (r["pair"], r["pair"] // 128)})
+    alphabet = sorted({c for r in counted for c in (r["pair"] % 128, r["pair"] // 128)})
 
     def log(kind: bool) -> list[float]:
-        out = []
-        for a in range(128):
-            row = table[kind][128 * a:128 * a + 128]
-            all_ = sum(row) + 0.5 * used
-            out += [math.log((n + 0.5) / all_) for n in row]
+        """Pairs are smoothed towards the model's single characters, those evenly."""
+        n, out = table[kind], [0.0] * (128 * 128)
+        of = {b: sum(n[b::128]) + BARE for b in alphabet}
+        all_ = sum(of.values())
+        for a in alphabet:
+            row = sum(n[128 * a:128 * a + 128]) + BACKING
+            for b in alphabet:
+                out[128 * a + b] = math.log((n[128 * a + b] + BACKING * of[b] / all_) / row)
         return out
 
     return [a - b for a, b in zip(log(True), log(False))]

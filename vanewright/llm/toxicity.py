@@ -38,7 +38,7 @@ HOMOGLYPHS = dict(zip("аеорсухіјѕһԁԛԝвнкмтαεοιρτυχκ
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
 
 _glyphs = str.maketrans(HOMOGLYPHS)
-_inside = re.compile(r"(?<=[^\W\d_])[013457@$!|8]+(?=[^\W\d_])")
+_inside = re.compile(r"(?<=[^\W\d_])[013457@$!|8]+(?=[^\W\d_])|(?<![\w@$!|])[013457@$8](?=[^\W\d_])")
 _hidden = re.compile("[­​-‏⁠﻿]")
 _apart = re.compile(r"[\W_]+")
 
