@@ -30,10 +30,10 @@ def positive_head(c: Column | str) -> Column:
 
 def safe_int(c: Column | str) -> Column:
     """Integer from text or a number that may be written as a float (truncated);
-    null if it is neither."""
+    null if it is neither, not a number or out of range."""
     as_double = col_of(c).try_cast("double")
     whole = F.when(as_double < 0, F.ceil(as_double)).otherwise(F.floor(as_double))
-    return whole.cast("int")
+    return F.when((as_double > -2147483649.0) & (as_double < 2147483648.0), whole).try_cast("int")
 
 
 def epoch_millis(c: Column | str) -> Column:

@@ -103,7 +103,7 @@ def kde(df: DataFrame, col: str, group: Sequence[str], gridsize: int = 100,
     histogram = counted.groupBy(*group).agg(     # at most `bins` entries
         F.collect_list(F.struct("__slot", "__c")).alias("__h"))
     width = (F.col("__sd") * F.pow(F.col("__n"), -0.2)) if bw == "scott" else F.lit(float(bw))
-    lined = histogram.join(stats, list(group)).withColumn("__bw", width) \
+    lined = lookup_join(histogram, stats, group).withColumn("__bw", width) \
                      .where(F.col("__bw") > 0)
     start = F.col("__lo") - F.col("__bw") * cut
     step = (span + F.col("__bw") * (2 * cut)) / (gridsize - 1)

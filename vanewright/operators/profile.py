@@ -29,6 +29,11 @@ def per_feature(df: DataFrame, features: Sequence[str], aggs: Aggs,
     return wide.select(*by, F.inline("__rows"))
 
 
+def clean(f: str) -> Column:
+    """The value as a double, null for NaN."""
+    return F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double"))
+
+
 def state_audit(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.round(F.avg(col), 2).alias("mean"),
@@ -54,14 +59,12 @@ def describe_features(df: DataFrame, features: Sequence[str],
                       group: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, exact quartiles (linear interpolation) and
     max per feature; nulls and NaNs are left out."""
-    def clean(f: str) -> Column:
-        return F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double"))
     moments = per_feature(df, features, {
         "count": lambda f: F.count(clean(f)), "mean": lambda f: F.avg(clean(f)),
         "std": lambda f: F.stddev_samp(clean(f)),
         "min": lambda f: F.min(clean(f)), "max": lambda f: F.max(clean(f))}, group)
     quartiles = exact_quantiles(df, features, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, group)
-    out = moments.join(quartiles, [*group, "feature"], "left")
+    out = lookup_join(moments, quartiles, [*group, "feature"], "left")
     return out.select(*group, "feature", "count", "mean", "std", "min",
                       "q25", "q50", "q75", "max")
 
@@ -151,7 +154,8 @@ def label_profile(df: DataFrame, unit: str = "unit", cycle: str = "cycle",
 
 
 def normalization_params(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return per_feature(df, features, {"mean": F.avg, "std": F.stddev_samp})
+    """Mean and sample std per feature; nulls and NaNs are left out."""
+    return per_feature(df, features, {"mean": lambda f: F.avg(clean(f)), "std": lambda f: F.stddev_samp(clean(f))})
 
 
 def domain_identifiers(df: DataFrame, ids: Sequence[str]) -> DataFrame:
@@ -223,7 +227,7 @@ def dataset_fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     row = F.xxhash64(*df.columns)
     grouped = df.groupBy(*by) if by else df.groupBy()
     return grouped.agg(F.bit_xor(row).alias("row_xor"),
-                       F.sum(F.pmod(row, F.lit(1 << 31))).alias("row_sum"),
+                       F.sum(F.pmod(row, F.lit(1 << 31)).cast("decimal(20,0)")).alias("row_sum"),
                        F.count(F.lit(1)).alias("rows"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.plans.ordered import running_sum
-from vanewright.plans.sizing import SizePolicy, is_small
+from vanewright.plans.sizing import SizePolicy, is_small, lookup_join
 
 ACCURACY = 10_000
 # Features with fewer values than this are counted whole.
@@ -58,13 +58,22 @@ def _in_one_buffer(df: DataFrame, features: Sequence[str], probs: Mapping[str, f
 def _by_counts(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
                by: Sequence[str]) -> DataFrame:
     long = df.select(*by, *[_value(f).alias(f) for f in features]) \
-             .unpivot(list(by), list(features), "feature", "value") \
-             .where(F.col("value").isNotNull())
+             .unpivot(list(by), list(features), "feature", "value")
     keys = [*by, "feature"]
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_sum(counts, keys, ["value"], "n", "cum", "total")
+    ranked = running_sum(counts.where(F.col("value").isNotNull()), keys, ["value"], "n", "cum", "total")
     ranked = ranked.withColumns({"lo": F.col("cum") - F.col("n"), "hi": F.col("cum") - 1})
-    return _pick(ranked, keys, probs)
+    picked = _pick(ranked, keys, probs)
+    if not by:
+        return _for_all(picked, features, probs)
+    # Groups without values stay, with null quantiles.
+    return lookup_join(counts.select(*keys).distinct(), picked, keys, "left")
+
+
+def _for_all(picked: DataFrame, features: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """A row for every feature, also for those without values."""
+    every = picked.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return lookup_join(every, picked.select("feature", *probs), ["feature"], "left")
 
 
 def _by_brackets(df: DataFrame, features: Sequence[str],
@@ -111,7 +120,7 @@ def _by_brackets(df: DataFrame, features: Sequence[str],
     for name, p in probs.items():
         one = _pick(ranked.where(F.col("q") == name), ["feature"], {name: p})
         out = one if out is None else out.join(one, "feature")
-    return out
+    return _for_all(out, features, probs)
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],

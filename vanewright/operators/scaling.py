@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.functions.scalars import field_of
-from vanewright.operators.profile import per_feature
+from vanewright.operators.profile import clean, per_feature
 from vanewright.operators.project import Stats, zscore
+from vanewright.plans.sizing import lookup_join
 
 VARIANCE_FLOOR = 1e-9  # fixed value
 
@@ -20,41 +21,41 @@ def compute_scalers(df: DataFrame, features: Sequence[str], by: str = "dataset",
 
     ``within`` pools the centred sums of squares of each dataset, leaving out
     differences between dataset means; ``total`` is the spread over all rows.
-    Both are one partial/final aggregation.
+    Both are one partial/final aggregation.  Nulls and NaNs are left out.
     """
     if pooled == "total":
-        flat = per_feature(df, features, {"mean": F.avg, "var": F.var_pop})
+        flat = per_feature(df, features, {"mean": lambda f: F.avg(clean(f)), "var": lambda f: F.var_pop(clean(f))})
         return flat.select("feature", "mean", _floored(F.col("var")).alias("std"))
     if pooled != "within":
         raise ValueError(f"unknown pooling {pooled!r}")
     local = per_feature(df, features, {
-        "total": F.sum, "n": F.count,
-        "ss": lambda f: F.coalesce(F.var_samp(f), F.lit(0.0)) * (F.count(f) - 1)}, [by])
+        "total": lambda f: F.sum(clean(f)), "n": lambda f: F.count(clean(f)),
+        "ss": lambda f: F.coalesce(F.var_samp(clean(f)), F.lit(0.0)) * (F.count(clean(f)) - 1)}, [by])
     rows = F.sum("n")
-    return local.groupBy("feature").agg(
-        (F.sum("total") / rows).alias("mean"), _floored(F.sum("ss") / rows).alias("std"))
+    return local.groupBy("feature").agg(F.try_divide(F.sum("total"), rows).alias("mean"),
+                                        _floored(F.try_divide(F.sum("ss"), rows)).alias("std"))
 
 
 def moments(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Rows, values, mean and centred sum of squares per group and feature."""
     return per_feature(df, features, {
-        "rows": lambda f: F.count(F.lit(1)), "n": F.count, "mean": F.avg,
-        "ss": lambda f: F.var_pop(f) * F.count(f)}, by)
+        "rows": lambda f: F.count(F.lit(1)), "n": lambda f: F.count(clean(f)), "mean": lambda f: F.avg(clean(f)),
+        "ss": lambda f: F.var_pop(clean(f)) * F.count(clean(f))}, by)
 
 
 def pool_moments(parts: DataFrame, by: str = "dataset", pooled: str = "within") -> DataFrame:
     """``compute_scalers`` from moments of any finer groups, without the rows."""
     keys = [by, "feature"] if pooled == "within" else ["feature"]
     centre = parts.groupBy(*keys).agg(
-        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__c"))
-    moved = parts.join(centre, keys)
+        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("__c"))
+    moved = lookup_join(parts, centre, keys)
     per_set = moved.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.first("__c").alias("c"),
         F.sum(F.col("ss") + F.col("n") * F.pow(F.col("mean") - F.col("__c"), 2)).alias("ss"))
     rows = F.sum("n")
     return per_set.groupBy("feature").agg(
-        (F.sum(F.col("n") * F.col("c")) / rows).alias("mean"),
-        _floored(F.sum("ss") / rows).alias("std"))
+        F.try_divide(F.sum(F.col("n") * F.col("c")), rows).alias("mean"),
+        _floored(F.try_divide(F.sum("ss"), rows)).alias("std"))
 
 
 def _floored(variance: Column) -> Column:

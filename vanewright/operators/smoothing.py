@@ -119,15 +119,19 @@ def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[st
     """Add the smoothed ``y`` to every row (column ``<y>_smooth``).
 
     ``iters`` robust passes follow the first fit.  Groups with fewer than five
-    rows keep their values.  The number of neighbours is ``frac`` of the group's
-    rows, at least two.
+    points keep their values.  The number of neighbours is ``frac`` of the group's
+    points, at least two.  A row without x or y (null or NaN) is no point: it has no
+    weight, is no neighbour, and keeps its y.  A null group is a group.
     """
     keys = list(group)
     out_name = name or f"{y}_smooth"
     # Residuals have the rows of the input, so its size decides for all passes.
     small = is_small(df, SizePolicy.of(df.sparkSession).broadcast_bytes)
     rows = df.withColumns({"__x": F.col(x).cast("double"), "__y": F.col(y).cast("double")})
-    weighted = rows.withColumn("__u", F.lit(1.0))
+    rows = rows.withColumn("__ok", F.coalesce(~F.isnan("__x") & ~F.isnan("__y") & F.col("__x").isNotNull()
+                                              & F.col("__y").isNotNull(), F.lit(False)))
+    points = rows.where("__ok")
+    weighted = points.withColumn("__u", F.lit(1.0))
     fit = None
     for step in range(iters + 1):
         sums = weighted.groupBy(*keys, "__x").agg(
@@ -139,7 +143,7 @@ def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[st
         if step < iters or not small:
             fit = cut(fit)
         if step < iters:
-            resid = lookup_join(rows, fit, [*keys, "__x"], probe=not small).withColumn(
+            resid = lookup_join(points, fit, [*keys, "__x"], probe=not small).withColumn(
                 "__r", F.abs(F.col("__y") - F.coalesce("__fit", "__y")))
             medians = exact_quantiles(resid, ["__r"], {"__m": 0.5}, keys, small).drop("feature")
             scaled = lookup_join(resid, medians if small else cut(medians), keys, probe=not small)
@@ -148,7 +152,7 @@ def lowess(df: DataFrame, x: str, y: str, frac: float = 0.02, group: Sequence[st
                   .when(ratio >= 0.999, 0.0).when(ratio <= 0.001, 1.0)
                   .otherwise(F.pow(1 - ratio * ratio, 2)))
             weighted = scaled.withColumn("__u", u)
-    joined = lookup_join(rows, fit, [*keys, "__x"], probe=not small)
-    smooth = F.when(F.col("__total") < MIN_POINTS, F.col("__y")).otherwise(
+    joined = lookup_join(rows, fit, [*keys, "__x"], "left", probe=not small)
+    smooth = F.when(~F.col("__ok") | (F.col("__total") < MIN_POINTS), F.col("__y")).otherwise(
         F.coalesce(F.nanvl("__fit", "__y"), "__y"))
     return joined.select(*df.columns, smooth.alias(out_name))

@@ -37,7 +37,7 @@ def _cut_points(big: DataFrame, hot: DataFrame, keys: Sequence[str],
     """
     policy = SizePolicy.of(big.sparkSession)
     totals = hot.agg(F.sum("__n").alias("n")).first()["n"]
-    rows_per_block = max(policy.hot_rows, totals // policy.max_hot)
+    rows_per_block = max(policy.hot_rows, totals // policy.max_blocks)
     every = max(1, rows_per_block // SAMPLES_PER_BLOCK)
     sample = (big.select(*keys, F.struct(*order).alias("__at"))
                  .where(F.pmod(F.xxhash64("__at"), F.lit(every)) == 0)
@@ -78,7 +78,7 @@ def _block_offsets(blocked: DataFrame, keys: Sequence[str], amount: Column) -> D
 
 
 def _join_offsets(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # One row per block: at most twice max_hot rows by construction.
+    # One row per block: about twice max_blocks rows by construction.
     on = same_keys(df, offsets, [*keys, "__blk"])
     return (df.join(F.broadcast(offsets), on, "inner")
               .select(*[df[c] for c in df.columns],
@@ -165,8 +165,10 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int
 
 def take_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                    n: int, rank: str | None = None) -> DataFrame:
-    """First ``n`` rows per group.  The rank filter lets Spark prune to ``n`` rows
-    per group in every map task before the shuffle, so a hot key costs nothing."""
+    """First ``n`` rows per group.  Up to Spark's limit for it
+    (``spark.sql.optimizer.windowGroupLimitThreshold``, 1,000 by default) the rank filter
+    prunes to ``n`` rows per group in every map task before the shuffle, so a hot key
+    costs nothing; beyond it all rows of the group are shuffled."""
     name = rank or "__rank"
     out = (df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
              .where(F.col(name) <= n))

@@ -26,9 +26,11 @@ class SizePolicy:
     small_bytes: int = 256 << 20
     # Rows one window task may own before its group is split into blocks.
     hot_rows: int = 4_000_000
-    # Groups treated as hot; the next largest group then holds at most
-    # rows / max_hot, so it is safe to leave whole.
-    max_hot: int = 20_000
+    # Most groups treated as hot, the largest; 0: all above hot_rows.
+    max_hot: int = 0
+    # Blocks that the hot groups are cut into, about; blocks of a very large input get
+    # longer, so that the table of their cut points stays this small.
+    max_blocks: int = 20_000
     # Upper bounds of a broadcast side.
     broadcast_bytes: int = 32 << 20
     broadcast_rows: int = 200_000
@@ -79,38 +81,49 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def bounded_copy(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """A driver-held copy of ``df`` when it has at most ``max_rows`` rows.
+    """A driver-held copy of ``df`` when it has at most ``max_rows`` rows and its
+    values at most ``broadcast_bytes`` bytes.
 
-    Reads at most ``max_rows + 1`` rows, so the driver is safe even if the
-    guess is wrong; None then tells the caller to take its shuffle plan.
+    Reads no more rows than fit that size by the widths of the column types, so the
+    driver is safe even if the guess is wrong; None then tells the caller to take its
+    shuffle plan.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    most = SizePolicy.of(df.sparkSession).broadcast_bytes or (32 << 20)
+    width = max(8, df._jdf.schema().defaultSize())
+    rows = max(1, min(max_rows, most // width))
+    table = df.limit(rows + 1).toArrow()
+    if table.num_rows > rows or table.nbytes > most:
         return None
     return df.sparkSession.createDataFrame(table, schema=df.schema)
 
 
 def checked_broadcast(df: DataFrame, probe: bool = True) -> DataFrame:
-    """``df`` with a broadcast hint if its size is proven, otherwise unchanged."""
+    """``df`` with a broadcast hint if a bounded read has shown its size, otherwise
+    unchanged.  An estimate alone proves nothing: it counts compressed bytes."""
     policy = SizePolicy.of(df.sparkSession)
-    if is_small(df, policy.broadcast_bytes):
-        return F.broadcast(df)
-    if probe:
+    if probe and policy.broadcast_bytes:
         copy = bounded_copy(df, policy.broadcast_rows)
-        if copy is not None and is_small(copy, policy.broadcast_bytes):
+        if copy is not None:
             return F.broadcast(copy)
     return df
 
 
 def lookup_join(facts: DataFrame, side: DataFrame, keys: Sequence[str],
-                how: str = "inner", probe: bool = True) -> DataFrame:
-    """Join facts to a one-row-per-key side.
+                how: str = "inner", probe: bool = False) -> DataFrame:
+    """Join facts to a one-row-per-key side; null keys match each other.
 
-    The side is broadcast only behind a size check.  Beyond the bound it is a
-    shuffle join, where adaptive skew handling splits a hot key of the facts
-    (the side has one row per key, so the copies it makes of it are cheap).
+    Without a probe nothing runs while the plan is built: adaptive execution turns
+    the join into a broadcast once it has measured the side, or splits a hot key of
+    the facts (the side has one row per key, so the copies it makes of it are cheap).
     """
-    return facts.join(checked_broadcast(side, probe), list(keys), how)
+    mine = {k: f"__side_{k}" for k in keys}
+    rest = [c for c in side.columns if c not in mine]
+    named = side.select(*[F.col(k).alias(a) for k, a in mine.items()], *rest)
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(a)) for k, a in mine.items()))
+    joined = facts.join(checked_broadcast(named, probe), on, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select(*keys, *[c for c in facts.columns if c not in mine], *rest)
 
 
 def attach_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
@@ -125,14 +138,15 @@ def attach_group(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFram
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The groups that hold too many rows for one task, with their row count
-    in ``__n``; None when there are none.  At most ``max_hot`` rows."""
+    """The groups that hold too many rows for one task, with their row count in
+    ``__n``; None when there are none.  There are at most rows / ``hot_rows``."""
     policy = SizePolicy.of(df.sparkSession)
     if is_small(df, policy.small_bytes):
         return None
     top = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-             .where(F.col("__n") > policy.hot_rows)
-             .orderBy(F.desc("__n")).limit(policy.max_hot))
+             .where(F.col("__n") > policy.hot_rows))
+    if policy.max_hot:
+        top = top.orderBy(F.desc("__n")).limit(policy.max_hot)
     table = top.toArrow()
     if table.num_rows == 0:
         return None

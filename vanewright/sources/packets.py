@@ -37,7 +37,8 @@ def _parsed(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def _well_formed() -> Column:
-    return F.col("__p").isNotNull() & F.col("__p.unit").isNotNull() & F.col("__p.cycle").isNotNull()
+    return (F.col("__p").isNotNull() & safe_int(F.col("__p.unit")).isNotNull()
+            & safe_int(F.col("__p.cycle")).isNotNull())
 
 
 def decode_packets(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
