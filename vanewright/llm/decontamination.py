@@ -25,7 +25,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +65,10 @@ class Index:
     def __init__(self, names: list, texts: list[str], cfg: Leaks) -> None:
         self.cfg, self.sizes, self.short = cfg, {}, {}
         k = cfg.shingle
-        column = pc.utf8_lower(pa.array([t or "" for t in texts], pa.string()))
+        column = pa.array([t or "" for t in texts], pa.string())
         grams, weights = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         found: dict[int, list] = {}
-        for at, _, data, off in pieces(column):
+        for at, _, data, off in pieces(column, lower=True):
             held = Texts(data, off, LOOSE)
             words = held.word_hashes()
             all_grams, all_weights = _features(held, k)
@@ -190,9 +189,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Leaks = Leaks(), t
     schema = docs.schema
     for shared in _passes(benchmark, cfg, item_col, item_text):
         def work(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
-            column = pc.utf8_lower(batch.column(batch.schema.get_field_index(text)))
+            column = batch.column(batch.schema.get_field_index(text))
             clean = np.ones(batch.num_rows, bool)
-            for at, _, data, off in pieces(column):
+            for at, _, data, off in pieces(column, lower=True):
                 for d, *_ in shared.value.search(Texts(data, off, LOOSE)):
                     clean[at + d] = False
             yield batch.filter(pa.array(clean))
@@ -217,8 +216,7 @@ def _searcher(shared, item_type):
     arrow_type = to_arrow_type(item_type)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lowered = pc.utf8_lower(batch.column(1))
-        for at, _, data, off in pieces(lowered):
+        for at, _, data, off in pieces(batch.column(1), lower=True):
             found = list(shared.value.search(Texts(data, off, LOOSE)))
             if found:
                 d, item, start, n, distance, score = zip(*found)

@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from vanewright.llm.tables import held
 from vanewright.llm.textscan import BYTE_VALUES, BYTES, blobs, mix, per_batch, pieces
 
-#: Entries of a worker's memory of encoded words, of which it starts anew beyond them, and bytes of a word in it.
+#: Words in a worker's memory, about 35 bytes each, which it starts anew beyond them, and bytes of a
+#: part beyond which those of its batch are not remembered.
 KNOWN_WORDS = 1_000_000
-LONGEST_WORD = 64
+LONGEST_WORD = 4096
 #: Words that are encoded in a row.
 TOGETHER = 20_000
 #: Single bytes that are white space for the tokenizer or for Unicode, and first bytes of wider white space.
@@ -94,28 +95,39 @@ class Coder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for name, i in vocabulary.items():
             self.sizes[i] = len(name)
-        self.known: dict[int, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """The memory: sorted hashes of words, and where their ids lie in ``store``."""
+        self.keys = np.zeros(0, np.uint64)
+        self.place = self.size = np.zeros(0, np.int32)
+        self.store = np.zeros(0, np.uint32)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, body: bytes, keys: list[int], starts: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> dict[int, bytes]:
-        """Ids of the parts at the given places.  Inner parts start at a cut and end before
-        one, so they can be encoded in a row."""
-        new: dict[int, bytes] = {}
+    def _learn(self, body: bytes, starts: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the parts at the given places in a row, where each part's begin, and the number of each part's.
+        Inner parts start at a cut and end before one, so they can be encoded together."""
+        sizes = np.zeros(len(starts), np.int64)
+        order, ids = [], []
         row = np.flatnonzero(inner)
         for lo in range(0, len(row), TOGETHER):
             some = row[lo:lo + TOGETHER]
-            ids = self._ids(b"".join([body[a:b] for a, b in zip(starts[some], ends[some])]).decode())
-            till = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(ends[some] - starts[some])) + 1
-            raw = ids.tobytes()
-            for i, a, b in zip(some.tolist(), [0, *till[:-1].tolist()], till.tolist()):
-                new[keys[i]] = raw[4 * a:4 * b]
-        alone = np.flatnonzero(~inner).tolist()
-        texts = [body[starts[i]:ends[i]].decode() for i in alone]
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            new[keys[i]] = array("I", e.ids).tobytes()
-        return new
+            ids.append(self._ids(b"".join([body[a:b] for a, b in zip(starts[some], ends[some])]).decode()))
+            till = np.searchsorted(np.cumsum(self.sizes[ids[-1]]), np.cumsum(ends[some] - starts[some])) + 1
+            sizes[some] = np.diff(till, prepend=0)
+            order.append(some)
+        alone = np.flatnonzero(~inner)
+        texts = [body[starts[i]:ends[i]].decode() for i in alone.tolist()]
+        for i, e in zip(alone.tolist(), self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids.append(np.array(e.ids, np.uint32))
+            sizes[i] = len(ids[-1])
+        order = np.concatenate([*order, alone]).astype(np.int64)
+        flat = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.uint32)
+        begin = np.zeros(len(starts), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat, begin, sizes
 
     @staticmethod
     def _cuts(data: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -147,21 +159,26 @@ class Coder:
         sums = BYTES.prefix(BYTE_VALUES[data])
         hashes = mix(BYTES.spans(sums, starts, ends)) ^ inner.astype(np.uint64)
         unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        missing = np.flatnonzero([k not in self.known for k in keys]) if keys else first
-        at = first[missing]
-        new = self._learn(data.tobytes(), [keys[i] for i in missing], starts[at], ends[at], inner[at])
-        known = self.known
-        parts = [known[k] if k in known else new[k] for k in keys]
-        short = (ends[at] - starts[at]) <= LONGEST_WORD
-        known.update((keys[i], new[keys[i]]) for i in missing[short])
-        parts.append(array("I", [end_id]).tobytes())
-        sizes = np.array([len(p) // 4 for p in parts], np.int64)
-        place = np.cumsum(sizes) - sizes
-        store = np.frombuffer(b"".join(parts), np.uint32)
-        order = np.insert(which, np.searchsorted(starts, off[1:]), len(keys))
+        if len(self.keys) > KNOWN_WORDS:
+            self._forget()
+        at = np.searchsorted(self.keys, unique)
+        old = np.zeros(len(unique), bool)
+        if len(self.keys):
+            at_key = np.minimum(at, len(self.keys) - 1)
+            old = self.keys[at_key] == unique
+        place, sizes = np.zeros(len(unique) + 1, np.int64), np.ones(len(unique) + 1, np.int64)
+        place[:-1][old], sizes[:-1][old] = self.place[at[old]], self.size[at[old]]
+        new = np.flatnonzero(~old)
+        flat, begin, count = self._learn(data.tobytes(), starts[first[new]], ends[first[new]], inner[first[new]])
+        place[new], sizes[new] = len(self.store) + begin, count
+        store = np.concatenate([self.store, flat, np.array([end_id], np.uint32)])
+        place[-1] = len(store) - 1  # the end token follows every text as a part of its own
+        if (ends - starts).max(initial=0) <= LONGEST_WORD:
+            self.keys = np.insert(self.keys, at[new], unique[new])
+            self.place = np.insert(self.place, at[new], place[new]).astype(np.int32)
+            self.size = np.insert(self.size, at[new], sizes[new]).astype(np.int32)
+            self.store = store[:-1]
+        order = np.insert(which, np.searchsorted(starts, off[1:]), len(unique))
         lengths = sizes[order]
         till = np.cumsum(lengths)
         ids = store[np.repeat(place[order] - (till - lengths), lengths) + np.arange(till[-1] if len(till) else 0)]

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -119,9 +119,14 @@ def runs(hashes: np.ndarray, k: int, powers: Powers = WORDS, salt: int = 0) -> n
     return mix((sums[k:] - sums[:-k]) * powers.down[:n])
 
 
-def pieces(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, limit: int = CHUNK_BYTES, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of whole texts of about ``limit`` bytes: first
     row, row after the last, bytes, offsets.  Null texts are empty."""
+    if lower:  # run by run, so that a batch is never held twice
+        for at, to, _, _ in pieces(column, limit):
+            for _, _, data, off in pieces(pc.utf8_lower(column.slice(at, to - at)), 1 << 62):
+                yield at, to, data, off
+        return
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_binary()), b"")

@@ -143,7 +143,7 @@ def _folded(docs: DataFrame, *columns: str) -> DataFrame:
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in columns)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        folded = pa.array([fold(t) for t in batch.column(0).to_pylist()], pa.string())
+        folded = pa.array([fold(t.as_py()) for t in batch.column(0)], pa.string())
         yield pa.RecordBatch.from_arrays([folded, *batch.columns[1:]], names=["folded", *columns])
 
     return per_batch(docs.select("text", *columns), work, f"folded string, {kinds}")
@@ -222,8 +222,8 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text: str =
         automaton = lexicon.automaton()
         for batch in batches:
             rows, n = [], []
-            for t in batch.column(0).to_pylist():
-                folded = fold(t)
+            for t in batch.column(0):
+                folded = fold(t.as_py())
                 found = matches(automaton, folded)
                 rows.append(features(found, folded))
                 n.append(len(found))
