@@ -50,6 +50,45 @@ def test_windows_equal_batch(spark, source, tmp_path, per_trigger, drop_first):
     assert facts(spark.read.parquet(f"{tmp_path}/out")) == facts(want)
 
 
+SHIFT = 10**6  # a watermark starts at 0, and what is not above it is late
+
+
+@pytest.fixture(scope="module")
+def delayed(source, tmp_path_factory):
+    """The same packets; some come one or two files later, one far too late, and a beat ends them."""
+    _, pdf = source
+    pdf = pdf.assign(timestamp_ms=pdf["timestamp_ms"] + SHIFT)
+    rng = np.random.default_rng(4)
+    late = rng.random(len(pdf)) < 0.2
+    part = np.minimum(np.arange(len(pdf)) // 80 + np.where(late, rng.integers(1, 3, len(pdf)), 0), 4)
+    root = tmp_path_factory.mktemp("delayed")
+    beat = pdf.tail(1).assign(unit=-1, timestamp_ms=10**9)
+    lost = pdf.head(1).assign(timestamp_ms=1)
+    for i in range(5):
+        pdf[part == i].sample(frac=1, random_state=i).to_parquet(root / f"part-{i}.parquet", index=False)
+    lost.to_parquet(root / "part-5.parquet", index=False)
+    for i in (6, 7):  # the second takes the batch in which the first has moved the watermark
+        beat.to_parquet(root / f"part-{i}.parquet", index=False)
+    return str(root)
+
+
+@pytest.mark.parametrize("drop_first", [False, True])
+def test_late_packets_change_nothing(spark, source, delayed, tmp_path, drop_first):
+    path, _ = source
+    timed = pipeline.with_watermark(stream(spark, delayed, 1), "250 seconds")
+    out = pipeline.stream_windows(timed, ["a"], 4, compat_drop_first=drop_first)
+    q = (out.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+         .option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = windows.session_ids(spark.read.parquet(path), ["timestamp_ms"])
+    want = windows.sliding_windows(batch, ["a"], ["timestamp_ms"], 4, ["unit", "session_id"],
+                                   compat_drop_first=drop_first)
+    got = spark.read.parquet(f"{tmp_path}/out").withColumn("timestamp_ms", F.col("timestamp_ms") - SHIFT)
+    assert facts(got) == facts(want)
+    dropped = sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"])
+    assert dropped == 1
+
+
 def test_pipeline_end_to_end_and_restart(spark, source, tmp_path):
     path, pdf = source
 

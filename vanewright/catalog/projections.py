@@ -138,10 +138,33 @@ def _found_columns(s, d):
     return project.find_columns(value_counts(li, li.columns), ["KEY", "date"], "feature")
 
 
+def _scan_written(s, d):
+    """The telemetry written with the schema of the scan, and read back with it."""
+    path, t = v.scratch(s, "telemetry"), v.telemetry(s, d).select(*KEYS, "s1")
+    t.write.parquet(path)
+    return scans.read_telemetry(s, path, t.schema)
+
+
+def _order_files(s, d, name, frame):
+    """A folder of files per priority."""
+    root = v.scratch(s, name)
+    frame.write.partitionBy("folder").parquet(root)
+    kinds = [r["folder"] for r in frame.select("folder").distinct().collect()]
+    return [f"{root}/folder={k}" for k in sorted(kinds)]
+
+
 def _read_many(s, d):
-    v.table(s, d, "nation")
-    t = scans.read_many(s, [f"{d}/customer.parquet"])
-    return t.groupBy("src_file").agg(F.count(F.lit(1)).alias("rows"))
+    """Orders in one folder of files per priority, in one scan that names each row's file."""
+    o = v.table(s, d, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("part"),
+                                       F.substring("o_orderpriority", 1, 1).alias("folder"))
+    out = scans.read_many(s, _order_files(s, d, "orders", o))
+    return out.select("part", "o_orderkey", "o_totalprice", F.col("src_file").endswith(".parquet").alias("named"))
+
+
+def _metric_files(s, d):
+    """Logs in several files, read and merged."""
+    log = v.metric_log(s, d).withColumn("folder", F.substring("tag", 1, 1))
+    return scans.read_metric_logs(s, _order_files(s, d, "logs", log))
 
 
 def _binary(s, d):
@@ -266,10 +289,10 @@ def _first_rows(s, d):
 
 ENTRIES = [
     # --- scans
-    Entry("s1_parquet_scan", lambda s, d: v.telemetry(s, d).where("unit = 11 AND cycle > 3").select(*KEYS, "s1"),
-          oracle(f"SELECT {KEY_SQL}, s1 FROM telemetry WHERE unit = 11 AND cycle > 3", v.TELEMETRY)),
+    Entry("s1_parquet_scan", _scan_written,
+          oracle(f"SELECT {KEY_SQL}, s1 FROM telemetry", v.TELEMETRY)),
     Entry("s2_multi_file_scan", _read_many,
-          "SELECT 'customer.parquet' AS src_file, count(*) AS rows FROM customer"),
+          "SELECT o_orderpriority AS part, o_orderkey, o_totalprice, true AS named FROM orders"),
     Entry("s3_zip_row_aligned", lambda s, d: scans.zip_row_aligned(_parts(s, d), "event_id"),
           oracle("SELECT event_id, s1, s2, unit, cycle, 30 - cycle AS rul FROM packets", v.PACKETS)),
     Entry("s5_decode_packets", lambda s, d: bus.decode_packets(_json_packets(s, d), ["s1", "s2"])
@@ -280,8 +303,7 @@ ENTRIES = [
     Entry("s8_discover_datasets", lambda s, d: scans.discover_datasets(v.artifacts(s, d), suffix=".parquet"),
           oracle("""SELECT DISTINCT regexp_extract(path, '([^/]+)\\.parquet$', 1) AS dataset FROM artifacts
                     WHERE path LIKE '%.parquet'""", v.ARTIFACTS)),
-    Entry("s9_metric_log_scan", lambda s, d: scans.merge_metric_logs(
-              [v.metric_log(s, d).where("tag <> '5-LOW'"), v.metric_log(s, d).where("tag = '5-LOW'")]),
+    Entry("s9_metric_log_scan", _metric_files,
           oracle("SELECT * FROM metric_log", v.METRIC_LOG)),
     Entry("s10_catalog_report", _catalog,
           oracle("""SELECT column_name, 'fleet_telemetry_view' AS table_name, true AS "exists", cast(p AS integer) AS position, n AS values
@@ -383,13 +405,12 @@ ENTRIES = [
           oracle("""SELECT unit, count(*) AS rows FROM telemetry WHERE unit IN
                     (SELECT s_suppkey FROM supplier WHERE s_acctbal < 1000) GROUP BY unit""", v.TELEMETRY)),
     Entry("j9_mission_progress", lambda s, d: r(joins.mission_progress(
-              v.packets(s, d).where("cycle < 20"), profile.lifecycle_totals(v.packets(s, d))
-              .where("unit % 9 <> 0")), 6, "progress"),
+              v.packets(s, d).where("s1 < 15"), profile.lifecycle_totals(v.packets(s, d))), 6, "progress"),
           oracle("""SELECT a.unit, current_cycle, total_cycles,
                       greatest(0.0, (total_cycles - current_cycle) * 5.5)::double AS remaining_sec,
                       round(least(1.0, current_cycle / total_cycles), 6) AS progress
-                    FROM (SELECT unit, max(cycle) AS current_cycle FROM packets WHERE cycle < 20 GROUP BY unit) a
-                    JOIN (SELECT unit, count(DISTINCT cycle) AS total_cycles FROM packets WHERE unit % 9 <> 0
+                    FROM (SELECT unit, max(cycle) AS current_cycle FROM packets WHERE s1 < 15 GROUP BY unit) a
+                    JOIN (SELECT unit, count(DISTINCT cycle) AS total_cycles FROM packets
                           GROUP BY unit) b ON a.unit = b.unit""", v.PACKETS)),
     Entry("j10_latest_fresh", lambda s, d: joins.latest_fresh(
               v.artifacts(s, d).withColumn("run", F.substring("path", 6, 2)), 2100, 105, by=["run"]),

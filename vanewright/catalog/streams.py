@@ -18,10 +18,35 @@ FEATS = ["s1", "s2"]
 DOMAIN = {"s1": (50.0, 47.5), "s2": (40.0, 12.5)}
 
 
-def events_stream(s, d):
+SLICES = 5
+LATE_DAYS = 1
+
+
+def events_in_files(s, d, late=False):
+    """The events in five folders by time, written one after another, so that a stream takes
+    one after another.  ``late`` moves every other event of the last day of a folder to the
+    next, and adds one beat far ahead of all, which lets the watermark pass them."""
+    ev = v.table(s, d, "events")
+    lo, hi = ev.agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))), F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    width = (hi - lo) // SLICES + 1
+    part = F.floor((at - lo) / width)
+    if late:
+        moved = (F.col("event_id") % 2 == 0) & ((at - lo) % width > width - LATE_DAYS * 86_400_000)
+        part = F.least(part + moved.cast("int"), F.lit(SLICES - 1))
+    root = v.scratch(s, "events")
+    for i in range(SLICES):
+        ev.where(part == i).coalesce(1).write.parquet(f"{root}/slice={i}")
+    if late:
+        beat = ev.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
+        beat = beat.withColumns({"ts": F.col("ts") + F.expr("interval 40 days"), "user_id": F.lit(-1).cast(ev.schema["user_id"].dataType)})
+        beat.select(*ev.columns).coalesce(1).write.parquet(f"{root}/slice={SLICES}")
+    return root
+
+
+def events_stream(s, d, late=False):
     schema = v.table(s, d, "events").schema
-    return (s.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-             .option("pathGlobFilter", "events.parquet").parquet(d))
+    return s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{events_in_files(s, d, late)}/slice=*")
 
 
 def message_stream(s, d):
@@ -42,8 +67,8 @@ def drain(s, stream, name):
     return s.read.schema(stream.schema).parquet(f"{root}/data")
 
 
-def _session_stream(s, d):
-    p = v.packets_of(events_stream(s, d)).withColumn("cycle", F.col("cycle10"))
+def _session_stream(s, d, late=False):
+    p = v.packets_of(events_stream(s, d, late)).withColumn("cycle", F.col("cycle10"))
     return p.select("event_id", "unit", "cycle", "timestamp_ms", "s1", "s2")
 
 
@@ -53,7 +78,7 @@ def _windows(s, d, **kw):
 
 
 def _watermarked(s, d):
-    timed = pipeline.with_watermark(_session_stream(s, d), "10 minutes")
+    timed = pipeline.with_watermark(_session_stream(s, d, late=True), f"{LATE_DAYS + 1} days")
     out = pipeline.stream_windows(timed, FEATS, 5, carry=["timestamp_ms", "event_id"])
     return window_facts(drain(s, out, "late"), "unit", "session_id", "event_id")
 
@@ -73,7 +98,7 @@ def scorer(df):
 def _scored_stream(s, d):
     root = v.scratch(s, "scored")
     for q in pipeline.telemetry_pipeline(message_stream(s, d), root, scorer, FEATS, DOMAIN, 5,
-                                         snapshot_every=1):
+                                         snapshot_every=2):
         q.awaitTermination()
     out = pipeline.read_scores(s, root)
     return r(out.select("unit", "cycle", "timestamp_ms", "true_rul", "s1", "s2_z", "predicted_rul"), 5,

@@ -13,25 +13,34 @@ VOID = {"br", "hr", "img", "input", "meta", "link"}
 class MarkdownBuilder(HTMLParser):
     """Collects Markdown pieces while the parser walks the page."""
 
-    def __init__(self, drop: tuple[str, ...], protect_pre: bool):
+    def __init__(self, drop: tuple[str, ...], protect_pre: bool, unwrap: tuple[str, ...] = ()):
+        """``drop`` tags lose their content, up to their own end or that of the element
+        they stand in; ``unwrap`` tags lose only their marks."""
         super().__init__(convert_charrefs=True)
-        self.drop, self.protect_pre = set(drop), protect_pre
+        self.drop, self.unwrap, self.protect_pre = set(drop), set(unwrap), protect_pre
+        self.open: list[str] = []
         self.codes: dict[str, str] = {}
         self.out: list[str] = []
-        self.skipping = 0
+        self.skipping: int | None = None  # depth of the outermost dropped element
         self.pre: list[str] | None = None
+        self.pre_depth = 0
         self.links: list[str] = []
         self.lists: list[int | None] = []
 
     def handle_starttag(self, tag, attrs):
+        if tag not in VOID:
+            self.open.append(tag)
         if tag in self.drop:
-            if tag not in VOID:
-                self.skipping += 1
+            if tag not in VOID and self.skipping is None:
+                self.skipping = len(self.open)
             return
-        if self.skipping or self.pre is not None and tag != "pre":
+        if self.skipping is not None or tag in self.unwrap:
+            return
+        if self.pre is not None:
+            self.pre_depth += tag == "pre"
             return
         if tag == "pre":
-            self.pre = []
+            self.pre, self.pre_depth = [], 1
         elif re.fullmatch("h[1-6]", tag):
             self.out.append("\n\n" + "#" * int(tag[1]) + " ")
         elif tag in ("b", "strong"):
@@ -66,14 +75,18 @@ class MarkdownBuilder(HTMLParser):
             self.lists.append(1 if tag == "ol" else None)
 
     def handle_endtag(self, tag):
-        if tag in self.drop:
-            if tag not in VOID:
-                self.skipping = max(0, self.skipping - 1)
-            return
-        if self.skipping:
+        dropped = self.skipping is not None
+        if tag in self.open:
+            # The end of an element ends all that was left open in it.
+            del self.open[len(self.open) - 1 - self.open[::-1].index(tag):]
+            if dropped and len(self.open) < self.skipping:
+                self.skipping = None
+        if tag in self.drop or tag in self.unwrap or dropped and self.skipping is not None:
             return
         if tag == "pre" and self.pre is not None:
-            self._close_pre()
+            self.pre_depth -= 1
+            if not self.pre_depth:
+                self._close_pre()
         elif self.pre is not None:
             return
         elif re.fullmatch("h[1-6]", tag):
@@ -101,7 +114,7 @@ class MarkdownBuilder(HTMLParser):
             self.out.append(f"\n\n```\n{code}\n```\n\n")
 
     def handle_data(self, data):
-        if self.skipping:
+        if self.skipping is not None:
             return
         if self.pre is not None:
             self.pre.append(data)

@@ -186,19 +186,20 @@ def validate_markup(df: DataFrame, html: str, name: str = "valid_markup",
 
 def html_to_markdown(df: DataFrame, html: str, drop_tags: Sequence[str] = ("script", "style"),
                      protect_pre: bool = False, name: str = "markdown",
-                     codes: str = "codes") -> DataFrame:
-    """Markdown with ``#`` headings from HTML; listed tags are dropped with
-    their content.  With ``protect_pre`` each ``<pre>`` becomes a code token and
-    its text goes to the ``codes`` map.
+                     codes: str = "codes", unwrap_tags: Sequence[str] = ()) -> DataFrame:
+    """Markdown with ``#`` headings from HTML; ``drop_tags`` are dropped with their
+    content, ``unwrap_tags`` lose their marks and keep it.  With ``protect_pre`` each
+    ``<pre>`` becomes a code token and its text goes to the ``codes`` map.
+    ``GUIDE_UNWRAP`` and ``LEGAL_UNWRAP`` are the lists of the two ingestion paths.
 
     The only Python step of the document jobs: Arrow batches of one column.
     """
-    drop = tuple(drop_tags)
+    drop, unwrap = tuple(drop_tags), tuple(unwrap_tags)
 
     @F.pandas_udf("struct<markdown string, codes map<string, string>>")
     def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [_convert(page, drop, protect_pre) for page in batch]
+            rows = [_convert(page, drop, protect_pre, unwrap) for page in batch]
             yield pd.DataFrame(rows, columns=["markdown", "codes"])
 
     out = df.withColumn("__md", convert(F.col(html)))
@@ -208,10 +209,15 @@ def html_to_markdown(df: DataFrame, html: str, drop_tags: Sequence[str] = ("scri
     return out.drop("__md")
 
 
-def _convert(page: str | None, drop: tuple[str, ...], protect_pre: bool):
+# Tags that the two ingestion paths unwrap.
+GUIDE_UNWRAP = ("script", "style", "nav", "footer")
+LEGAL_UNWRAP = ("script", "style", "img")
+
+
+def _convert(page: str | None, drop: tuple[str, ...], protect_pre: bool, unwrap: tuple[str, ...] = ()):
     if page is None:
         return None, None
-    builder: HTMLParser = MarkdownBuilder(drop, protect_pre)
+    builder: HTMLParser = MarkdownBuilder(drop, protect_pre, unwrap)
     builder.feed(page)
     builder.close()
     return builder.markdown(), builder.codes

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from vanewright.operators.project import Stats, dual_domain, stats_map
 from vanewright.plans.ordered import take_per_group
 from vanewright.plans.sizing import checked_broadcast
 from vanewright.schemas import FEATURES, PHYSICAL_ABOVE, WINDOW_SIZE
-from vanewright.session import STATE_PROVIDER
 from vanewright.sources.packets import dead_letters, decode_packets
 
 ONLINE_WITHIN_S = 10   # fixed value: a node is online if its last beat is younger
@@ -30,71 +30,118 @@ def with_watermark(packets: DataFrame, delay: str = "10 minutes",
 
 
 class _WindowState(StatefulProcessor):
-    """Ring of the last ``size - 1`` packets, last cycle and session per unit."""
+    """Per unit: the last ``size - 1`` packets, cycle and session, and, under a
+    watermark, the packets that wait for it.
+
+    Under a watermark a packet is held until the watermark has passed it, when a timer
+    releases all that are due in the order of their stamps; only then the session rule
+    sees them.  Packets behind the watermark never get here: Spark drops and counts them
+    (``numRowsDroppedByWatermark``).
+    """
 
     def __init__(self, features: Sequence[str], carried: Sequence[str], size: int,
-                 state_schema: T.StructType, drop_first: bool, order: str):
+                 ring: T.StructType, waiting: T.StructType, drop_first: bool, order: str, timed: bool):
         self.features, self.carried, self.size = list(features), list(carried), size
-        self.state_schema, self.drop_first, self.order = state_schema, drop_first, order
+        self.ring_schema, self.waiting_schema = ring, waiting
+        self.drop_first, self.order, self.timed = drop_first, order, timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ring = handle.getListState("ring", self.state_schema)
+        self.handle = handle
+        self.ring = handle.getListState("ring", self.ring_schema)
         self.place = handle.getValueState("place", "cycle int, session long")
+        if self.timed:
+            self.waiting = handle.getListState("waiting", self.waiting_schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        names = self.waiting_schema.names
+        if not self.timed:
+            yield self._advance(key, pd.concat([r[names] for r in rows]))
+            return
+        for part in rows:
+            self.waiting.appendList([tuple(v) for v in part[names].astype(object).itertuples(index=False)])
+            self.handle.registerTimer(int(part[self.order].min()))
+        yield self._nothing()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.waiting_schema.names)
+        due = held[self.order] <= passed
+        if not due.any():
+            yield self._nothing()
+            return
+        rest = held[~due]
+        if len(rest):
+            self.waiting.put([tuple(v) for v in rest.astype(object).itertuples(index=False)])
+            self.handle.registerTimer(int(rest[self.order].min()))
+        else:
+            self.waiting.clear()
+        yield self._advance(key, held[due])
+
+    def _nothing(self) -> pd.DataFrame:
+        return pd.DataFrame({c: pd.Series([], dtype=object) for c in ["unit", *self.carried, "session_id", *map(_steps, self.features)]})
+
+    def _advance(self, key, batch: pd.DataFrame) -> pd.DataFrame:
+        """Append packets in order and return the windows that they fill.  A window is a
+        view of the values, not a copy of its packets."""
+        batch = batch.sort_values(self.order, kind="stable")
         held = self.place.get()
         last, session = (held[0], held[1]) if held is not None else (None, 0)
-        ring = [tuple(r) for r in self.ring.get()]
-        out: dict[str, list] = {c: [] for c in ["unit", *self.carried, "session_id", "window"]}
-        values = batch[self.features].astype(float).to_numpy()
-        carried = {c: batch[c].tolist() for c in self.carried}
-        for i, cycle in enumerate(batch["cycle"].tolist()):
-            fell = last is not None and cycle < last
-            if fell:
-                ring, session = [], session + 1
-            last = cycle
-            if fell and self.drop_first:
-                continue
-            ring.append(tuple(values[i].tolist()))
-            if len(ring) == self.size:
-                out["unit"].append(key[0])
-                out["session_id"].append(session)
-                out["window"].append([dict(zip(self.features, r)) for r in ring])
-                for c in self.carried:
-                    out[c].append(carried[c][i])
-                ring.pop(0)
-        self.ring.put(ring) if ring else self.ring.clear()
-        self.place.update((int(last), int(session)))
-        yield pd.DataFrame(out)
+        cycle = batch["cycle"].to_numpy(np.int64)
+        fell = np.diff(cycle, prepend=cycle[0] if last is None else last) < 0
+        ids = session + np.cumsum(fell)
+        ring = np.array([tuple(r) for r in self.ring.get()], float).reshape(-1, len(self.features))
+        values = batch[self.features].to_numpy(float)
+        kept = ~fell if self.drop_first else np.ones(len(batch), bool)
+        parts, ends = [], []
+        for i in range(session, int(ids[-1]) + 1):
+            own = np.flatnonzero((ids == i) & kept)
+            start = ring if i == session else ring[:0]
+            run = np.concatenate([start, values[own]])
+            if len(run) >= self.size:
+                parts.append(np.lib.stride_tricks.sliding_window_view(run, self.size, axis=0))
+                ends.append(own[len(own) - len(parts[-1]):])
+            left = run[max(0, len(run) - self.size + 1):]
+        self.ring.put([tuple(r) for r in left.tolist()]) if len(left) else self.ring.clear()
+        self.place.update((int(cycle[-1]), int(ids[-1])))
+        if not parts:
+            return self._nothing()
+        at, windows = np.concatenate(ends), np.concatenate(parts)
+        out = {"unit": [key[0]] * len(at), **{c: batch[c].to_numpy()[at] for c in self.carried}, "session_id": ids[at]}
+        return pd.DataFrame(out | {_steps(f): list(windows[:, j]) for j, f in enumerate(self.features)})
 
     def close(self) -> None:
         pass
 
 
+def _steps(feature: str) -> str:
+    return f"__steps_{feature}"
+
+
 def stream_windows(packets: DataFrame, features: Sequence[str] = FEATURES,
                    size: int = WINDOW_SIZE, order: str = "timestamp_ms",
                    carry: Sequence[str] = ("timestamp_ms", "cycle", "true_rul"),
                    compat_drop_first: bool = False) -> DataFrame:
     """Sliding windows per unit with session resets, emitted when full.
 
-    State per unit is bounded: ``size - 1`` packets, a cycle and a counter.
-    Rows of a micro-batch are ordered by event time inside a unit; after
-    ``with_watermark`` packets behind the watermark are dropped.
+    After ``with_watermark`` packets are released in event-time order once the watermark
+    has passed them, so a packet that comes late but within the delay changes nothing;
+    state holds the packets of the delay.  Without a watermark a micro-batch is ordered
+    in itself, and state per unit is ``size - 1`` packets, a cycle and a counter.
+    The session must use the RocksDB state store (``vanewright.session.configure``).
     """
-    spark = packets.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
-    window = T.ArrayType(T.StructType([T.StructField(f, T.DoubleType()) for f in features]))
-    fields = [packets.schema["unit"], *[packets.schema[c] for c in carry],
-              T.StructField("session_id", T.LongType()), T.StructField("window", window)]
-    ring = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
-    processor = _WindowState(features, carry, size, ring, compat_drop_first, order)
     timed = "event_time" in packets.columns
-    needed = dict.fromkeys(["unit", "cycle", order, *carry, *features]
-                           + (["event_time"] if timed else []))
-    return (packets.select(*needed).groupBy("unit").transformWithStateInPandas(
+    used = dict.fromkeys([order, "cycle", *carry, *features])
+    waiting = T.StructType([packets.schema[c] for c in used])
+    steps = [T.StructField(_steps(f), T.ArrayType(T.DoubleType())) for f in features]
+    fields = [packets.schema["unit"], *[packets.schema[c] for c in carry], T.StructField("session_id", T.LongType()), *steps]
+    ring = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
+    processor = _WindowState(features, carry, size, ring, waiting, compat_drop_first, order, timed)
+    needed = ["unit", *used, *(["event_time"] if timed else [])]
+    out = packets.select(*needed).groupBy("unit").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=T.StructType(fields),
-        outputMode="Append", timeMode="EventTime" if timed else "None"))
+        outputMode="Append", timeMode="EventTime" if timed else "None")
+    window = F.arrays_zip(*[F.col(_steps(f)).alias(f) for f in features])
+    return out.select("unit", *carry, "session_id", window.alias("window"))
 
 
 @dataclass(frozen=True)
@@ -127,14 +174,16 @@ def telemetry_pipeline(messages: DataFrame, root: str, scorer: Callable[[DataFra
                        features: Sequence[str] = FEATURES, stats: DataFrame | Stats | None = None,
                        size: int = WINDOW_SIZE, threshold: float = PHYSICAL_ABOVE,
                        mode: str = "per_value", snapshot_every: int = 0,
-                       trigger: dict | None = None) -> list[StreamingQuery]:
+                       trigger: dict | None = None, delay: str | None = None) -> list[StreamingQuery]:
     """Decode, dual domain, window, score, persist, snapshot; rejects go aside.
 
     Each micro-batch overwrites its own ``batch_id`` partition, so a replayed
     batch leaves no duplicates.  A session reset needs no delete: rows carry
     their session and readers keep the last one (``read_scores``).  A snapshot
     copies the whole table, so it is off unless asked for every so many batches.
-    ``scorer`` maps a frame with a ``window`` column to one with scores.
+    ``scorer`` maps a frame with a ``window`` column to one with scores.  ``delay`` sets a
+    watermark: packets are then scored in event-time order, each once the watermark has
+    passed it, which a stream that ends leaves its last packets waiting for.
     """
     sink = SinkPaths(root)
     known = stats_map(stats) if stats is not None else None
@@ -145,6 +194,8 @@ def telemetry_pipeline(messages: DataFrame, root: str, scorer: Callable[[DataFra
     else:
         packets = packets.withColumns({f"{f}_z": F.col(f) for f in features})
     carry = ["timestamp_ms", "cycle", "true_rul", *features]
+    if delay:
+        packets = with_watermark(packets, delay)
     windows = stream_windows(packets, z_names, size, carry=carry)
 
     def persist(batch: DataFrame, batch_id: int) -> None:
