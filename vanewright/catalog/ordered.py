@@ -315,7 +315,9 @@ ENTRIES = [
     Entry("w14_raw_rul", lambda s, d: v.telemetry_rul(s, d).select(*KEYS, "rul"),
           oracle(f"SELECT {KEY_SQL}, rul FROM telemetry", v.TELEMETRY)),
     Entry("w15_reservoir", lambda s, d: windows.reservoir(v.metric_log(s, d), ["tag"], 100, 7)
-          .select("tag", "step", "value")),
+          .select("tag", "step", "value"),
+          oracle("""SELECT tag, step, value FROM (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY md5('7:' || step), step) AS n
+                    FROM metric_log) WHERE n <= 100""", v.METRIC_LOG)),
     # --- sinks
     Entry("k1_fleet_schema_append", _append,
           oracle("""SELECT cast(unit AS integer) AS unit, count(*) AS rows, max(cycle) AS max_cycle,

@@ -295,6 +295,10 @@ ENTRIES = [
           oracle("""SELECT DISTINCT unit % 10 + fc * 10 AS code FROM telemetry WHERE split = 'test' AND
                     unit % 10 + fc * 10 NOT IN (SELECT unit % 10 + fc * 10 FROM telemetry WHERE split = 'dev')""",
                  v.TELEMETRY)),
+    Entry("a34_lifecycle_document", lambda s, d: profile.lifecycle_document(v.packets(s, d))
+          .select(F.to_json("total_cycles").alias("total_cycles")),
+          oracle("""SELECT concat('{', string_agg(concat('"', unit, '":', n), ',' ORDER BY cast(unit AS varchar)), '}') AS total_cycles
+                    FROM (SELECT unit, count(DISTINCT cycle) AS n FROM packets GROUP BY unit)""", v.PACKETS)),
     Entry("a34_lifecycle_totals", lambda s, d: profile.lifecycle_totals(v.packets(s, d)),
           oracle("SELECT unit, count(DISTINCT cycle) AS total_cycles FROM packets GROUP BY unit", v.PACKETS)),
 ]

@@ -199,9 +199,7 @@ def _dual_check(s, d):
 
 def _stats_report(s, d):
     t = v.telemetry(s, d)
-    parts = [profile.flight_conditions(t.where(F.col("dataset") == n), S, "dataset")
-             for n in ("DS01", "DS02", "DS03")]
-    return r(joins.synthesis(parts), 6, "mean")
+    return r(joins.synthesis([profile.flight_conditions(t, S, "dataset")]), 6, "mean")
 
 
 def _prefix_keys(s, d):
@@ -283,8 +281,9 @@ decoded AS (
 
 
 def _first_rows(s, d):
-    t = v.telemetry(s, d).where("unit = 7").orderBy(*v.ORDER)
-    return t.limit(1).select(F.to_json(F.struct("unit", "cycle", "s1")).alias("record"))
+    """The first row of every unit as a record."""
+    first = take_per_group(v.telemetry(s, d), ["unit"], v.ORDER, 1)
+    return first.select(F.to_json(F.struct("unit", "cycle", "fc")).alias("record"))
 
 
 ENTRIES = [
@@ -471,7 +470,10 @@ ENTRIES = [
           oracle("SELECT * FROM packets ORDER BY cycle DESC, event_id DESC LIMIT 5", v.PACKETS)),
     Entry("o3_sample_rows", lambda s, d: profile.sample_rows(v.packets(s, d), 10, ["event_id"], F.col("unit") == 11),
           oracle("SELECT * FROM packets WHERE unit = 11 ORDER BY event_id LIMIT 10", v.PACKETS)),
-    Entry("o3_first_row_as_record", _first_rows),
+    Entry("o3_first_row_as_record", _first_rows,
+          oracle("""SELECT concat('{"unit":', unit, ',"cycle":', cycle, ',"fc":', fc, '}') AS record FROM
+                    (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) AS n
+                     FROM telemetry) WHERE n = 1""", v.TELEMETRY)),
     Entry("o4_trajectory", lambda s, d: profile.trajectory(v.scores(s, d), 11),
           oracle("SELECT * FROM scores WHERE unit = 11", v.SCORES)),
     Entry("o6_recent_describe", lambda s, d: describe(profile.recent_describe(

@@ -99,12 +99,13 @@ def _guides(s, d):
 
 
 def _registry(s, d):
-    return v.table(s, d, "labels").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"))
+    return v.table(s, d, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("slug"))
 
 
 def _ingested(s, d):
-    pages = v.table(s, d, "documents").where("n_chars > 1500").select(
-        F.concat(F.lit("DOC-"), F.col("doc_id").cast("string")).alias("slug"), F.col("text").alias("html"))
+    """All documents are registered; the smaller table of pages has content for some of them."""
+    pages = v.table(s, d, "pages").select(
+        F.concat(F.lit("DOC-"), F.col("page_id").cast("string")).alias("slug"), "html")
     return t.ingest_all(_registry(s, d), pages)
 
 
@@ -146,12 +147,12 @@ ENTRIES = [
           oracle("SELECT doc_id, cast(chunk_no AS integer) AS heading_no, cast(level AS integer) AS level, title FROM heads",
                  v.HEADER_LINES, HEADED, HEADS)),
     Entry("t9_ingest_all", lambda s, d: _ingested(s, d).select("slug", F.length("html").alias("chars"), "status"),
-          """SELECT 'doc-' || l.doc_id AS slug, cast(length(text) AS integer) AS chars,
-             CASE WHEN text IS NULL THEN 'FAILED' ELSE 'OK' END AS status
-             FROM labels l LEFT JOIN (SELECT * FROM documents WHERE n_chars > 1500) d ON l.doc_id = d.doc_id"""),
+          """SELECT 'doc-' || l.doc_id AS slug, cast(length(html) AS integer) AS chars,
+             CASE WHEN html IS NULL THEN 'FAILED' ELSE 'OK' END AS status
+             FROM documents l LEFT JOIN pages p ON l.doc_id = p.page_id"""),
     Entry("t9_ingest_summary", lambda s, d: t.ingest_summary(_ingested(s, d)),
-          """SELECT count(*) AS documents, count(*) FILTER (WHERE text IS NULL) AS failures, 1 AS exit_status
-             FROM labels l LEFT JOIN (SELECT * FROM documents WHERE n_chars > 1500) d ON l.doc_id = d.doc_id"""),
+          """SELECT count(*) AS documents, count(*) FILTER (WHERE html IS NULL) AS failures, 1 AS exit_status
+             FROM documents l LEFT JOIN pages p ON l.doc_id = p.page_id"""),
     Entry("t11_classify_artifacts", lambda s, d: t.classify_artifacts(v.artifacts(s, d)).select("path", "department", "signable"),
           oracle("""SELECT path, CASE WHEN path LIKE '%.safetensors' OR path LIKE '%.pt' THEN 'model'
                       WHEN path LIKE '%.parquet' THEN 'data' WHEN path LIKE '%.log' THEN 'logs'

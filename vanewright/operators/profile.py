@@ -214,10 +214,10 @@ def lifecycle_totals(df: DataFrame, unit: str = "unit", cycle: str = "cycle") ->
     return end_of_failure(df, unit, cycle).withColumnRenamed("eof_cycles", "total_cycles")
 
 
-def lifecycle_document(df: DataFrame, units: Sequence[int], unit: str = "unit",
+def lifecycle_document(df: DataFrame, units: Sequence[int] | None = None, unit: str = "unit",
                        cycle: str = "cycle") -> DataFrame:
-    """The registration document of a chosen fleet: one row with a map."""
-    totals = lifecycle_totals(df.where(F.col(unit).isin(*units)), unit, cycle)
+    """The registration document of a fleet, all units or the given ones: one row with a map."""
+    totals = lifecycle_totals(df if units is None else df.where(F.col(unit).isin(*units)), unit, cycle)
     entry = F.struct(F.col(unit).cast("string").alias("key"), F.col("total_cycles").alias("value"))
     return totals.agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("total_cycles"))
 

@@ -164,6 +164,7 @@ def raw_rul(df: DataFrame, unit: str = "unit", cycle: str = "cycle", name: str =
 
 def reservoir(df: DataFrame, part: Sequence[str], n: int, seed: int = 0,
               on: Sequence[str] = ("step",)) -> DataFrame:
-    """At most ``n`` rows per key, chosen by a seeded hash: the same rows in
-    every run and for every partitioning."""
-    return take_per_group(df, part, [F.xxhash64(F.lit(seed), *on), *on], n)
+    """At most ``n`` rows per key, chosen by the MD5 of the seed and the columns ``on``: the
+    same rows in every run, for every partitioning and on any engine."""
+    spot = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in on]))
+    return take_per_group(df, part, [spot, *on], n)
