@@ -30,15 +30,18 @@ def _value(f: str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def _pick(ranked: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """Quantiles from rows (value, n, first rank, last rank, total)."""
+def _pick(ranked: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
+          tag: str | None = None) -> DataFrame:
+    """All quantiles from rows (value, n, first rank, last rank, total) in one pass.  With
+    ``tag`` a row counts for the quantile that this column names."""
     aggs, needed = [], F.lit(False)
     for name, p in probs.items():
+        own = F.lit(True) if tag is None else F.col(tag) == name
         spot = (F.col("total") - 1) * F.lit(p)
         low, high = F.floor(spot), F.ceil(spot)
-        needed = needed | (F.col("lo") <= high) & (low <= F.col("hi"))
-        at_low = F.max(F.when((F.col("lo") <= low) & (low <= F.col("hi")), F.col("value")))
-        at_high = F.max(F.when((F.col("lo") <= high) & (high <= F.col("hi")), F.col("value")))
+        needed = needed | own & (F.col("lo") <= high) & (low <= F.col("hi"))
+        at_low = F.max(F.when(own & (F.col("lo") <= low) & (low <= F.col("hi")), F.col("value")))
+        at_high = F.max(F.when(own & (F.col("lo") <= high) & (high <= F.col("hi")), F.col("value")))
         share = F.max(spot - low)
         aggs.append((at_low + (at_high - at_low) * share).alias(name))
     return ranked.where(needed).groupBy(*keys).agg(*aggs)
@@ -116,11 +119,7 @@ def _by_brackets(df: DataFrame, features: Sequence[str],
     ranked = (ranked.join(F.broadcast(table), ["feature", "q"])
               .withColumns({"lo": F.col("below") + F.col("cum") - F.col("n"),
                             "hi": F.col("below") + F.col("cum") - 1}))
-    out = None
-    for name, p in probs.items():
-        one = _pick(ranked.where(F.col("q") == name), ["feature"], {name: p})
-        out = one if out is None else out.join(one, "feature")
-    return _for_all(out, features, probs)
+    return _for_all(_pick(ranked, ["feature"], probs, "q"), features, probs)
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
