@@ -287,7 +287,8 @@ def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
     classes = held(scanned.where("n_shingles > 0").groupBy("node")
                           .agg(F.min("id").alias("least"), F.first("bands").alias("bands")))
     banded = classes.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Held, so that both sides of the join come from a shuffle and a hot band can be split.
+    shared = held(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     members = held(banded.join(shared, "key"))
     # Hubs: classes in the largest bands come first, so hubs are as typical of their group as can be.
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))

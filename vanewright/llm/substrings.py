@@ -233,10 +233,12 @@ def repeats(docs: DataFrame, cfg: Repeats = Repeats(), id_col: str = "doc_id", t
     scanned, classes, found = find_repeats(docs, cfg, id_col, text)
     part = _spans(_rows_of(rows, found, "at"), cfg)
     part = part.select("k1", "k2", "spans", "n_removed", kept(F.col("kept")).alias("kept"))
-    part = part.dropDuplicates(["k1", "k2"])
+    part = part.dropDuplicates(["k1", "k2"]).withColumn("copied", F.lit(False))
     copies = classes.where("n_docs > 1").select("k1", "k2", F.lit(True).alias("copied"))
-    out = scanned.join(part, ["k1", "k2"], "left").join(copies, ["k1", "k2"], "left")
-    copied = F.col("copied") & (F.col("n_words") >= cfg.length)
+    # Windows are confirmed one by one only in texts without copies, so a class is in one of the two.
+    of_class = held(part.unionByName(copies, allowMissingColumns=True))
+    out = scanned.join(of_class, ["k1", "k2"], "left")
+    copied = F.coalesce(F.col("copied"), F.lit(False))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     whole_span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
     nothing_left = kept(F.lit("").cast("binary"))
