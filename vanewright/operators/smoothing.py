@@ -34,18 +34,26 @@ def fit_series(x: np.ndarray, n: np.ndarray, w: np.ndarray, wy: np.ndarray, k: i
     of consecutive x, so each fit looks at no more than that run.
     """
     before = np.concatenate([[0], np.cumsum(n)])
+    ends = np.searchsorted(before, before[:-1] + k, side="left")   # exclusive, of the run from each start
+    firsts = np.maximum(np.searchsorted(before, before[1:] - k, side="right") - 1, 0)
+    last = int(np.searchsorted(ends, len(x), side="right")) - 1    # starts after it have too few points
     fitted = np.full(len(x), np.nan)
+    s = 0
     for i in range(len(x)) if wanted is None else np.flatnonzero(wanted):
         at = x[i]
-        first = np.searchsorted(before, before[i + 1] - k, side="right") - 1
-        starts = np.arange(max(0, first), i + 1)
-        ends = np.searchsorted(before, before[starts] + k, side="left")   # exclusive
-        fits = ends <= len(x)
-        starts, ends = starts[fits], np.maximum(ends[fits], i + 1)
-        if len(starts):
-            reach = np.maximum(at - x[starts], x[ends - 1] - at).min()
+
+        def cost(start: int) -> float:
+            return max(at - x[start], x[max(ends[start], i + 1) - 1] - at)
+
+        # The best run moves to the right only: to the left end it is too long, to the
+        # right end too short, and between the longer side shrinks and then grows.
+        s = max(s, firsts[i])
+        if s <= min(i, last):
+            while s + 1 <= min(i, last) and cost(s + 1) <= cost(s):
+                s += 1
+            reach = cost(s)
         else:
-            reach = max(at - x[0], x[-1] - at)
+            reach = cost(last) if firsts[i] <= last <= i else max(at - x[0], x[-1] - at)
         near = slice(np.searchsorted(x, at - reach, side="left"),
                      np.searchsorted(x, at + reach, side="right"))
         dist = np.abs(x[near] - at)
