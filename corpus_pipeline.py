@@ -36,9 +36,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    labels = table(spark, sf_dir, "labels").where(fold_of() != 0).select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    labelled = docs.select("doc_id", "text").join(labels, "doc_id")
-    lexicon = toxicity.learn(labelled.withColumnRenamed("doc_id", "id"))
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").where(fold_of() != 0).select("doc_id", "toxic"))
     scored = toxicity.score(docs, lexicon, carry=("text", "lang", "source", "n_chars"))
     # Without labels of both classes every score is 0.5, which rejects nothing.
     return scored.where((F.col("score") < 0.5) | F.lit(not lexicon.weights)).select(*COLUMNS)

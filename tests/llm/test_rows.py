@@ -205,9 +205,10 @@ def test_toxicity(spark, docs_of):
         elif i % 6 == 1:
             w[3:3] = ["edler", "schuft"]  # never toxic
         texts.append((i, " ".join(w), int(toxic)))
-    train = spark.createDataFrame([t for t in texts if t[0] % 5], "id long, text string, toxic int")
+    train = spark.createDataFrame([t for t in texts if t[0] % 5], "doc_id long, text string, toxic int")
     train = train.unionByName(spark.createDataFrame([(None, "x", 1), (9999, None, 0), (9998, "y", None)], train.schema))
-    lexicon = toxicity.learn(train)
+    read, labels = train.drop("toxic"), train.select("doc_id", "toxic")
+    lexicon = toxicity.learn(read, labels)
     assert any("grobi" in e for e in lexicon.weights) and " edler schuft " in lexicon.excused
     rows = docs_of([t[:2] for t in texts] + [(1000, None), (1001, ""), (None, "grobian schuft"), (1002, "lando " * 50_000)], True)
     got = {r["doc_id"]: r["score"] for r in toxicity.score(rows, lexicon, carry=("lang", "spans")).collect()}
@@ -215,7 +216,7 @@ def test_toxicity(spark, docs_of):
     held = [t for t in texts if t[0] % 5 == 0]
     assert sum((got[i] >= 0.5) == bool(y) for i, _, y in held) >= 0.97 * len(held)
     assert max(got[1000], got[1001], got[1002]) < 0.5 < got[None]
-    assert {r["score"] for r in toxicity.score(rows, toxicity.learn(train.where("toxic = 0"))).collect()} == {0.5}
+    assert {r["score"] for r in toxicity.score(rows, toxicity.learn(read, labels.where("toxic = 0"))).collect()} == {0.5}
 
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")

@@ -153,15 +153,16 @@ def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
             prints = np.array([fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                 blobs([signature(s, factors, shifts).tobytes() for s in sets]), blobs([s.tobytes() for s in sets])],
+                 blobs([signature(s, factors, shifts).tobytes() for s in sets]),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                 names=["f1", "f2", "sig", "grams"])
 
-    out = per_batch(docs.select(F.col(text).alias("text")), work, "f1 long, f2 long, sig binary, grams binary")
+    out = per_batch(docs.select(F.col(text).alias("text")), work, "f1 long, f2 long, sig binary, grams array<long>")
     return out.select(F.struct("f1", "f2").alias("node"), "sig", "grams").dropDuplicates(["node"])
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """The exact rule on two sorted sets."""
+    """The exact rule on two sets."""
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -191,16 +192,14 @@ def _prune(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold."""
-    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        a, b = (batch.column(i).to_pylist() for i in (2, 3))
-        ok = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), cfg.percent) for x, y in zip(a, b)]
-        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    pair = "struct<f1:bigint,f2:bigint>"
+    """Pairs (a, b) whose full sets reach the threshold.  Sets stay in the JVM, pair by
+    pair: a batch of them for Python would be large."""
     side = {x: sets.select(F.col("node").alias(x), F.col("grams").alias(f"g{x}")) for x in "ab"}
-    joined = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "ga", "gb")
-    return per_batch(joined, work, f"a {pair}, b {pair}")
+    joined = pairs.join(side["a"], "a").join(side["b"], "b")
+    a, b = F.size("ga"), F.size("gb")
+    joined = joined.where(100 * F.least(a, b) >= cfg.percent * F.greatest(a, b))
+    joined = joined.select("a", "b", (a + b).alias("all"), F.size(F.array_intersect("ga", "gb")).alias("both"))
+    return joined.where(100 * F.col("both") >= cfg.percent * (F.col("all") - F.col("both"))).select("a", "b")
 
 
 def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
@@ -212,7 +211,7 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
     placed = members.select("key", "node").join(first, "key").join(roots, "node", "left") \
                     .select("key", "node", root.alias("root"), "main")
     placed = held(placed.withColumn("out", F.expr("root <> main")))
-    bytes_of = sets.select("node", (F.length("sig") + F.length("grams")).alias("bytes"))
+    bytes_of = sets.select("node", (F.length("sig") + 8 * F.size("grams")).alias("bytes"))
     sized = placed.join(bytes_of, "node")
     blocks = lambda of: F.ceil(F.coalesce(F.sum(of), F.lit(0)) / BLOCK_BYTES).cast("long")
     counts = sized.groupBy("key").agg(blocks(F.when(F.col("out"), F.col("bytes"))).alias("na"),
@@ -244,10 +243,9 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
                 here = same.any(axis=1) & (keys[np.arange(len(keys)), same.argmax(axis=1)] == key)
                 at = np.flatnonzero(here & ((ra != p.r1) | (rb != p.r2)))
                 at = at[_sequential(np.broadcast_to(left, (len(at), cfg.hashes)), right[at], cfg)]
-                mine = np.frombuffer(p.grams, np.uint64)
                 seen = set()  # one link to each component is enough
                 for i in at:
-                    if (ra[i], rb[i]) not in seen and similar(mine, np.frombuffer(grams[i], np.uint64), cfg.percent):
+                    if (ra[i], rb[i]) not in seen and similar(p.grams, grams[i], cfg.percent):
                         seen.add((ra[i], rb[i]))
                         out.append((p.f1, p.f2, fa[i], fb[i]))
         return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"], dtype="int64")

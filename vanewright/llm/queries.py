@@ -67,8 +67,7 @@ def fold_of(doc_id: str = "doc_id"):
 def toxic_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
     """Learned from the labelled documents that are not held out."""
     labels = table(spark, sf_dir, "labels").where(fold_of() != 0).select("doc_id", "toxic")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
-    return toxicity.learn(rows.withColumnRenamed("doc_id", "id"))
+    return toxicity.learn(table(spark, sf_dir, "documents"), labels)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

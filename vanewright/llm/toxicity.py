@@ -149,12 +149,19 @@ def _folded(docs: DataFrame, *columns: str) -> DataFrame:
     return per_batch(docs.select("text", *columns), work, f"folded string, {kinds}")
 
 
-def learn(labelled: DataFrame, cfg: Learning = Learning()) -> Lexicon:
-    """From (id, text, toxic 0/1): a bounded sample is counted in tasks; the driver gets
-    entries above the limits and a few numbers per sampled row."""
-    rows = labelled.where("id is not null and toxic in (0, 1)").select("id", "text", F.col("toxic").cast("int").alias("toxic"))
-    rows = rows.orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(cfg.sample)
-    rows = held(_folded(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), "toxic"))
+def learn(docs: DataFrame, labels: DataFrame, cfg: Learning = Learning(), id_col: str = "doc_id", text: str = "text") -> Lexicon:
+    """From documents and labels (id_col, toxic 0/1): a bounded sample is counted in tasks;
+    the driver gets entries above the limits and a few numbers per sampled row.
+
+    Labels are sampled before they meet the documents: the smallest hashes of their ids,
+    at most ``sample`` rows, which are broadcast, so no text is shuffled to find them.
+    A document with several labels takes the larger.
+    """
+    chosen = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1)).groupBy(id_col) \
+                   .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    chosen = held(chosen.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(cfg.sample))
+    rows = docs.select(id_col, F.col(text).alias("text")).join(F.broadcast(chosen), id_col).select("text", "toxic")
+    rows = held(_folded(rows, "toxic"))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return Lexicon()
