@@ -25,7 +25,8 @@ LATE_DAYS = 1
 def events_in_files(s, d, late=False):
     """The events in five folders by time, written one after another, so that a stream takes
     one after another.  ``late`` moves every other event of the last day of a folder to the
-    next, and adds one beat far ahead of all, which lets the watermark pass them."""
+    next, and adds beats far ahead of all: the first lets the watermark pass the events, the
+    second takes the batch in which it has."""
     ev = v.table(s, d, "events")
     lo, hi = ev.agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))), F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()
     at = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -40,7 +41,8 @@ def events_in_files(s, d, late=False):
     if late:
         beat = ev.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
         beat = beat.withColumns({"ts": F.col("ts") + F.expr("interval 40 days"), "user_id": F.lit(-1).cast(ev.schema["user_id"].dataType)})
-        beat.select(*ev.columns).coalesce(1).write.parquet(f"{root}/slice={SLICES}")
+        for i in (SLICES, SLICES + 1):
+            beat.select(*ev.columns).coalesce(1).write.parquet(f"{root}/slice={i}")
     return root
 
 
