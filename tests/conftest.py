@@ -12,8 +12,9 @@ from vanewright.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", 8, **{
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         "spark.ui.enabled": "false", "spark.driver.memory": "8g",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false"})
     session.sparkContext.setLogLevel("ERROR")

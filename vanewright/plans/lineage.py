@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the session names; a local session without one gets its own."""
+    """The folder the session names in ``spark.checkpoint.dir``; a session that runs in
+    this process alone gets its own if it names none."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         named = tempfile.mkdtemp(prefix="vanewright-")
     if sc.getCheckpointDir() is None:
