@@ -72,7 +72,7 @@ def toxic_lexicon(spark: SparkSession, sf_dir: str) -> toxicity.Lexicon:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(table(spark, sf_dir, "documents"), toxic_lexicon(spark, sf_dir))
-    return scored.select("doc_id", (fold_of() == 0).alias("held_out"), "score",
+    return scored.select("doc_id", F.coalesce(fold_of() == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_matches")
 
 
