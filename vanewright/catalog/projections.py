@@ -60,11 +60,6 @@ def _json_packets(s, d):
                     F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).otherwise(body).alias("value"))
 
 
-def _file_rows(s, d):
-    """Page addresses as a file listing."""
-    return v.table(s, d, "pages").select(F.col("url").alias("path"), "page_id")
-
-
 def _registry(s, d):
     n = v.table(s, d, "nation")
     return n.select(F.col("n_name").alias("slug"), F.col("n_nationkey").alias("entry_id"),

@@ -36,10 +36,6 @@ def safe_int(c: Column | str) -> Column:
     return F.when((as_double > -2147483649.0) & (as_double < 2147483648.0), whole).try_cast("int")
 
 
-def epoch_millis(c: Column | str) -> Column:
-    return F.unix_millis(col_of(c).cast("timestamp"))
-
-
 def age_seconds(now_ms: Column | str, then_ms: Column | str) -> Column:
     return (col_of(now_ms) - col_of(then_ms)) / 1000.0
 
@@ -137,8 +133,3 @@ def flatten_window(window: Column | str, features: Sequence[str]) -> Column:
     feature first."""
     w = col_of(window)
     return F.flatten(F.array(*[field_of(w, f) for f in features]))
-
-
-def window_matrix(window: Column | str, features: Sequence[str]) -> Column:
-    """``array<struct<features>>`` to steps x features."""
-    return F.transform(col_of(window), lambda x: F.array(*[x[f] for f in features]))

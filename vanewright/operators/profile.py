@@ -257,7 +257,3 @@ def head_tail(df: DataFrame, part: Sequence[str], order: Sequence[str], n: int)
     first = take_per_group(df, part, list(order), n).withColumn("end", F.lit("head"))
     last = take_per_group(df, part, [F.desc(c) for c in order], n).withColumn("end", F.lit("tail"))
     return first.unionByName(last)
-
-
-def attach_unit_stats(df: DataFrame, stats: DataFrame, unit: str = "unit") -> DataFrame:
-    return lookup_join(df, stats, [unit])

@@ -68,9 +68,3 @@ def linear_score(df: DataFrame, weights: dict[str, float], bias: float = 0.0,
         total = total + mean * w
     return df.withColumns({"predicted_rul": positive_head(total),
                            "predicted_std": positive_head(F.lit(std_bias))}).drop(window)
-
-
-def score_series(windows: pd.Series, scorer: Scorer, features: Sequence[str]) -> np.ndarray:
-    """Score a pandas series of windows (lists of feature dicts)."""
-    data = np.array([[[step[f] for f in features] for step in w] for w in windows], dtype=float)
-    return scorer(data) if len(data) else np.empty((0, 2))

@@ -8,6 +8,7 @@ lookahead at line starts, which keeps each heading with its own section.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -31,7 +32,8 @@ ARTICLE_ID = r"(?U)Article\s+(\d+\w?)"
 HEADER_LINE = r"#{1,5}" + _GAP
 JSON_LD_START, JSON_LD = '{"@context":', r'\{"@context":[^\n]*\}'
 ANCHOR_START, ANCHOR_LINK = "](#", r"\[([^\]]+)\]\(#[^\)]+\)"
-LIST_MARKS, NUMBER_MARKS, LABELS = ["*", "-", "+", ">"], ["1.", "2.", "3."], ["Yes:", "No:"]
+# What a line of its own starts with.
+LINE_STARTS = ["*", "-", "+", ">", "1.", "2.", "3.", "Yes:", "No:"]
 CODE_TOKEN = r"CODETOKEN\d+BLOCK"
 
 
@@ -68,8 +70,7 @@ def clean_paragraphs(text: Column | str, code_tokens: bool = False) -> Column:
 
     def marked(line: Column) -> Column:
         s = strip(line)
-        starts = (F.substring(s, 1, 1).isin(*LIST_MARKS) | F.substring(s, 1, 2).isin(*NUMBER_MARKS)
-                  | s.startswith(LABELS[0]) | s.startswith(LABELS[1]))
+        starts = reduce(lambda a, b: a | b, [s.startswith(mark) for mark in LINE_STARTS])
         out = F.when(line == "", F.lit(CUT))
         if code_tokens:
             out = out.when(s.rlike(CODE_TOKEN), F.concat(F.lit(CUT), s, F.lit(CUT)))

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Sensor names in wire order (operating conditions, measurements).
-CONDITIONS = ["alt", "Mach", "TRA", "T2"]
-MEASUREMENTS = ["T24", "T30", "T48", "T50", "P15", "P2", "P21", "P24", "Ps30",
-                "P40", "P50", "Nf", "Nc", "Wf"]
-FEATURES = CONDITIONS + MEASUREMENTS
+# Sensor names in wire order, the four operating conditions first.
+FEATURES = ["alt", "Mach", "TRA", "T2", "T24", "T30", "T48", "T50", "P15", "P2", "P21", "P24", "Ps30",
+            "P40", "P50", "Nf", "Nc", "Wf"]
 
 # Calibration means and standard deviations, same order.
 CALIBRATION_MEAN = [18375.578, 0.554, 56.001, 481.217, 557.680, 1306.740, 1614.074,
@@ -56,11 +54,6 @@ METRIC_LOG = T.StructType([
     T.StructField("tag", T.StringType()), T.StructField("step", T.LongType()),
     T.StructField("wall_time", T.DoubleType()), T.StructField("value", T.DoubleType())])
 
-FRAGMENT = T.StructType([
-    T.StructField("section", T.StringType()), T.StructField("article_id", T.StringType()),
-    T.StructField("level", T.IntegerType()), T.StructField("type", T.StringType()),
-    T.StructField("text", T.ArrayType(T.StringType()))])
-
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a schema, in its column order."""

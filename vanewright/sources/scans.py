@@ -88,13 +88,6 @@ def merge_metric_logs(logs: Sequence[DataFrame]) -> DataFrame:
     return out.orderBy("tag", "step")
 
 
-def schema_frame(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: table, position, name, type."""
-    rows = [(table, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]
-    return df.sparkSession.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string")
-
-
 def catalog_report(spark: SparkSession, name: str) -> DataFrame:
     """Columns of a table or view; one row with ``exists = false`` if absent."""
     schema = "table_name string, exists boolean, position int, column_name string, data_type string"
