@@ -21,6 +21,7 @@ rows are packed separately; null ids are carried; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,10 +40,10 @@ from vanewright.llm.textscan import BYTE_VALUES, BYTES, blobs, mix, per_batch, p
 
 #: Words in a worker's memory, about 35 bytes each, which it starts anew beyond them, and bytes of a
 #: part beyond which those of its batch are not remembered.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 LONGEST_WORD = 4096
 #: Words that are encoded in a row.
-TOGETHER = 20_000
+TOGETHER = 5_000
 #: Single bytes that are white space for the tokenizer or for Unicode, and first bytes of wider white space.
 SPACED = np.zeros(256, bool)
 SPACED[[*range(9, 14), *range(28, 33)]] = True
@@ -86,6 +87,8 @@ class Coder:
     """
 
     def __init__(self, spec: str) -> None:
+        # Tasks are the unit of parallel work; the library's threads would only hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
