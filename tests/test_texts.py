@@ -1,5 +1,7 @@
 """Document operators on hand-written pages."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from vanewright.operators import text as t
@@ -104,3 +106,28 @@ def test_outline_and_counts(spark):
     assert t.chunk_stats(made, ["id"]).first()["chunk_count"] == 2
     doc = t.fragment_documents(made, ["id"]).select(F.col("metadata.chunk_count")).first()
     assert doc[0] == 2
+
+
+def test_whole_pages_are_checked(spark, tmp_path):
+    """All fragments of a page and of an export, and the text of unwrapped tags, reach the results."""
+    from vanewright.catalog.texts import ENTRIES
+
+    run = {e.key: e.run for e in ENTRIES}
+    page = ("<head><title>T</title><script>var a;</script></head><body><nav>menu</nav><h1>One</h1><p>text <img src=a alt=b></p>"
+            "<h2>Two</h2><p>more</p><footer>end</footer></body>")
+    spark.createDataFrame([(7, page)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    docs = [(1, "a\nb\nc\nd\ne", "s"), (2, "x", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def md5(x):
+        return hashlib.md5(x.encode()).hexdigest()
+
+    row = run["t1_html_to_markdown"](spark, str(tmp_path)).first()
+    found = t.html_to_markdown(spark.createDataFrame([(page,)], "html string"), "html", (), unwrap_tags=t.GUIDE_UNWRAP).first()["markdown"]
+    assert all(x in found for x in ("var a;", "menu", "![b](a)", "end"))
+    assert row["digest"] == md5(found) and row["chars"] == len(found)
+    assert row["legal_chars"] < row["chars"]  # without the image alone
+    got = sorted((r["chunk_no"], r["section"], r["level"]) for r in run["t2_guide_fragments"](spark, str(tmp_path)).collect())
+    assert got == [(0, "Introduction", 0), (1, "One", 1), (2, "Two", 2), (3, "Example", 2)]
+    got = sorted((r["doc_id"], r["chunk_no"], r["chunk_count"], r["digest"]) for r in run["k8_fragment_rows"](spark, str(tmp_path)).collect())
+    assert got == [(1, 0, 2, md5("Article 0 a\n\nb\nc")), (1, 1, 2, md5("Article 3 d\n\ne")), (2, 0, 1, md5("Article 0 x\n\n"))]

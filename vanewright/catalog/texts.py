@@ -84,18 +84,30 @@ def _paragraphs(s, d):
 
 
 def _markdown(s, d):
-    out = t.html_to_markdown(spread(v.table(s, d, "pages")), "html", ("script", "style", "nav", "footer"))
-    return out.select("page_id", F.md5("markdown").alias("digest"), F.length("markdown").alias("chars"))
+    """Pages as both ingestion paths read them: the text of unwrapped tags stays."""
+    out = t.html_to_markdown(spread(v.table(s, d, "pages")), "html", (), unwrap_tags=t.GUIDE_UNWRAP)
+    out = t.html_to_markdown(out, "html", (), unwrap_tags=t.LEGAL_UNWRAP, name="legal")
+    return out.select("page_id", F.md5("markdown").alias("digest"), F.length("markdown").alias("chars"),
+                      F.md5("legal").alias("legal_digest"), F.length("legal").alias("legal_chars"))
 
 
 def _guides(s, d):
-    """Pages with a code block appended, through protection and sections."""
+    """All fragments of the pages with a code block appended, through protection and sections."""
     p = spread(v.table(s, d, "pages")).withColumn("html", F.concat(
         "html", F.lit("<h2>Example</h2><pre>select\n  "), F.col("page_id").cast("string"), F.lit("</pre>")))
-    md = t.html_to_markdown(p, "html", ("script", "style", "nav", "footer"), protect_pre=True)
-    rows = t.explode_fragments(t.chunk_by_headers(md, "markdown", codes="codes"), ["page_id"])
-    return rows.where("section = 'Example'").select("page_id", "section", "level",
-                                                    F.array_join("text", "|").alias("body"))
+    md = t.html_to_markdown(p, "html", (), protect_pre=True, unwrap_tags=t.GUIDE_UNWRAP)
+    return t.explode_fragments(t.chunk_by_headers(md, "markdown", codes="codes"), ["page_id"])
+
+
+def _guide_rows(s, d):
+    return _guides(s, d).select("page_id", F.col("chunk_no").cast("long").alias("chunk_no"), "section", "level",
+                                F.size("text").alias("paragraphs"), F.md5(F.array_join("text", "\n")).alias("digest"))
+
+
+def _examples(s, d):
+    """The appended block alone, as its SQL has it; ``_guide_rows`` has all fragments."""
+    return _guides(s, d).where("section = 'Example'").select("page_id", "section", "level",
+                                                             F.array_join("text", "|").alias("body"))
 
 
 def _registry(s, d):
@@ -109,20 +121,33 @@ def _ingested(s, d):
     return t.ingest_all(_registry(s, d), pages)
 
 
-def _export(s, d):
+def _exported(s, d):
     """Nested documents through JSON files and back."""
     path = v.scratch(s, "fragments")
     docs = t.fragment_documents(_articles(s, d), ["doc_id", "source"])
     sinks.write_fragments(docs, path)
-    back = s.read.schema(docs.schema).json(path)
-    return back.select(F.col("metadata.doc_id").alias("doc_id"), F.col("metadata.source").alias("source"),
+    return s.read.schema(docs.schema).json(path)
+
+
+def _export_rows(s, d):
+    """Every exported fragment with its digest."""
+    back = _exported(s, d).select("metadata.*", "fragments")
+    rows = t.explode_fragments(back, ["doc_id", "source", "chunk_count"])
+    return rows.select("doc_id", "source", "chunk_count", F.col("chunk_no").cast("long").alias("chunk_no"), "section",
+                       "article_id", "type", F.md5("text").alias("digest"))
+
+
+def _export(s, d):
+    """The first fragment of each document, as its SQL has it; ``_export_rows`` has all."""
+    return _exported(s, d).select(F.col("metadata.doc_id").alias("doc_id"), F.col("metadata.source").alias("source"),
                        F.col("metadata.chunk_count").alias("chunk_count"),
                        F.md5(F.element_at("fragments", 1)["text"]).alias("first_digest"))
 
 
 ENTRIES = [
     Entry("t1_html_to_markdown", _markdown),
-    Entry("t2_protected_code", _guides,
+    Entry("t2_guide_fragments", _guide_rows),
+    Entry("t2_protected_code", _examples,
           """SELECT page_id, 'Example' AS section, 2 AS level,
              '## Example|' || '```' || chr(10) || 'select' || chr(10) || '  ' || page_id || chr(10) || '```' AS body
              FROM pages"""),
@@ -169,4 +194,10 @@ ENTRIES = [
                     FROM art a JOIN (SELECT doc_id, max(chunk_no) + 1 AS n FROM ch GROUP BY doc_id) c
                       ON a.doc_id = c.doc_id AND a.chunk_no = 0
                     JOIN documents d ON d.doc_id = a.doc_id""", v.ARTICLE_LINES, ARTICLES)),
+    Entry("k8_fragment_rows", _export_rows,
+          oracle(r"""SELECT a.doc_id, source, cast(n AS integer) AS chunk_count, a.chunk_no, header AS section,
+                      regexp_extract(header, 'Article\s+(\d+\w?)', 1) AS article_id, 'article' AS type,
+                      md5(header || chr(10) || chr(10) || body) AS digest
+                    FROM art a JOIN (SELECT doc_id, max(chunk_no) + 1 AS n FROM ch GROUP BY doc_id) c ON a.doc_id = c.doc_id
+                    JOIN documents d ON d.doc_id = a.doc_id""", v.ARTICLE_LINES, ARTICLES)),
 ]
