@@ -177,6 +177,30 @@ def test_sharding(docs_of, corpus):
     assert sharding.shard(docs_of([(1, None), (1, None)])).count() == 2
 
 
+def test_repeated_rows_are_divided(docs_of, monkeypatch):
+    """A row that is a third of all rows and bytes fits no shard and no cell."""
+    monkeypatch.setattr(sharding, "CELL_ROWS", 100)
+    rng = random.Random(7)
+    size = {i: rng.randint(1, 90) for i in range(2000)}
+    rows = [(i, "t" * (n - 1) + str(i)) for i, n in size.items()]
+    rows += [(None, "same text of a row that is repeated over and over")] * 500 + [(5000, "same text of a row that is repeated over and over")] * 500
+    got = sharding.shard(docs_of(rows))
+    load, taken = Counter(), defaultdict(list)
+    for r in got.collect():
+        load[r["shard"]] += r["size"]
+        taken[r["shard"]].append(r["slot"])
+    assert len(load) == 8 and max(load.values()) < 1.01 * sum(load.values()) / 8
+    assert all(sorted(s) == list(range(len(s))) for s in taken.values())
+
+
+def test_identical_pieces_are_dealt_to_all_workers(spark):
+    cfg = Packing(capacity=64, waste=0, worker_rows=32)
+    pieces = spark.range(3000).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS doc_id", "0L AS start", "64L AS length")
+    ids = [r["sequence_id"] for r in harmonic(pieces, cfg).collect()]
+    workers = Counter((i >> 22) & 0xFFFFFF for i in ids)
+    assert len(ids) == len(set(ids)) == 3000 and len(workers) > 80 and max(workers.values()) < 100
+
+
 def test_placement_balances_all_dimensions():
     rng = np.random.default_rng(0)
     sizes = np.stack([rng.exponential(100, 4000) + 1, rng.exponential(20, 4000) + 1, np.ones(4000)], axis=1)

@@ -251,8 +251,8 @@ def harmonic(pieces: DataFrame, cfg: Packing = Packing()) -> DataFrame:
         raise ValueError("sequence ids hold classes up to 4095")
     names = pieces.columns
     kind = F.floor(F.lit(cfg.capacity) / F.col("length")).cast("long")
-    # The numbering is by content, so that a lost task is repeated alike.
-    spot = F.xxhash64(*[F.col(f"`{c}`") for c in names])
+    # Identical pieces are dealt like others; the salt is fixed once the rows are kept, so that a lost task is repeated alike.
+    spot = F.xxhash64(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id())
     level, pool = 0, held(pieces.withColumn("__k", kind).withColumn("__spot", spot))
     counts = {r["__k"]: r["n"] for r in pool.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
     done = []

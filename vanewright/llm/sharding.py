@@ -11,6 +11,10 @@ A large group holds more than 1 / 4096 of some dimension, so there are at most 3
 of them, and 4096 bundles, whatever the input; only these sums reach the driver.
 Slots are numbered in cells of a unit, whose counts give the offsets.
 
+Rows have a number, fixed when they are kept, which is hashed into parts and cells, so that
+rows equal in id and text are divided like others.  Which rows of a divided group go
+to which part thus depends on their order in the input; nothing else does but the slots.
+
 Defined results: null and empty texts are one group of size 1 per row; repeated rows
 get slots of their own; null ids are carried; an empty input gives no rows; columns of
 the input are kept only if named in ``carry``.
@@ -75,7 +79,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text: str =
     body = F.coalesce(F.col(text), F.lit(""))
     if tokens is None:
         tokens = F.length(body) - F.length(F.translate(body, BLANKS, "")) + 1
-    rows = held(docs.select(F.col(id_col).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"),
+    rows = held(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("salt"), (F.octet_length(body) + 1).cast("long").alias("size"),
                             F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), F.crc32(body).alias("text_crc32"),
                             F.xxhash64(body).alias("g1"), F.xxhash64(F.lit(1), body).alias("g2"), *carry))
     sums = [F.sum("size").alias("size"), F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("n")]
@@ -93,7 +97,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text: str =
     groups = small_side(held(groups.withColumn("large", F.lit(True))), 48)
     fine = F.pmod(F.shiftright("g1", 20), F.lit(16)) == 0
     bundle = F.pmod(F.col("g2"), F.lit(BUNDLES // 2)) + F.when(fine, BUNDLES // 2).otherwise(0)
-    part = F.pmod(F.xxhash64("id", "g2"), F.col("parts"))
+    part = F.pmod(F.xxhash64("id", "g2", "salt"), F.col("parts"))
     # A unit is (u1, u2): the group and its part, or null and the bundle.
     placed = rows.join(groups, ["g1", "g2"], "left").select(
         *[c for c in rows.columns], F.when(F.col("large"), F.xxhash64("g1", "g2")).alias("u1"),
@@ -106,7 +110,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text: str =
     units = spark.createDataFrame(units, "u1 long, u2 long, n long, shard int") \
                  .withColumn("cells", F.ceil(F.col("n") / CELL_ROWS).cast("long"))
     units = small_side(held(units), 48)
-    spot = F.xxhash64("id", "g1", "g2")
+    spot = F.xxhash64("id", "g1", "g2", "salt")
     on = placed["u1"].eqNullSafe(units["u1"]) & (placed["u2"] == units["u2"])
     dealt = placed.join(units, on).select(*[placed[c] for c in placed.columns], "shard",
                                           F.pmod(spot, "cells").alias("cell"))
@@ -116,7 +120,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text: str =
     offsets = counts.select(F.col("shard").alias("s"), F.col("u1").alias("o1"), F.col("u2").alias("o2"),
                             F.col("cell").alias("c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     offsets = small_side(held(offsets), 64)
-    numbered = dealt.withColumn("at", F.row_number().over(W.partitionBy(*unit).orderBy("id", "g1", "g2")) - 1)
+    numbered = dealt.withColumn("at", F.row_number().over(W.partitionBy(*unit).orderBy("id", "g1", "g2", "salt")) - 1)
     on = (F.col("shard") == F.col("s")) & F.col("u1").eqNullSafe(F.col("o1")) & (F.col("u2") == F.col("o2")) & (F.col("cell") == F.col("c"))
     return numbered.join(offsets, on).select(
         F.col("id").alias(id_col), "size", "n_tokens", "text_crc32", F.lit("bytes").alias("law"), "shard",
