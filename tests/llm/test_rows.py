@@ -46,6 +46,21 @@ def test_coder_equals_the_library(tokenizer, corpus):
         assert got == [[*tokenizer(t), 1] for t in texts]
 
 
+def test_special_token_in_a_text_is_that_token(docs_of):
+    from tokenizers import Tokenizer
+
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, f"{mark}{mark}", f"word.{mark}\nnext  {mark}  end, {mark}.", f"x\n{mark}\ny {mark}z {mark} ", f"é{mark}\u3000 {mark}",
+             " ".join(["some", mark, "words"] * 300), "<|endof text|> <|endoftext"]
+    coder = Tokenizer.from_file(TOKENIZER)
+    want = {i: [*coder.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 1]
+    got = defaultdict(list)
+    for r in sorted(token_pieces(docs_of(list(enumerate(texts))), TOKENIZER).collect(), key=lambda r: (r["doc_id"], r["start"])):
+        got[r["doc_id"]] += np.frombuffer(r["ids"], np.uint32).tolist()
+    assert got == want
+
+
 @pytest.mark.parametrize("worker_rows", [4096, 7])
 def test_packing(spark, docs_of, corpus, tokenizer, worker_rows):
     cfg = Packing(capacity=256, waste=4, worker_rows=worker_rows)

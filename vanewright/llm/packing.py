@@ -22,6 +22,7 @@ rows are packed separately; null ids are carried; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -55,6 +56,8 @@ STOP = np.zeros(256, bool)
 STOP[list(b".,;:!?")] = True
 PLAIN = np.zeros(256, bool)
 PLAIN[33:127] = True
+#: What texts are cut at.
+CUTTABLE = re.compile(r"\s|[A-Za-z][.,;:!?]")
 
 
 @dataclass(frozen=True)
@@ -84,20 +87,26 @@ class Coder:
     space after it, nor a letter with a full stop, so a text can be cut there and the
     parts be encoded on their own.  Cuts are made only where the bytes around prove
     this; a part that is not cut is merely longer.
+
+    With ``literal`` the text of a special token is coded like any other text; without it
+    becomes that token, the library's default, which ``token_pieces`` follows.
     """
 
-    def __init__(self, spec: str) -> None:
+    def __init__(self, spec: str, literal: bool = True) -> None:
         # Tasks are the unit of parallel work; the library's threads would only hold memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or CUTTABLE.search(t.content) for t in added.values()):
+            raise ValueError("texts may be cut at or in an added token")
         vocabulary = self.tokenizer.get_vocab()
         #: Bytes of each token: its name has a character for each.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for name, i in vocabulary.items():
-            self.sizes[i] = len(name)
+            self.sizes[i] = len(added[i].content.encode()) if i in added else len(name)
         self._forget()
 
     def _forget(self) -> None:
@@ -191,7 +200,7 @@ class Coder:
 
 @lru_cache(maxsize=2)
 def _coder(spec: str) -> Coder:
-    return Coder(spec)
+    return Coder(spec, literal=False)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, cfg: Packing = Packing(), id_col: str = "doc_id",
