@@ -59,9 +59,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = token_pieces(docs, TOKENIZER)
-    placed = harmonic(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    placed = harmonic(token_pieces(docs, TOKENIZER))
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "ids")
 
 
 STAGES = [("toxicity", toxicity_stage), ("near_dedup", near_dedup_stage), ("decontamination", decontamination_stage),

@@ -65,3 +65,22 @@ def test_stages_take_odd_rows(spark, docs_of, tmp_path):
     assert sorted((r["doc_id"] or 0) for r in docs.collect()) == [0, 1, 2, 3]
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs_of([]), SF).count() == 0
+
+
+def test_pipeline_returns_token_ids(spark, docs_of):
+    """The pieces of the last stage hold the ids of their documents, and sequences can be put together from them."""
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from vanewright.llm.packing import sequences
+
+    texts = {1: "some words " * 1500, 2: "one", 3: None}
+    placed = corpus_pipeline.packing_stage(spark, docs_of(list(texts.items())), SF)
+    coder, got = Tokenizer.from_file(queries.TOKENIZER), {}
+    for r in sorted(placed.collect(), key=lambda r: (r["doc_id"], r["start"])):
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        got.setdefault(r["doc_id"], []).extend(np.frombuffer(r["ids"], np.uint32).tolist())
+    assert got == {d: [*coder.encode(t or "", add_special_tokens=False).ids, 1] for d, t in texts.items()}
+    assert sum(len(r["ids"]) for r in sequences(placed).collect()) == 4 * sum(map(len, got.values()))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vanewright.llm.tables import held
+from vanewright.llm.tables import held, stored
 from vanewright.llm.textscan import BYTE_VALUES, BYTES, blobs, mix, per_batch, pieces
 
 #: Words in a worker's memory, about 35 bytes each, which it starts anew beyond them, and bytes of a
@@ -236,10 +236,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, cfg: Packing = Packing(), id_c
                      f"`{id_col}` {id_type}, start long, length long, doc_tokens long, ids binary")
 
 
-def _last_pool(cfg: Packing, names: list[str]):
+def _last_pool(cfg: Packing):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         """First fit, longest first."""
-        pdf = pdf.sort_values(["length", "__spot", "start"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "__spot"], ascending=[False, True], kind="stable")
         used: list[int] = []
         where, offset = [], []
         for n in pdf["length"]:
@@ -249,20 +249,23 @@ def _last_pool(cfg: Packing, names: list[str]):
             where.append(b)
             offset.append(used[b])
             used[b] += n
-        return pdf.assign(sequence_id=np.array(where, np.int64) + (15 << 58), offset=np.array(offset, np.int64))[names]
+        return pdf.assign(sequence_id=np.array(where, np.int64) + (15 << 58),
+                          offset=np.array(offset, np.int64))[["__id", "sequence_id", "offset"]]
     return pack
 
 
 def harmonic(pieces: DataFrame, cfg: Packing = Packing()) -> DataFrame:
     """``pieces`` (with ``start`` and ``length``, no longer than the capacity) and, for each,
-    ``sequence_id`` and ``offset``.  Other columns are carried along."""
+    ``sequence_id`` and ``offset``.  Other columns stay with the kept pieces while these are numbered
+    and are joined to the numbers at the end, so that ids are moved once."""
     if cfg.capacity >= 4096:
         raise ValueError("sequence ids hold classes up to 4095")
     names = pieces.columns
     kind = F.floor(F.lit(cfg.capacity) / F.col("length")).cast("long")
-    # Identical pieces are dealt like others; the salt is fixed once the rows are kept, so that a lost task is repeated alike.
-    spot = F.xxhash64(*[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id())
-    level, pool = 0, held(pieces.withColumn("__k", kind).withColumn("__spot", spot))
+    # The number of a piece is fixed once the rows are kept, so that a lost task is repeated alike, and identical
+    # pieces are dealt like others.
+    whole = stored(pieces.withColumn("__id", F.monotonically_increasing_id()))
+    level, pool = 0, held(whole.select("__id", "length", kind.alias("__k"), F.xxhash64("__id").alias("__spot")))
     counts = {r["__k"]: r["n"] for r in pool.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
     done = []
     while counts:
@@ -274,7 +277,7 @@ def harmonic(pieces: DataFrame, cfg: Packing = Packing()) -> DataFrame:
         pool = pool.withColumn("__w", F.pmod(F.xxhash64("__spot", F.lit(level)), F.element_at(of, F.col("__k"))))
         mine = W.partitionBy("__k", "__w")
         pool = pool.withColumn("__n", F.count(F.lit(1)).over(mine)) \
-                   .withColumn("__at", F.row_number().over(mine.orderBy("__spot", "start")) - 1)
+                   .withColumn("__at", F.row_number().over(mine.orderBy("__spot")) - 1)
         pool = held(pool)
         full = F.col("__at") < F.col("__n") - F.col("__n") % F.col("__k")
         bin_ = F.floor(F.col("__at") / F.col("__k")).cast("long")
@@ -282,19 +285,18 @@ def harmonic(pieces: DataFrame, cfg: Packing = Packing()) -> DataFrame:
         before = W.partitionBy("__k", "__w", "__bin").orderBy("__at").rowsBetween(W.unboundedPreceding, -1)
         name = (F.lit(level << 58).cast("long") + F.shiftleft("__k", 46) + F.shiftleft("__w", 22) + F.col("__bin"))
         done.append(ready.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
-                         .withColumn("sequence_id", name).select(*names, "sequence_id", "offset"))
+                         .withColumn("sequence_id", name).select("__id", "sequence_id", "offset"))
         pool = pool.where(~full).drop("__n", "__at", "__w")
         if max(workers.values()) == 1:
             break
         # At most k - 1 pieces are left by each worker.
         counts = {k: w * (k - 1) for k, w in workers.items() if k > 1}
         level += 1
-    rest = pool.select(*names, "__spot").withColumn("__one", F.lit(1))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    out = rest.groupBy("__one").applyInPandas(_last_pool(cfg, [*names, "sequence_id", "offset"]), schema)
+    rest = pool.select("__id", "length", "__spot").withColumn("__one", F.lit(1))
+    out = rest.groupBy("__one").applyInPandas(_last_pool(cfg), "__id long, sequence_id long, offset long")
     for part in done:
         out = out.unionByName(part)
-    return out
+    return whole.join(out, "__id").select(*[F.col(f"`{c}`") for c in names], "sequence_id", "offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

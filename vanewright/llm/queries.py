@@ -22,9 +22,8 @@ LISTED_HOSTS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets"
 
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = token_pieces(table(spark, sf_dir, "documents"), TOKENIZER)
-    placed = harmonic(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    placed = harmonic(token_pieces(table(spark, sf_dir, "documents"), TOKENIZER))
+    return placed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
