@@ -11,6 +11,7 @@ from vanewright.llm.decontamination import find_leaks
 from vanewright.llm.line_quality import line_quality
 from vanewright.llm.near_dedup import NearDup, near_groups
 from vanewright.llm.packing import harmonic, token_pieces
+from vanewright.llm.prefix_trie import prefix_trie, share_heads, turn_units
 from vanewright.llm.sharding import shard
 from vanewright.llm.substrings import Repeats, repeats
 from vanewright.llm.tables import table
@@ -93,9 +94,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listed(F.col("spans")).alias("spans"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(share_heads(turn_units(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_line_frequency, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_license_digests,
-    op6_url_filter, op7_vector_sharding, op8_toxicity, op9_substring_dedup, op10_secret_scan)}
+    op6_url_filter, op7_vector_sharding, op8_toxicity, op9_substring_dedup, op10_secret_scan,
+    op11_prefix_trie)}
 
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
