@@ -13,6 +13,8 @@ from vanewright.llm.near_dedup import NearDup, near_groups
 from vanewright.llm.packing import harmonic, token_pieces
 from vanewright.llm.prefix_trie import prefix_trie, share_heads, turn_units
 from vanewright.llm.sharding import shard
+from vanewright.llm.simhash import simhash_groups
+from vanewright.llm.spelling import spelling_variants
 from vanewright.llm.substrings import Repeats, repeats
 from vanewright.llm.tables import table
 
@@ -98,10 +100,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(share_heads(turn_units(table(spark, sf_dir, "conversations"))))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_harmonic_packing, op2_line_frequency, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_license_digests,
     op6_url_filter, op7_vector_sharding, op8_toxicity, op9_substring_dedup, op10_secret_scan,
-    op11_prefix_trie)}
+    op11_prefix_trie, op12_spelling_variants, op13_simhash_near_dedup)}
 
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
