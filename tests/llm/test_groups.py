@@ -226,7 +226,7 @@ def test_linked_fingerprints_meet_at_an_anchor(threshold):
     for key, row, _ in zip(*replicas(y, cfg)):
         there[row].add(key)
     assert all(own[i] & there[i] for i in range(len(x)))
-    assert max(map(len, there.values())) <= sum(2 + w // 2 for _, w in cfg.parts)
+    assert max(map(len, there.values())) <= cfg.copies
 
 
 def test_homes_cover():

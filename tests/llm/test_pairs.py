@@ -223,3 +223,24 @@ def test_leaks_of_nothing(spark, docs_of):
     assert find_leaks(docs_of([(1, "a b c d e f")]), none).count() == 0
     assert without_leaks(docs_of([(1, "a")]), none).count() == 1
     assert find_leaks(docs_of([]), spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")).count() == 0
+
+
+def regular_words():
+    """Two words of 1,024 letters in an order and its opposite, which sums of powers modulo 2^64 cannot tell apart."""
+    order = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[x] for x in order), "".join("ba"[x] for x in order)
+
+
+def test_words_of_a_regular_order_differ(docs_of):
+    a, b = regular_words()
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(1, a), (2, b), (3, " ".join([a, *words[:36]])), (4, " ".join([b, *words[100:136]])),
+            (5, " ".join([*words[40:60], a, *words[60:80]])), (6, " ".join([*words[40:60], b, *words[60:80]])),
+            # The same order of two words.
+            (7, " ".join("xy"[bin(i).count("1") % 2] for i in range(1024))), (8, " ".join("yx"[bin(i).count("1") % 2] for i in range(1024)))]
+    rng.shuffle(rows)
+    groups = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_groups(docs_of(rows), NearDup(shingle=2)).collect()}
+    assert groups == {1: (1, 1), 2: (1, 2), 3: (36, 3), 4: (36, 4), 5: (40, 5), 6: (40, 5), 7: (4, 7), 8: (4, 7)}
+    removed = {r["doc_id"]: r["n_removed"] for r in repeats(docs_of(rows[:]), Repeats(length=35)).collect()}
+    assert all(removed[i] == 0 for i in range(1, 7))

@@ -1,7 +1,8 @@
 """MinHash near-duplicate groups with sequential Bayesian verification.
 
 1. One pass over the texts gives each document's set of distinct word shingles, a
-   128-bit fingerprint of that set and the keys of its MinHash bands.  Documents
+   128-bit fingerprint of that set and the keys of its MinHash bands.  A shingle is 128 bits too, two
+   independent hashes of its words.  Documents
    with the same set are one class from here on, however many there are.
 2. Classes that share a band are candidates.  In each band every class is paired
    with the few classes of the band that share most bands with others ("hubs"),
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from vanewright.llm.components import components
 from vanewright.llm.tables import held, small_side
-from vanewright.llm.textscan import LOWER, Texts, blobs, distinct, mix, per_batch, pieces, runs
+from vanewright.llm.textscan import LOWER, Texts, blobs, mix, per_batch, pieces, runs
 
 HUBS = 3
 #: Bytes of signatures and sets that one block of a large band may hold on either side.
@@ -70,18 +71,25 @@ class NearDup:
         return out
 
 
-def shingle_sets(texts: Texts, k: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    words = texts.word_hashes()
-    grams = runs(words, k)
+CHECK = 0x2545F4914F6CDD1D
+
+
+def shingle_sets(texts: Texts, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct shingles of each text, ascending by their first hash, with their second."""
+    words = [texts.word_hashes(), texts.word_hashes(CHECK)]
+    grams = [runs(w, k, s) for w, s in zip(words, (0, CHECK))]
     out = []
     for a, b in zip(texts.first[:-1], texts.first[1:]):
         if b - a >= k:
-            out.append(distinct(grams[a:b - k + 1]))
+            first, second = (g[a:b - k + 1] for g in grams)
+            order = np.argsort(first)
+            first, second = first[order], second[order]
+            fresh = np.concatenate([[True], first[1:] != first[:-1]])
+            out.append((first[fresh], second[fresh]))
         elif b > a:  # the whole sequence; its length is part of it, so it equals no full shingle
-            out.append(runs(words[a:b], b - a, salt=int(b - a)))
+            out.append(tuple(runs(w[a:b], int(b - a), s + int(b - a)) for w, s in zip(words, (0, CHECK))))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append((np.zeros(0, np.uint64),) * 2)
     return out
 
 
@@ -108,8 +116,8 @@ def band_keys(sig: np.ndarray, cfg: NearDup) -> np.ndarray:
     return key.view(np.int64)
 
 
-def fingerprint(grams: np.ndarray) -> tuple[int, int]:
-    return tuple(int(mix(grams, salt).sum(dtype=np.uint64).view(np.int64)) for salt in (0x51ED27, 0xC2B2AE35))
+def fingerprint(grams: tuple[np.ndarray, np.ndarray]) -> tuple[int, int]:
+    return tuple(int(mix(g, salt).sum(dtype=np.uint64).view(np.int64)) for g, salt in zip(grams, (0x51ED27, 0xC2B2AE35)))
 
 
 def _scan(docs: DataFrame, cfg: NearDup) -> DataFrame:
@@ -121,16 +129,16 @@ def _scan(docs: DataFrame, cfg: NearDup) -> DataFrame:
         for at, to, data, off in pieces(batch.column(1)):
             sets = shingle_sets(Texts(LOWER[data], off), cfg.shingle)
             prints = np.array([fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
-            full = [i for i, s in enumerate(sets) if len(s)]
+            full = [i for i, (s, _) in enumerate(sets) if len(s)]
             keys = np.zeros((len(sets), 0), np.int64)
             lists: list = [None] * len(sets)
             if full:
-                keys = band_keys(np.stack([signature(sets[i], factors, shifts) for i in full]), cfg)
+                keys = band_keys(np.stack([signature(sets[i][0], factors, shifts) for i in full]), cfg)
                 for i, row in zip(full, keys):
                     lists[i] = row
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, to - at), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64())),
+                 pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(lists, pa.list_(pa.int64())),
                  batch.column(2).slice(at, to - at), batch.column(3).slice(at, to - at)],
                 names=["id", "f1", "f2", "n_shingles", "bands", "k1", "k2"])
 
@@ -144,29 +152,33 @@ def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
-    """(node, sig, grams) of the given texts, one row per class."""
+    """(node, sig, grams, checks) of the given texts, one row per class."""
     factors, shifts = _coefficients(cfg.hashes)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for _, _, data, off in pieces(batch.column(0)):
-            sets = [s for s in shingle_sets(Texts(LOWER[data], off), cfg.shingle) if len(s)]
+            sets = [s for s in shingle_sets(Texts(LOWER[data], off), cfg.shingle) if len(s[0])]
             prints = np.array([fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints[:, 0]), pa.array(prints[:, 1]),
-                 blobs([signature(s, factors, shifts).tobytes() for s in sets]),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["f1", "f2", "sig", "grams"])
+                 blobs([signature(s, factors, shifts).tobytes() for s, _ in sets]),
+                 *[pa.array([s[i].view(np.int64) for s in sets], pa.list_(pa.int64())) for i in (0, 1)]],
+                names=["f1", "f2", "sig", "grams", "checks"])
 
-    out = per_batch(docs.select(F.col(text).alias("text")), work, "f1 long, f2 long, sig binary, grams array<long>")
-    return out.select(F.struct("f1", "f2").alias("node"), "sig", "grams").dropDuplicates(["node"])
+    out = per_batch(docs.select(F.col(text).alias("text")), work, "f1 long, f2 long, sig binary, grams array<long>, checks array<long>")
+    return out.select(F.struct("f1", "f2").alias("node"), "sig", "grams", "checks").dropDuplicates(["node"])
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """The exact rule on two sets."""
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
+    """The exact rule on two sets, which either hash has to grant."""
+    n, m = len(a[0]), len(b[0])
+    if 100 * min(n, m) < percent * max(n, m):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+    for x, y in zip(a, b):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both < percent * (n + m - both):
+            return False
+    return True
 
 
 def _sequential(left: np.ndarray, right: np.ndarray, cfg: NearDup) -> np.ndarray:
@@ -192,13 +204,14 @@ def _prune(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold.  Sets stay in the JVM, pair by
-    pair: a batch of them for Python would be large."""
-    side = {x: sets.select(F.col("node").alias(x), F.col("grams").alias(f"g{x}")) for x in "ab"}
+    """Pairs (a, b) whose full sets reach the threshold, by either hash of the shingles.  Sets stay in
+    the JVM, pair by pair: a batch of them for Python would be large."""
+    side = {x: sets.select(F.col("node").alias(x), F.col("grams").alias(f"g{x}"), F.col("checks").alias(f"c{x}")) for x in "ab"}
     joined = pairs.join(side["a"], "a").join(side["b"], "b")
     a, b = F.size("ga"), F.size("gb")
     joined = joined.where(100 * F.least(a, b) >= cfg.percent * F.greatest(a, b))
-    joined = joined.select("a", "b", (a + b).alias("all"), F.size(F.array_intersect("ga", "gb")).alias("both"))
+    joined = joined.select("a", "b", (a + b).alias("all"), 
+                           F.least(F.size(F.array_intersect("ga", "gb")), F.size(F.array_intersect("ca", "cb"))).alias("both"))
     return joined.where(100 * F.col("both") >= cfg.percent * (F.col("all") - F.col("both"))).select("a", "b")
 
 
@@ -211,7 +224,7 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
     placed = members.select("key", "node").join(first, "key").join(roots, "node", "left") \
                     .select("key", "node", root.alias("root"), "main")
     placed = held(placed.withColumn("out", F.expr("root <> main")))
-    bytes_of = sets.select("node", (F.length("sig") + 8 * F.size("grams")).alias("bytes"))
+    bytes_of = sets.select("node", (F.length("sig") + 16 * F.size("grams")).alias("bytes"))
     sized = placed.join(bytes_of, "node")
     blocks = lambda of: F.ceil(F.coalesce(F.sum(of), F.lit(0)) / BLOCK_BYTES).cast("long")
     counts = sized.groupBy("key").agg(blocks(F.when(F.col("out"), F.col("bytes"))).alias("na"),
@@ -225,7 +238,7 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
                                          upto("na").alias("i"),
                                          F.pmod(spot, "nb").alias("j")))
     rows = rows.join(sets, "node").select("key", "i", "j", "probe", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
-                                          F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "grams")
+                                          F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "grams", "checks")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         own, all_ = pdf[pdf.probe], pdf[~pdf.probe]
@@ -233,7 +246,7 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
         if len(own) and len(all_):
             right = np.frombuffer(b"".join(all_.sig), np.uint32).reshape(-1, cfg.hashes)
             ra, rb, fa, fb = all_.r1.to_numpy(), all_.r2.to_numpy(), all_.f1.to_numpy(), all_.f2.to_numpy()
-            grams = list(all_.grams)
+            grams = list(zip(all_.grams, all_.checks))
             key = pdf.key.iloc[0]
             keys = band_keys(right, cfg)
             for p in own.itertuples():
@@ -245,7 +258,7 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
                 at = at[_sequential(np.broadcast_to(left, (len(at), cfg.hashes)), right[at], cfg)]
                 seen = set()  # one link to each component is enough
                 for i in at:
-                    if (ra[i], rb[i]) not in seen and similar(p.grams, grams[i], cfg.percent):
+                    if (ra[i], rb[i]) not in seen and similar((p.grams, p.checks), grams[i], cfg.percent):
                         seen.add((ra[i], rb[i]))
                         out.append((p.f1, p.f2, fa[i], fb[i]))
         return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"], dtype="int64")

@@ -37,9 +37,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vanewright.llm.tables import held, stored
-from vanewright.llm.textscan import BYTE_VALUES, BYTES, blobs, mix, per_batch, pieces
+from vanewright.llm.textscan import blobs, bytes_at, hashed, mix, per_batch, pieces
 
-#: Words in a worker's memory, about 35 bytes each, which it starts anew beyond them, and bytes of a
+#: Words in a worker's memory, about 55 bytes each, which it starts anew beyond them, and bytes of a
 #: part beyond which those of its batch are not remembered.
 KNOWN_WORDS = 600_000
 LONGEST_WORD = 4096
@@ -110,10 +110,43 @@ class Coder:
         self._forget()
 
     def _forget(self) -> None:
-        """The memory: sorted hashes of words, and where their ids lie in ``store``."""
+        """The memory: sorted keys of words, where their ids lie in ``store`` and their bytes in ``text``."""
         self.keys = np.zeros(0, np.uint64)
-        self.place = self.size = np.zeros(0, np.int32)
+        self.place = self.size = self.begin = self.end = np.zeros(0, np.int32)
         self.store = np.zeros(0, np.uint32)
+        self.text = np.zeros(0, np.uint8)
+
+    def _keys(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, ...]:
+        """A key of each part, which no other part of the batch or of the memory has: the hash, or
+        where bytes show that it is taken, the next one.  Also the distinct keys, the first part of each, the key
+        of each part, its place in the memory and whether it is there."""
+        keys = hashed(data, starts, ends) ^ inner.astype(np.uint64)
+        part, place, begin = bytes_at(data, starts, ends)
+        count, length = np.diff(begin, append=len(part)), ends - starts
+        while True:
+            unique, first, which = np.unique(keys, return_index=True, return_inverse=True)
+            like = first[which]
+            wrong = (length != length[like]) | (inner != inner[like])
+            like = np.where(wrong, np.arange(len(keys)), like)
+            if len(keys):
+                wrong |= np.logical_or.reduceat(part != part[np.repeat(begin[like], count) + place], begin)
+            at = np.searchsorted(self.keys, unique)
+            old = np.zeros(len(unique), bool)
+            if len(self.keys):
+                old = self.keys[np.minimum(at, len(self.keys) - 1)] == unique
+                known, mine = at[old], first[old]
+                taken = self.end[known] - self.begin[known] != length[mine]
+                known, mine = known[~taken], mine[~taken]
+                if len(known):
+                    held, where, start = bytes_at(self.text, self.begin[known].astype(np.int64), self.end[known].astype(np.int64))
+                    there = np.repeat(begin[mine], np.diff(start, append=len(held))) + where
+                    taken[~taken] = np.logical_or.reduceat(held != part[there], start)
+                foreign = np.zeros(len(unique), bool)
+                foreign[np.flatnonzero(old)[taken]] = True
+                wrong |= foreign[which]
+            if not wrong.any():
+                return unique, first, which, at, old
+            keys[wrong] = mix(keys[wrong] + np.uint64(1))
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -168,16 +201,9 @@ class Coder:
         # Parts that can follow each other: they start with a space and end with no white space.
         inner = (data[starts] == 32) & ~edge[starts]
         inner &= (np.append(inner[1:], False) if len(cut) else inner) | PLAIN[data[ends - 1]]
-        sums = BYTES.prefix(BYTE_VALUES[data])
-        hashes = mix(BYTES.spans(sums, starts, ends)) ^ inner.astype(np.uint64)
-        unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > KNOWN_WORDS:
             self._forget()
-        at = np.searchsorted(self.keys, unique)
-        old = np.zeros(len(unique), bool)
-        if len(self.keys):
-            at_key = np.minimum(at, len(self.keys) - 1)
-            old = self.keys[at_key] == unique
+        unique, first, which, at, old = self._keys(data, starts, ends, inner)
         place, sizes = np.zeros(len(unique) + 1, np.int64), np.ones(len(unique) + 1, np.int64)
         place[:-1][old], sizes[:-1][old] = self.place[at[old]], self.size[at[old]]
         new = np.flatnonzero(~old)
@@ -190,6 +216,11 @@ class Coder:
             self.place = np.insert(self.place, at[new], place[new]).astype(np.int32)
             self.size = np.insert(self.size, at[new], sizes[new]).astype(np.int32)
             self.store = store[:-1]
+            a, n = starts[first[new]], (ends - starts)[first[new]]
+            till = len(self.text) + np.cumsum(n)
+            self.begin = np.insert(self.begin, at[new], till - n).astype(np.int32)
+            self.end = np.insert(self.end, at[new], till).astype(np.int32)
+            self.text = np.concatenate([self.text, data[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())]])
         order = np.insert(which, np.searchsorted(starts, off[1:]), len(unique))
         lengths = sizes[order]
         till = np.cumsum(lengths)

@@ -63,6 +63,13 @@ class SimHash:
         edges = [64 * i // n for i in range(n + 1)]
         return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
+    @property
+    def copies(self) -> int:
+        """The most anchors that a fingerprint goes to: in each part its home, those that share a bit's
+        distance with it, and one for each bit outside the Hamming code."""
+        codes = [(1 << ((w + 1).bit_length() - 1)) - 1 for _, w in self.parts]
+        return sum(1 + n // 2 + w - n for n, (_, w) in zip(codes, self.parts))
+
 
 def fingerprint(words: list[bytes], cfg: SimHash) -> int:
     """Of the words of one text, lower-cased."""
@@ -178,8 +185,7 @@ def near_links(classes: DataFrame, cfg: SimHash = SimHash()) -> DataFrame:
     """Links (a, b) between the distinct fingerprints ``fp`` of ``classes`` whose components are those
     of all pairs within the threshold; both ends of a link are in one component, not always a pair."""
     rows = _at_anchors(classes, cfg)
-    copies = sum(2 + width // 2 for _, width in cfg.parts)
-    tasks = max(1, classes.count() * copies // cfg.task_rows)
+    tasks = max(1, classes.count() * cfg.copies // cfg.task_rows)
     heavy = held(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("home").cast("long")).alias("homes"))
                      .where((F.col("n") > cfg.anchor_rows) & (F.col("homes") > 0)))
     light = rows

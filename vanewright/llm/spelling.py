@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.llm.tables import held
-from vanewright.llm.textscan import Powers, mix
+from vanewright.llm.textscan import mix
 
 #: Runs of letters of texts whose A-Z are lower-cased.
 LETTERS = re.compile("[a-zÀ-ÿ]+")
@@ -46,6 +46,23 @@ BLOCK_BYTES = 4 * LANES
 WORDS_PER_BLOCK = 16
 #: Edits probed at once.
 PROBES = 1 << 20
+
+
+class Powers:
+    """Powers of an odd base modulo 2^64 and of its inverse, grown on demand."""
+
+    def __init__(self, base: int) -> None:
+        self.base, self.inverse = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> None:
+        while len(self.up) < n:
+            m = len(self.up)
+            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, m, 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, m, 1 << 64))])
+
+
+#: Edits need a sum that can be changed at one place.  Equal sums of different words cost a comparison, no wrong result.
 LETTER_POWERS = Powers(0xC2B2AE3D27D4EB4F)
 
 

@@ -11,7 +11,7 @@
    anchor.
 4. Overlapping confirmed windows are merged into maximal spans.
 
-Windows are compared by 96 bits of hash (two independent polynomials), taken over
+Windows are compared by 128 bits of hash (two independent ones), taken over
 whole words.  Defined results: null and empty texts have no words and no span;
 equal texts of at least ``length`` words repeat each other in full, also when the
 rows are equal in every column; null ids are carried as they are; other columns
@@ -30,8 +30,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.llm.tables import held, small_side
-from vanewright.llm.textscan import CHECKS, Texts, blobs, per_batch, pieces, runs
+from vanewright.llm.textscan import Texts, blobs, per_batch, pieces, runs
 
+CHECK = 0x2545F4914F6CDD1D
 NOTHING = np.uint64(0)
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -115,9 +116,7 @@ def _local(words: np.ndarray, check: np.ndarray) -> np.ndarray:
 
 
 def _hashes(texts: Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
-    words = texts.word_hashes()
-    return (runs(words, length),
-            (runs(words, length, CHECKS, salt=0x2545F4914F6CDD1D) >> np.uint64(32)).astype(np.int64))
+    return (runs(texts.word_hashes(), length), runs(texts.word_hashes(CHECK), length, CHECK).view(np.int64))
 
 
 def _extensions(rows: DataFrame, cfg: Repeats) -> DataFrame:

@@ -2,8 +2,9 @@
 
 A batch of texts is one byte buffer with offsets.  Words are runs of bytes other
 than the six ASCII white-space bytes, which never occur inside a multi-byte
-character.  All hashes are 64-bit polynomials over the buffer, so the hash of any
-word or run of words is a difference of two prefix sums, whatever its length.
+character.  Hashes mix the bytes of a word eight at a time with their place, and runs of
+words by doubling; no step is linear, so texts of a regular order do not collide.  Where a
+wrong result would follow from equal hashes, 128 bits or the bytes themselves decide.
 """
 
 from __future__ import annotations
@@ -18,11 +19,10 @@ from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
 
-_rng = np.random.default_rng(20240229)
-BYTE_VALUES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-BYTE_BASE = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD6E8FEB86659FD93
-CHECK_BASE = 0xA0761D6478BD642F
+PLACE = np.uint64(0x9E3779B97F4A7C15)
+SIZE = np.uint64(0xD6E8FEB86659FD93)
+#: What is left of eight bytes when only so many belong to a word.
+FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 WHITE = np.zeros(256, bool)
 WHITE[[32, 9, 10, 11, 12, 13]] = True
@@ -33,33 +33,6 @@ LOOSE = np.ones(256, bool)
 LOOSE[48:58] = LOOSE[65:91] = LOOSE[97:123] = LOOSE[128:] = False
 
 
-class Powers:
-    """Powers of an odd base modulo 2^64 and of its inverse, grown on demand."""
-
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> None:
-        while len(self.up) < n:
-            m = len(self.up)
-            self.up = np.concatenate([self.up, self.up * np.uint64(pow(self.base, m, 1 << 64))])
-            self.down = np.concatenate([self.down, self.down * np.uint64(pow(self.inverse, m, 1 << 64))])
-
-    def prefix(self, values: np.ndarray) -> np.ndarray:
-        """``out[i]`` is the sum of ``values[j] * base**j`` over ``j < i``."""
-        self.upto(len(values) + 1)
-        out = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self.up[:len(values)], out=out[1:])
-        return out
-
-    def spans(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (prefix[end] - prefix[start]) * self.down[start]
-
-
-BYTES, WORDS, CHECKS = Powers(BYTE_BASE), Powers(WORD_BASE), Powers(CHECK_BASE)
-
-
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective finaliser, so that every input bit reaches every output bit."""
     x = x ^ np.uint64(salt)
@@ -68,6 +41,28 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def bytes_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of words, eight at a time in a row; the number of each eight in its word, and
+    where each word's begin.  An empty word has one."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    count = np.maximum((ends - starts + 7) >> 3, 1)
+    first = np.cumsum(count) - count
+    place = np.arange(count.sum()) - np.repeat(first, count)
+    at = np.repeat(starts, count) + 8 * place
+    return eights[at] & FIRST_BYTES[np.minimum(np.repeat(ends, count) - at, 8)], place, first
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word: the sum of its mixed parts of eight bytes, each mixed once
+    more with its place.  Hashes of two salts are independent."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    part, place, first = bytes_at(data, starts, ends)
+    part = mix(mix(part, salt) + place.astype(np.uint64) * PLACE, salt)
+    return mix(np.add.reduceat(part, first) + (ends - starts).astype(np.uint64) * SIZE)
+
+
 class Texts:
     """Some whole texts of a batch: ``data`` with ``off``, and their words.
 
@@ -94,9 +89,8 @@ class Texts:
     def __len__(self) -> int:
         return len(self.off) - 1
 
-    def word_hashes(self) -> np.ndarray:
-        sums = BYTES.prefix(BYTE_VALUES[self.data])
-        return mix(BYTES.spans(sums, self.starts, self.ends))
+    def word_hashes(self, salt: int = 0) -> np.ndarray:
+        return hashed(self.data, self.starts, self.ends, salt)
 
     def room(self) -> np.ndarray:
         """For each word, how many words its text has from it on."""
@@ -110,13 +104,20 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
-def runs(hashes: np.ndarray, k: int, powers: Powers = WORDS, salt: int = 0) -> np.ndarray:
-    """Hash of the ``k`` words from each word on; the last ``k - 1`` are left out."""
-    n = len(hashes) - k + 1
-    if n <= 0:
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a + mix(b, 0xA0761D6478BD642F))
+
+
+def runs(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
+    """Hash of the ``k`` words from each word on; the last ``k - 1`` are left out.  Runs are put
+    together by doubling, and each step mixes, so no order of words cancels another."""
+    m = len(hashes) - k + 1
+    if m <= 0:
         return np.zeros(0, np.uint64)
-    sums = powers.prefix(mix(hashes, salt) if salt else hashes)
-    return mix((sums[k:] - sums[:-k]) * powers.down[:n])
+    n, out = 1, mix(hashes, salt)
+    while 2 * n <= k:
+        out, n = _pair(out[:-n], out[n:]), 2 * n
+    return _pair(out[:m], out[k - n:k - n + m]) if n < k else out[:m]
 
 
 def pieces(column: pa.Array, limit: int = CHUNK_BYTES, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
