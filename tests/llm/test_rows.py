@@ -294,7 +294,45 @@ def test_secrets(docs_of):
     assert own[300] == [w for w in dict(rows)[300].split() if len(w) > 20] and own[301] == []
     assert all(b in r["spans"] for r in found for b in r["base"])
     text = {r["doc_id"]: r["r"] for r in secrets.scan(df, model).select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("r")).collect()}
-    assert text[300] == "look [SECRET] and [SECRET] there" and text[3] == rows[2][1] and text[8] == "a" * 15 + " [SECRET]g"
+    assert text[300] == "look [SECRET] and [SECRET] there" and text[3] == rows[2][1] and text[8] == "a" * 15 + " [SECRET]"  # the run beyond its hex span too
     assert text[9] == "[SECRET]\n\U0001f600 [SECRET]" and text[11].count("[SECRET]") == 60
     assert secrets.train(secrets.samples(docs_of([(1, "plain words only")]))) is None
     assert secrets.scan(docs_of([]), None).count() == 0
+
+
+def test_secret_around_a_base_span_goes_whole(docs_of):
+    """A random key that holds hexadecimal digits is one run, judged as a whole."""
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = "".join(rng.choice(letters) for _ in range(26)) + "0123456789abcdef0123" + "".join(rng.choice(letters) for _ in range(30))
+    rows = secret_rows() + [(900, f"see {key} there"), (901, f"token = {key} there")]
+    df = docs_of(rows)
+    model = secrets.train(secrets.samples(df))
+    got = {r["doc_id"]: r for r in secrets.scan(df, model).withColumn("cut", secrets.redacted(F.col("text"), F.col("spans"))).collect()}
+    assert got[900]["cut"] == "see [SECRET] there" and got[901]["cut"] == "[SECRET] there"
+    assert [s["kind"] for s in got[901]["spans"]] == ["assign", "hex"]  # held whole by a base span: not judged again
+    table = np.array(model).reshape(128, 128)
+    for d, t in rows:  # the models' spans by the plain computation of the ratio
+        base = brute_secrets(t)
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", t or ""):
+            if not any(b[0] <= m.start() and m.end() <= b[3] for b in base):
+                ratio = sum(table[ord(a), ord(b)] for a, b in zip(m[0], m[0][1:]))
+                if ratio >= max(8.0, 0.5 * len(m[0])):
+                    want.append((m.start(), m.end()))
+        assert d == 901 or [(s["start"], s["end"]) for s in got[d]["spans"] if s["kind"] == "markov"] == want
+
+
+def test_redaction_of_many_overlapping_spans(spark):
+    """By places in the text or by its characters, the result is that of the plain loop."""
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab\u00e9\U0001f600 ") for _ in range(n)) for n in (60, 600)]
+    for text, n in zip(texts, (20, 90)):
+        spans = sorted((a, 0, "x", a + rng.randint(1, 9), "") for a in (rng.randrange(len(text) - 9) for _ in range(n)))
+        df = spark.createDataFrame([(text, spans)], f"text string, spans {secrets.SPAN}")
+        out, pos = "", 0
+        for a, _, _, b, _ in spans:
+            if a >= pos:
+                out += text[pos:a] + "[SECRET]"
+            pos = max(pos, b)
+        assert df.select(secrets.redacted(F.col("text"), F.col("spans"))).first()[0] == out + text[pos:]

@@ -3,12 +3,14 @@
 Two first-order models over ASCII characters, of random strings and of ordinary
 identifiers, give each character after another a log-likelihood ratio.  A long run of
 key characters whose ratios sum to at least ``least_total`` and average at least
-``least_mean`` is a secret, unless it overlaps a span of the base patterns.  The models
+``least_mean`` is a secret.  A run that one span of the base patterns holds whole is not judged again; a
+run that reaches beyond is judged as a whole, and its span may overlap theirs.  The models
 are trained from labelled samples: rows of (token, random), here the values that the
 base patterns find and the ordinary words of the texts.  Counts of character pairs, at
 most 2 * 128 * 128 numbers, are all that reaches the driver.
 
-Places of matches come from the lengths of the matches and of the text between them.
+Places of matches come from the lengths of the matches and of the text between them, summed up by
+doubling steps, so a text of n matches takes n log n.
 
 Defined results: null and empty texts have no span; without samples of both kinds no
 span is added; repeated rows are scanned each; null ids are carried; other columns
@@ -18,6 +20,7 @@ are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +39,8 @@ HINTS = {"assign": r"(?i)password|passwd|secret|token|api_?key", "access": "AKIA
 LONG = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 #: Weight of single characters in a pair's row, and count that every character starts with.
 BACKING, BARE = 5.0, 0.1
+#: Spans up to which a text is cut by places in it.
+FEW_SPANS = 32
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
@@ -47,6 +52,13 @@ class Markov:
     least_mean: float = 0.5
 
 
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Each element joined with all before it; ``join`` gets null where there is none.  Each step
+    doubles how far back an element reaches."""
+    return F.aggregate(F.array(*[F.lit(1 << b) for b in range(31)]), values, lambda acc, far: F.when(
+        far < F.size(acc), F.transform(acc, lambda x, i: join(x, F.get(acc, i - far)))).otherwise(acc))
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int, rank: int) -> tuple[Column, Column]:
     """Two stages: matches with the gaps before them, and, from a column of the first, spans."""
     some = text.rlike(HINTS[kind])
@@ -55,18 +67,12 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int, rank:
     gaps = F.transform(F.split(text, pattern), lambda g: F.length(g))
     first = F.when(some, F.struct(F.transform(found, lambda m: F.length(m)).alias("sizes"), value.alias("value"), gaps.alias("gaps")))
     col = F.col(f"__{kind}")
-    rows = F.arrays_zip(col["sizes"].alias("size"), col["value"].alias("value"), F.slice(col["gaps"], 1, F.greatest(F.size(col["sizes"]), F.lit(0))).alias("gap"))
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc: Column, m: Column) -> Column:
-        begin = acc["pos"] + m["gap"]
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-                        (begin + m["size"]).alias("end"), m["value"].alias("value"))
-        ok = F.length(m["value"]) >= least
-        return F.struct((begin + m["size"]).alias("pos"), F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    spans = F.aggregate(rows, start, step, lambda acc: acc["out"])
-    return first, F.coalesce(spans, F.array().cast(SPAN))
+    steps = F.transform(F.arrays_zip(col["sizes"].alias("size"), F.slice(col["gaps"], 1, F.greatest(F.size(col["sizes"]), F.lit(0))).alias("gap")),
+                        lambda m: m["size"] + m["gap"])
+    rows = F.arrays_zip(col["sizes"].alias("size"), col["value"].alias("value"), running(steps, lambda x, y: x + F.coalesce(y, F.lit(0))).alias("end"))
+    spans = F.transform(rows, lambda m: F.struct((m["end"] - m["size"]).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                                                 m["end"].alias("end"), m["value"].alias("value")))
+    return first, F.coalesce(F.filter(spans, lambda m: F.length(m["value"]) >= least), F.array().cast(SPAN))
 
 
 def _with_spans(rows: DataFrame, kinds: list[tuple[str, str, int, int]], ranks: dict[str, int]) -> DataFrame:
@@ -142,7 +148,12 @@ def scan(docs: DataFrame, model: list[float] | None, cfg: Markov = Markov(), id_
     else:
         rows = _with_spans(rows, [("markov", cfg.run, 0, 1)], {"markov": len(BASE)})
         table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
-        free = F.filter("markov", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        every = F.array_sort(F.concat("base", "markov"))
+        # The furthest end of base spans that start no later.
+        held = running(F.transform(every, lambda s: F.when(s["rank"] < len(BASE), s["end"]).otherwise(0)), F.greatest)
+        loose = F.filter(F.arrays_zip(every.alias("span"), held.alias("held")),
+                         lambda x: (x["span"]["rank"] == len(BASE)) & (x["held"] < x["span"]["end"]))
+        free = F.transform(loose, lambda x: x["span"])
 
         def secret(s: Column) -> Column:
             return ratio(s["value"], table) >= F.greatest(F.lit(cfg.least_total), cfg.least_mean * F.length(s["value"]))
@@ -157,13 +168,16 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every run of overlapping spans replaced by ``mark``."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("pos"))
-
-    def step(acc: Column, s: Column) -> Column:
-        apart = F.concat(acc["out"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))
-        return F.struct(F.when(s["start"] >= acc["pos"], apart).otherwise(acc["out"]).alias("out"),
-                        F.greatest(acc["pos"], s["end"]).alias("pos"))
-
-    end = lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(text)
+    """The text with every run of overlapping spans replaced by ``mark``.  Characters are looked up from
+    the text's beginning, so a text of many spans is taken apart into characters first."""
+    ends = running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))))
+    gaps = F.transform(F.filter(F.arrays_zip(spans.alias("span"), before.alias("pos")), lambda x: x["span"]["start"] >= x["pos"]),
+                       lambda x: F.struct(x["pos"].alias("pos"), (x["span"]["start"] - x["pos"]).alias("n")))
+    last = F.struct(F.element_at(ends, -1).alias("pos"), F.lit((1 << 31) - 1).alias("n"))
+    parts = F.concat(gaps, F.array(last))
+    few = F.array_join(F.transform(parts, lambda g: F.substring(text, g["pos"] + 1, g["n"])), mark)
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    many = F.element_at(F.transform(F.array(chars), lambda c: F.array_join(
+        F.transform(parts, lambda g: F.array_join(F.slice(c, g["pos"] + 1, F.least(g["n"], F.size(c))), "")), mark)), 1)
+    return F.when(F.size(spans) == 0, text).when(F.size(spans) <= FEW_SPANS, few).otherwise(many)
