@@ -141,6 +141,23 @@ def test_licenses(spark, docs_of):
     assert licenses.scan_licenses(docs_of([]), known).count() == 0
 
 
+@pytest.mark.parametrize("most", [10_000, 3])
+def test_whole_licences_and_copyright_lines(spark, docs_of, monkeypatch, most):
+    """Also with more known licences than are sent to every task."""
+    monkeypatch.setattr(licenses, "MOST_KNOWN", most)
+    mit = "MIT License\n\nCopyright (c) 2021 J. Smith Inc.\n\n" + dict(licenses.TEXTS[:1])["MIT"].replace("\n", " \n ")
+    notices = spark.createDataFrame([*licenses.LICENSES, ("House-1", "You may keep this for a day."), ("House-1", "Nur zur Ansicht"), (None, "x"), ("E", "")],
+                                    "license string, notice string")
+    known = licenses.known_licenses(spark, notices)
+    rows = [(1, mit), (2, "Copyright 2020 X. All rights reserved."), (3, "a\n(C) 2019 Someone, Licensed under CC BY-NC 4.0\nb"),
+            (4, "Copyright 2020 J. Smith"), (5, "nur  zur\nAnsicht!"), (6, "first\nNur zur Ansicht\nYou may keep this for a day.\nNur zur Ansicht."),
+            (7, None), (None, ""), (6, "first\nNur zur Ansicht\nYou may keep this for a day.\nNur zur Ansicht."), (8, "the the Version version\n\nv2")]
+    got = Counter((r["doc_id"], r["license"], tuple(r["line_licenses"])) for r in licenses.scan_licenses(docs_of(rows, True), known).collect())
+    assert got == Counter([(1, "MIT", ()), (2, "Proprietary", ("Proprietary",)), (3, None, ("CC-BY-NC-4.0",)), (4, None, ()), (5, "House-1", ()),
+                           (6, None, ("House-1",)), (6, None, ("House-1",)), (7, None, ()), (None, None, ()), (8, None, ())])
+    assert licenses.scan_licenses(docs_of(rows), known.limit(0)).where("license is not null or size(line_licenses) > 0").count() == 0
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.Example.NET/en/x?utm_a=1", "http://example.net/en", "http://b.org/fr/", "http://org/fr/x",
             "http://example.com/de/a#b", "http://xexample.com/de/a", "http://www.ok.io/a/?b=2&a=1&ref=z", "https://ok.io/a?a=1&b=2#f", "x://ok.io",

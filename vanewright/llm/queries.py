@@ -157,22 +157,31 @@ select page_id, host, path, rule, case when rule in ('example.com/de/', 'net/')
 }
 
 
+def _spelled_sql(words: str) -> str:
+    out = f"regexp_replace(replace({words}, ' licence', ' license'), ' v([0-9])', ' \\1', 'g')"
+    for phrase, spelling in licenses.SPELLINGS:
+        out = f"replace({out}, '{licenses.spaced(phrase)}', '{licenses.spaced(spelling)}')"
+    return out
+
+
+def _own_sql(text: str) -> str:
+    return f"regexp_replace(lower(coalesce({text}, '')), '{licenses.COPYRIGHT}', '\\1', 'g')"
+
+
 def _canonical_sql(text: str) -> str:
-    out = f"regexp_replace(lower({text}), '{licenses.COPYRIGHT}', '', 'g')"
-    for pattern, spelling in licenses.SPELLINGS:
-        if pattern == r"\bv(?=[0-9])":  # no look-ahead in this dialect
-            out = rf"regexp_replace({out}, '\bv([0-9])', '\1', 'g')"
-        else:
-            out = f"regexp_replace({out}, '{pattern}', '{spelling}', 'g')"
-    return rf"trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' ')"
+    words = rf"regexp_replace({_own_sql(text)}, '[^\p{{L}}\p{{N}}]+', '  ', 'g')"
+    return f"trim({_spelled_sql(f"' ' || {words} || ' '")}, ' ')"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-_KNOWN = " union all ".join(f"select '{k}' license, '{t}' notice" for k, t in licenses.NOTICES)
+_KNOWN = " union all ".join(f"select {_quoted(k)} license, {_quoted(t)} notice" for k, t in licenses.LICENSES)
 SQL["op5_license_digests"] = f"""
-with known as (select digest, min(license) license from (select sha256({_canonical_sql('notice')}) digest, license from ({_KNOWN})) group by digest),
-d as (select row_number() over () r, doc_id, coalesce(text, '') t from documents),
-lines as (select distinct r, sha256({_canonical_sql('line')}) digest from (select r, unnest(string_split(t, chr(10))) line from d)
-          where regexp_matches(line, '(?i)licen[cs]|copyright|©|\\brights\\b')),
+with known as (select sha256(canon) digest, min(license) license from (select {_canonical_sql('notice')} canon, license from ({_KNOWN})) group by 1),
+d as (select row_number() over () r, doc_id, text t from documents),
+lines as (select distinct r, sha256({_canonical_sql('line')}) digest from (select r, unnest(string_split(coalesce(t, ''), chr(10))) line from d)),
 found as (select r, array_to_string(list_sort(list(distinct license)), ',') ls from lines join known using (digest) group by r)
 select doc_id, digest, license, coalesce(ls, '') line_licenses
 from (select r, doc_id, sha256({_canonical_sql('t')}) digest from d) left join known using (digest) left join found using (r)"""
