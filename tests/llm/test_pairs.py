@@ -170,7 +170,7 @@ def brute_leaks(docs, items):
             n, best = len(p), 0
             for s in range(len(w) - n + 1 if n else 0):
                 if n < 5:
-                    score = float(w[s:s + n] == p)
+                    score = float(w == p)  # the whole text
                 else:
                     a, b = weighted(w[s:s + n]), weighted(p)
                     both = sum(v for g, v in a.items() if g in b)
@@ -198,7 +198,8 @@ def leak_case(spark, docs_of):
                 p = [x.upper() + "," for x in p]
             w[5:5] = p
         docs.append((i, " ".join(w)))
-    docs += [(100, None), (101, ""), (102, "the zebra, QUAGGA!"), (0, docs[0][1]), (None, docs[3][1])]
+    docs += [(100, None), (101, ""), (102, "the zebra, QUAGGA!"), (103, "ZEBRA - quagga"), (104, "zebra quagga zebra"),
+             (105, "words " * 30_000 + passages[2]), (0, docs[0][1]), (None, docs[3][1])]
     return docs_of(docs, True), docs, spark.createDataFrame(items, "item_id long, text string"), items
 
 
@@ -206,8 +207,10 @@ def test_leaks(spark, docs_of, monkeypatch):
     df, docs, benchmark, items = leak_case(spark, docs_of)
     want = brute_leaks(docs, items)
     assert len(want) > 10
-    for most in (20_000, 5):
+    assert {d for d, i in want if i == 52} == {103} and (105, 2) in want
+    for most, size in ((20_000, 8 << 20), (5, 8 << 20), (20_000, 900)):
         monkeypatch.setattr(decontamination, "PASS_ITEMS", most)
+        monkeypatch.setattr(decontamination, "PASS_BYTES", size)
         rows = find_leaks(df, benchmark).collect()
         got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in rows}
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)

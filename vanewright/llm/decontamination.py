@@ -14,7 +14,8 @@ fingerprinted: its similarity is below it whatever the fingerprint says.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters.  Defined
 results: null and empty texts contain nothing; items without words are never found;
-an item of fewer words than a shingle is found where its words occur; repeated rows
+an item of fewer words than a shingle (an answer such as "yes") is found only where it is the whole text;
+repeated rows
 and items are reported each; null ids are carried; other columns are ignored.
 """
 
@@ -32,8 +33,9 @@ from vanewright.llm.textscan import LOOSE, Texts, per_batch, pieces, runs
 
 BITS = np.arange(64, dtype=np.uint64)
 BYTE_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-#: Items that one pass over the documents looks for; their index is sent to every task.
+#: Items and bytes of items that one pass over the documents looks for; their index is sent to every task.
 PASS_ITEMS = 20_000
+PASS_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,11 @@ def _signed(grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return bits * weights[:, None].astype(np.int32)
 
 
+def _joined(texts: Texts, a: int, b: int) -> bytes:
+    """The words from a to b as bytes."""
+    return b" ".join(texts.data[x:y].tobytes() for x, y in zip(texts.starts[a:b], texts.ends[a:b]))
+
+
 class Index:
     """Items by size, with the tables of their fingerprints."""
 
@@ -70,7 +77,6 @@ class Index:
         found: dict[int, list] = {}
         for at, _, data, off in pieces(column, lower=True):
             held = Texts(data, off, LOOSE)
-            words = held.word_hashes()
             all_grams, all_weights = _features(held, k)
             for i, (a, b) in enumerate(zip(held.first[:-1], held.first[1:])):
                 n = int(b - a)
@@ -80,7 +86,7 @@ class Index:
                     grams.append(g)
                     weights.append(w)
                 elif n:
-                    self.short.setdefault(n, []).append((names[at + i], runs(words[a:b], n)[0]))
+                    self.short.setdefault(_joined(held, a, b), []).append(names[at + i])
         every, first = np.unique(np.concatenate(grams), return_index=True)
         self.grams, self.weights = every, np.concatenate(weights)[first]
         self.maybe = np.zeros(1 << 20, bool)
@@ -122,12 +128,11 @@ class Index:
                 starts = starts[100 * (got[starts + m] - got[starts]) >= percent * held["least"]]
                 if len(starts):
                     self._match(texts, n, m, held, starts, grams, weights, best)
-        for n, items in self.short.items():
-            own = runs(texts.word_hashes(), n)
-            for name, gram in items:
-                for s in np.flatnonzero((own == gram) & (room[:len(own)] >= n)):
-                    d = int(np.searchsorted(texts.first, s, "right")) - 1
-                    best.setdefault((d, n, name), (-1.0, int(s), 0))
+        if self.short:
+            for d, (a, b) in enumerate(zip(texts.first[:-1], texts.first[1:])):
+                if 0 < b - a < k:
+                    for name in self.short.get(_joined(texts, a, b), ()):
+                        best.setdefault((d, int(b - a), name), (-1.0, int(a), 0))
         for (d, n, name), (score, s, distance) in best.items():
             yield d, name if n < k else self.sizes[n]["names"][name], int(s - texts.first[d]), n, distance, -score
 
@@ -170,7 +175,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Leaks = Leaks(), id_c
     """(id_col, item_col, start_word, n_words, distance, similarity): the best place of each
     item in each document that contains it.
 
-    A benchmark beyond ``PASS_ITEMS`` items is looked for in several passes.
+    A benchmark beyond ``PASS_ITEMS`` items or ``PASS_BYTES`` bytes is looked for in several passes.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType.simpleString()
@@ -200,11 +205,12 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Leaks = Leaks(), t
 
 
 def _passes(benchmark: DataFrame, cfg: Leaks, item_col: str, item_text: str) -> Iterator:
-    """Broadcast indexes of at most about ``PASS_ITEMS`` items."""
+    """Broadcast indexes of about ``PASS_ITEMS`` items or ``PASS_BYTES`` bytes at most."""
     if cfg.radius > 23:
         raise ValueError("the tables guarantee a radius of at most 23")
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
-    passes = max(1, -(-items.count() // PASS_ITEMS))
+    size = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    passes = max(1, -(-size["n"] // PASS_ITEMS), -(-size["bytes"] // PASS_BYTES))
     for i in range(passes):
         some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == i).orderBy("item", "text").collect()
         yield benchmark.sparkSession.sparkContext.broadcast(Index([r["item"] for r in some], [r["text"] for r in some], cfg))
