@@ -81,7 +81,7 @@ def test_near_groups(docs_of, corpus, k):
 def test_large_band_is_finished_exactly(docs_of, monkeypatch):
     """Chains of near copies that no hub connects, in blocks of a few rows."""
     monkeypatch.setattr(near_dedup, "HUBS", 1)
-    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 8000)
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 5)
     rng = random.Random(2)
     words = [f"w{i}" for i in range(3000)]
     text, rows = rng.sample(words, 100), []
@@ -247,3 +247,16 @@ def test_words_of_a_regular_order_differ(docs_of):
     assert groups == {1: (1, 1), 2: (1, 2), 3: (36, 3), 4: (36, 4), 5: (40, 5), 6: (40, 5), 7: (4, 7), 8: (4, 7)}
     removed = {r["doc_id"]: r["n_removed"] for r in repeats(docs_of(rows[:]), Repeats(length=35)).collect()}
     assert all(removed[i] == 0 for i in range(1, 7))
+
+
+def test_template_pages_are_no_links(docs_of, monkeypatch):
+    """Pages with 70 equal and 22 own words: all share bands, none is linked, and tasks drop the pairs."""
+    rng = random.Random(7)
+    same = [f"t{i}" for i in range(70)]
+    rows = [(i, " ".join(same + [f"p{rng.randrange(10**6)}" for _ in range(22)])) for i in range(400)]
+    compared = []
+    plain = near_dedup._verify
+    monkeypatch.setattr(near_dedup, "_verify", lambda pairs, sets, cfg: compared.append(pairs) or plain(pairs, sets, cfg))
+    got = {r["doc_id"]: r["component_id"] for r in near_groups(docs_of(rows), NearDup(shingle=2)).collect()}
+    assert got == {i: i for i in range(400)}
+    assert all(p.count() < 40 for p in compared[1:])  # of 79,800 pairs

@@ -11,8 +11,10 @@
    pair is dropped once the posterior probability that its similarity reaches the
    threshold falls below ``miss``.  What is left is decided on the full sets.
 4. Bands whose classes are not all connected by then are finished exactly: classes
-   outside the first hub's component meet all others of the band, in blocks whose
-   rows are compared inside a task, with the same two checks.
+   outside the first hub's component meet all others of the band, in blocks whose rows are signatures
+   alone, ``extra`` values longer, so that pairs well below the threshold are dropped in the task.
+   Of what is left a task returns the best pair of each class with each other component; only if
+   full sets refuse some of these, all pairs between components that are still apart.
 
 With 32 bands of 5 values a pair of similarity 0.8 is a candidate with probability
 1 - 3e-6.  Defined results: a text without words (null, empty, white space) has an
@@ -28,7 +30,6 @@ from dataclasses import dataclass
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -39,8 +40,8 @@ from vanewright.llm.tables import held, small_side
 from vanewright.llm.textscan import LOWER, Texts, blobs, mix, per_batch, pieces, runs
 
 HUBS = 3
-#: Bytes of signatures and sets that one block of a large band may hold on either side.
-BLOCK_BYTES = 4 << 20
+#: Classes that one block of a large band may hold on either side, about 1 KB each.
+BLOCK_ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -51,16 +52,17 @@ class NearDup:
     rows: int = 5
     batch: int = 16
     miss: float = 1e-7
+    extra: int = 352
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
-    def least_matches(self) -> list[tuple[int, int]]:
-        """After how many values how many must agree.  With a uniform prior the posterior
+    def least_matches(self, values: int = 0) -> list[tuple[int, int]]:
+        """After how many values how many must agree, up to those of a signature.  With a uniform prior the posterior
         is Beta(m + 1, n - m + 1), whose upper tail at t is P(Binomial(n + 1, t) <= m)."""
         t, out = self.percent / 100, []
-        for n in range(self.batch, self.hashes + 1, self.batch):
+        for n in range(self.batch, (values or self.hashes) + 1, self.batch):
             tail, m = 0.0, 0
             while m <= n:
                 tail += comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
@@ -169,33 +171,24 @@ def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
     return out.select(F.struct("f1", "f2").alias("node"), "sig", "grams", "checks").dropDuplicates(["node"])
 
 
-def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
-    """The exact rule on two sets, which either hash has to grant."""
-    n, m = len(a[0]), len(b[0])
-    if 100 * min(n, m) < percent * max(n, m):
-        return False
-    for x, y in zip(a, b):
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * both < percent * (n + m - both):
-            return False
-    return True
-
-
-def _sequential(left: np.ndarray, right: np.ndarray, cfg: NearDup) -> np.ndarray:
-    """Which aligned rows of two signature matrices survive all batches."""
-    alive, found, last = np.arange(len(left)), np.zeros(len(left), np.int32), 0
-    for n, least in cfg.least_matches():
-        found = found + (left[alive, last:n] == right[alive, last:n]).sum(axis=1)
+def _sequential(left: list[np.ndarray], right: list[np.ndarray], cfg: NearDup) -> tuple[np.ndarray, np.ndarray]:
+    """Which aligned rows of signature matrices, given in parts, survive all batches, and how many values agree."""
+    alive, found, last, part, before = np.arange(len(left[0])), np.zeros(len(left[0]), np.int32), 0, 0, 0
+    for n, least in cfg.least_matches(sum(x.shape[1] for x in left)):
+        if last - before == left[part].shape[1]:
+            part, before = part + 1, last
+        at = slice(last - before, n - before)
+        found = found + (left[part][alive, at] == right[part][alive, at]).sum(axis=1)
         ok = found >= least
         alive, found, last = alive[ok], found[ok], n
-    return alive
+    return alive, found
 
 
 def _prune(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
     """Pairs (a, b) that survive the sequential comparison of signatures."""
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, cfg.hashes) for i in (2, 3)]
-        yield batch.select(["a", "b"]).take(pa.array(_sequential(*sig, cfg)))
+        yield batch.select(["a", "b"]).take(pa.array(_sequential(sig[:1], sig[1:], cfg)[0]))
 
     pair = "struct<f1:bigint,f2:bigint>"
     side = {x: sets.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab"}
@@ -215,20 +208,34 @@ def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
     return joined.where(100 * F.col("both") >= cfg.percent * (F.col("all") - F.col("both"))).select("a", "b")
 
 
-def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
-    """Links in the bands that hubs have not connected: classes outside the first hub's
-    component against all classes of the band, in blocks."""
+def _longer(sets: DataFrame, nodes: DataFrame, cfg: NearDup) -> DataFrame:
+    """(node, sig, more) of the given classes: ``extra`` more values of the second hash, a byte each."""
+    factors, shifts = _coefficients(cfg.extra)
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = batch.column(2)
+        values, off = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+        more = [(signature(values[a:b], factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes() for a, b in zip(off[:-1], off[1:])]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], blobs(more)], names=["node", "sig", "more"])
+
+    return per_batch(sets.join(nodes, "node").select("node", "sig", "checks"), work, "node struct<f1:bigint,f2:bigint>, sig binary, more binary")
+
+
+def _outside(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root, out) of the bands that hold classes outside the first hub's component, which are ``out``."""
     root = F.coalesce("root", "node")
     first = hubs.where("size > %d" % (HUBS + 1)).select("key", F.col("hubs")[0].alias("node"))
     first = first.join(roots, "node", "left").select("key", root.alias("main"))
-    placed = members.select("key", "node").join(first, "key").join(roots, "node", "left") \
-                    .select("key", "node", root.alias("root"), "main")
-    placed = held(placed.withColumn("out", F.expr("root <> main")))
-    bytes_of = sets.select("node", (F.length("sig") + 16 * F.size("grams")).alias("bytes"))
-    sized = placed.join(bytes_of, "node")
-    blocks = lambda of: F.ceil(F.coalesce(F.sum(of), F.lit(0)) / BLOCK_BYTES).cast("long")
-    counts = sized.groupBy("key").agg(blocks(F.when(F.col("out"), F.col("bytes"))).alias("na"),
-                                      blocks(F.col("bytes")).alias("nb")).where("na > 0")
+    placed = members.select("key", "node").join(first, "key").join(roots, "node", "left").select("key", "node", root.alias("root"), "main")
+    placed = held(placed.withColumn("out", F.expr("root <> main")).drop("main"))
+    return placed.join(held(placed.where("out").select("key").distinct()), "key", "left_semi")
+
+
+def _rest(placed: DataFrame, longer: DataFrame, cfg: NearDup, best: bool) -> DataFrame:
+    """Candidate pairs of classes that are outside with classes of other components of their band; ``best``: of
+    each class and component of a block the one of most equal values."""
+    blocks = lambda of: F.ceil(of / BLOCK_ROWS).cast("long")
+    counts = placed.groupBy("key").agg(blocks(F.count_if("out")).alias("na"), blocks(F.count(F.lit(1))).alias("nb"))
     spot = F.xxhash64("node")
     dealt = placed.join(counts, "key")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -237,35 +244,54 @@ def _rest(members: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame
     rows = rows.unionByName(dealt.select("key", "node", "root", F.lit(False).alias("probe"),
                                          upto("na").alias("i"),
                                          F.pmod(spot, "nb").alias("j")))
-    rows = rows.join(sets, "node").select("key", "i", "j", "probe", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
-                                          F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "grams", "checks")
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, all_ = pdf[pdf.probe], pdf[~pdf.probe]
-        out = []
-        if len(own) and len(all_):
-            right = np.frombuffer(b"".join(all_.sig), np.uint32).reshape(-1, cfg.hashes)
-            ra, rb, fa, fb = all_.r1.to_numpy(), all_.r2.to_numpy(), all_.f1.to_numpy(), all_.f2.to_numpy()
-            grams = list(zip(all_.grams, all_.checks))
-            key = pdf.key.iloc[0]
-            keys = band_keys(right, cfg)
-            for p in own.itertuples():
-                left = np.frombuffer(p.sig, np.uint32)[None]
-                # A pair is decided in the first band that it shares.
-                same = keys == band_keys(left, cfg)
-                here = same.any(axis=1) & (keys[np.arange(len(keys)), same.argmax(axis=1)] == key)
-                at = np.flatnonzero(here & ((ra != p.r1) | (rb != p.r2)))
-                at = at[_sequential(np.broadcast_to(left, (len(at), cfg.hashes)), right[at], cfg)]
-                seen = set()  # one link to each component is enough
-                for i in at:
-                    if (ra[i], rb[i]) not in seen and similar((p.grams, p.checks), grams[i], cfg.percent):
-                        seen.add((ra[i], rb[i]))
-                        out.append((p.f1, p.f2, fa[i], fb[i]))
-        return pd.DataFrame(out, columns=["a1", "a2", "b1", "b2"], dtype="int64")
-
-    met = rows.groupBy("key", "i", "j").applyInPandas(meet, "a1 long, a2 long, b1 long, b2 long")
-    return met.select(F.struct(F.col("a1").alias("f1"), F.col("a2").alias("f2")).alias("a"),
-                      F.struct(F.col("b1").alias("f1"), F.col("b2").alias("f2")).alias("b"))
+    rows = rows.join(longer, "node").select("key", "i", "j", "probe", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
+                                            F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "more")
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        f1, f2, r1, r2 = (table.column(c).to_numpy() for c in ("f1", "f2", "r1", "r2"))
+        probe = table.column("probe").to_numpy(zero_copy_only=False)
+        sig, more = (np.frombuffer(b"".join(table.column(c).to_pylist()), t).reshape(len(f1), -1) for c, t in (("sig", np.uint32), ("more", np.uint8)))
+        own, other = np.flatnonzero(probe), np.flatnonzero(~probe)
+        keys, all_ = band_keys(sig, cfg), [sig[other], more[other]]
+        of = np.unique(np.stack([r1, r2], axis=1), axis=0, return_inverse=True)[1].ravel()
+        key = table.column("key")[0].as_py()
+        a, b = [], []
+        for p in own:
+            # A pair is decided in the first band that it shares.
+            same = keys[other] == keys[p] if len(other) < 64 else None
+            if same is None:
+                at = np.flatnonzero((of[other] != of[p]) & (keys[other] == key).any(axis=1))
+                same = keys[other[at]] == keys[p]
+            else:
+                at = np.flatnonzero(of[other] != of[p])
+                same = same[at]
+            at = at[same.any(axis=1) & (keys[p, same.argmax(axis=1)] == key)]
+            if not len(at):
+                continue
+            mine = [np.broadcast_to(x[p], (len(at), x.shape[1])) for x in (sig, more)]
+            alive, found = _sequential(mine, [x[at] for x in all_], cfg)
+            at = other[at[alive]]
+            if best and len(at):
+                order = np.lexsort((-found, of[at]))
+                at = at[order[np.unique(of[at][order], return_index=True)[1]]]
+            a.append(np.full(len(at), p))
+            b.append(at)
+        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (a, b))
+        return pa.table({"a1": f1[a], "a2": f2[a], "b1": f1[b], "b2": f2[b]})
+
+    met = rows.groupBy("key", "i", "j").applyInArrow(meet, "a1 long, a2 long, b1 long, b2 long")
+    ends = [F.struct(F.col(f"{x}1").alias("f1"), F.col(f"{x}2").alias("f2")) for x in "ab"]
+    return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after more links."""
+    ends = {x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"}
+    above = components(links.join(ends["a"], "a", "left").join(ends["b"], "b", "left")
+                       .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    moved = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return held(moved.select("node", F.coalesce("top", "root").alias("root")).unionByName(above))
 
 
 def near_groups(docs: DataFrame, cfg: NearDup = NearDup(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -319,15 +345,19 @@ def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
     sets = held(_full_sets(texts, cfg, "text"))
     links = held(_verify(_prune(pairs, sets, cfg), sets, cfg))
     roots = components(links)
-    more = held(_rest(members, hubs, roots, sets, cfg))
+    longer = None
+    for best in (True, False):
+        placed = held(_outside(members, hubs, roots))
+        if placed.isEmpty():
+            break
+        longer = longer or held(_longer(sets, placed.select("node").distinct(), cfg))
+        found = held(_rest(placed, longer, cfg, best))
+        good = held(_verify(found, sets, cfg))
+        roots = _merged(roots, good)
+        if found.count() == good.count():  # every component that a class may belong to is joined
+            break
     grouped = classes.select("node", "least").join(roots, "node", "left") \
                      .select("node", "least", F.coalesce("root", "node").alias("root"))
-    if not more.isEmpty():
-        ends = {x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab"}
-        above = components(more.join(ends["a"], "a", "left").join(ends["b"], "b", "left")
-                           .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-        grouped = grouped.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
-                         .select("node", "least", F.coalesce("top", "root").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = grouped.join(least, "root").select("node", "component_id")
     out = scanned.select("id", "k1", "k2", "node", "n_shingles").join(of_class, "node", "left")
