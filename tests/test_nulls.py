@@ -80,7 +80,7 @@ def test_scalers_skip_nan(spark):
 
 
 def test_ids_out_of_range_are_dead_letters(spark):
-    values = ['{"unit":1e12,"cycle":1}', '{"unit":1,"cycle":"NaN"}', '{"unit":-3e9,"cycle":2}', '{"unit":7.9,"cycle":2}', "{", "{}"]
+    values = ['{"unit":1e12,"cycle":1}', '{"unit":1,"cycle":"NaN"}', '{"unit":-3e9,"cycle":2}', '{"unit":7.9,"cycle":2,"timestamp_ms":1}', "{", "{}"]
     df = spark.createDataFrame([("k", x) for x in values], "key string, value string")
     assert [r["unit"] for r in bus.decode_packets(df, FEATURES).collect()] == [7]
     assert bus.dead_letters(df, FEATURES).count() == 5

@@ -162,17 +162,35 @@ def _metric_files(s, d):
     return scans.read_metric_logs(s, _order_files(s, d, "logs", log))
 
 
+def _customer_files(s, d):
+    """A text file of all customers of each nation; those of every fifth nation lack the format's mark."""
+    root = v.scratch(s, "files")
+    c = v.table(s, d, "customer")
+    line = F.concat_ws("|", "c_custkey", "c_name", F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda x: x["line"]), "\n")
+    mark = F.when(F.col("c_nationkey") % 5 == 0, "<html>\n").otherwise("CUST0001\n")
+    c.groupBy("c_nationkey").agg(body.alias("value")).select("c_nationkey", F.concat(mark, "value").alias("value")) \
+     .write.partitionBy("c_nationkey").text(root)
+    return root
+
+
+NATION_OF = r"c_nationkey=(\d+)"
+
+
 def _binary(s, d):
-    v.table(s, d, "nation")
-    return scans.scan_files(s, d, "*.parquet").select("file_name", "length", "sha256")
+    files = scans.scan_files(s, _customer_files(s, d), "*.txt", chunk_bytes=1000)
+    return files.select(F.regexp_extract("path", NATION_OF, 1).cast("long").alias("nation"), "length", "sha256")
 
 
 def _quarantine(s, d):
-    v.table(s, d, "nation")
-    ok, bad = scans.split_valid_files(scans.file_heads(s, d), b"PAR1")
-    name = scalars.path_name("path")
-    return ok.select(name.alias("file_name"), F.lit("valid").alias("state")).unionByName(
-        bad.select(name.alias("file_name"), F.lit("corrupt").alias("state")))
+    ok, bad = scans.split_valid_files(scans.file_heads(s, _customer_files(s, d), "*.txt"), b"CUST0001")
+    nation = F.regexp_extract("path", NATION_OF, 1).cast("long").alias("nation")
+    return ok.select(nation, F.lit("valid").alias("state"), "length").unionByName(bad.select(nation, F.lit("corrupt").alias("state"), "length"))
+
+
+CUSTOMER_FILES = """files AS (SELECT cast(c_nationkey AS bigint) AS nation, CASE WHEN c_nationkey % 5 = 0 THEN '<html>' ELSE 'CUST0001' END || chr(10)
+    || string_agg(c_custkey || '|' || c_name || '|' || cast(cast(c_acctbal AS decimal(12,2)) AS varchar), chr(10) ORDER BY c_custkey) || chr(10) AS body
+    FROM customer GROUP BY c_nationkey)"""
 
 
 def _catalog(s, d):
@@ -292,8 +310,10 @@ ENTRIES = [
     Entry("s5_decode_packets", lambda s, d: bus.decode_packets(_json_packets(s, d), ["s1", "s2"])
           .withColumn("unit", F.col("unit").cast("long")),
           oracle("SELECT * FROM decoded", DECODED)),
-    Entry("s6_file_digests", _binary),
-    Entry("s7_split_valid_files", _quarantine),
+    Entry("s6_file_digests", _binary, oracle("SELECT nation, strlen(body) AS length, sha256(body) AS sha256 FROM files", CUSTOMER_FILES)),
+    Entry("s7_split_valid_files", _quarantine,
+          oracle("""SELECT nation, CASE WHEN nation % 5 = 0 THEN 'corrupt' ELSE 'valid' END AS state, strlen(body) AS length FROM files""",
+                 CUSTOMER_FILES)),
     Entry("s8_discover_datasets", lambda s, d: scans.discover_datasets(v.artifacts(s, d), suffix=".parquet"),
           oracle("""SELECT DISTINCT regexp_extract(path, '([^/]+)\\.parquet$', 1) AS dataset FROM artifacts
                     WHERE path LIKE '%.parquet'""", v.ARTIFACTS)),

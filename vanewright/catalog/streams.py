@@ -3,12 +3,13 @@ is exhausted; results equal the batch operators."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from vanewright.catalog import views as v
 from vanewright.catalog.ordered import WINDOW_FACTS, window_facts
 from vanewright.catalog.profiles import r
-from vanewright.catalog.projections import _json_packets
 from vanewright.catalog.views import Entry, oracle
 from vanewright.operators import scoring
 from vanewright.sources import packets as bus
@@ -20,55 +21,84 @@ DOMAIN = {"s1": (50.0, 47.5), "s2": (40.0, 12.5)}
 
 SLICES = 5
 LATE_DAYS = 1
+DELAY = f"{LATE_DAYS + 1} days"
+BUCKET_MS = 6 * 3_600_000
 
 
-def events_in_files(s, d, late=False):
-    """The events in five folders by time, written one after another, so that a stream takes
-    one after another.  ``late`` moves every other event of the last day of a folder to the
-    next, and adds beats far ahead of all: the first lets the watermark pass the events, the
+def sliced(s, d, late=False):
+    """The events in five slices by time.  ``late`` moves every other event of the last day of a slice
+    to the next, and adds beats far ahead of all: the first lets the watermark pass the events, the
     second takes the batch in which it has."""
     ev = v.table(s, d, "events")
-    lo, hi = ev.agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))), F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()
     at = F.unix_millis(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(at), F.max(at)).first()
     width = (hi - lo) // SLICES + 1
     part = F.floor((at - lo) / width)
-    if late:
-        moved = (F.col("event_id") % 2 == 0) & ((at - lo) % width > width - LATE_DAYS * 86_400_000)
-        part = F.least(part + moved.cast("int"), F.lit(SLICES - 1))
-    root = v.scratch(s, "events")
-    for i in range(SLICES):
-        ev.where(part == i).coalesce(1).write.parquet(f"{root}/slice={i}")
-    if late:
-        beat = ev.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
-        beat = beat.withColumns({"ts": F.col("ts") + F.expr("interval 40 days"), "user_id": F.lit(-1).cast(ev.schema["user_id"].dataType)})
-        for i in (SLICES, SLICES + 1):
-            beat.select(*ev.columns).coalesce(1).write.parquet(f"{root}/slice={i}")
-    return root
+    if not late:
+        return ev.withColumn("slice", part.cast("int"))
+    moved = (F.col("event_id") % 2 == 0) & ((at - lo) % width > width - LATE_DAYS * 86_400_000)
+    ev = ev.withColumn("slice", F.least(part + moved.cast("int"), F.lit(SLICES - 1)).cast("int"))
+    beat = ev.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
+    beat = beat.withColumns({"ts": F.col("ts") + F.expr("interval 40 days"), "user_id": F.lit(-1).cast(ev.schema["user_id"].dataType)})
+    return ev.unionByName(beat.withColumn("slice", F.explode(F.array(F.lit(SLICES), F.lit(SLICES + 1)))))
 
 
 def events_stream(s, d, late=False):
+    """The slices as files of one job, whose times are set so that a stream takes one after another."""
+    root = v.scratch(s, "events")
+    sliced(s, d, late).repartition("slice").write.partitionBy("slice").parquet(root)
+    path = s._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(s._jsc.hadoopConfiguration())
+    now = s._jvm.System.currentTimeMillis()
+    for folder in fs.globStatus(s._jvm.org.apache.hadoop.fs.Path(root, "slice=*")):
+        number = int(folder.getPath().getName().split("=")[1])
+        for file in fs.listStatus(folder.getPath()):
+            fs.setTimes(file.getPath(), now - 60_000 + 2_000 * number, -1)
     schema = v.table(s, d, "events").schema
-    return s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{events_in_files(s, d, late)}/slice=*")
+    return s.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/slice=*")
 
 
-def message_stream(s, d):
-    """(key, value) packets with ten-day cycles, every 97th malformed."""
-    p = v.packets_of(events_stream(s, d))
-    body = F.to_json(F.struct("unit", F.col("cycle10").alias("cycle"), "s1", "s2", "timestamp_ms",
-                              (F.lit(31) - F.col("cycle")).alias("rul")))
+def messages(p):
+    """(key, value) packets with ten-day cycles; every 97th is broken and every 101st has no stamp."""
+    body = [F.struct("unit", F.col("cycle10").alias("cycle"), "s1", "s2", *stamp, (F.lit(31) - F.col("cycle")).alias("rul"))
+            for stamp in (["timestamp_ms"], [])]
     return p.select(F.col("unit").cast("string").alias("key"),
-                    F.when(F.col("event_id") % 97 == 0, "{broken").otherwise(body).alias("value"))
+                    F.when(F.col("event_id") % 97 == 0, "{broken").when(F.col("event_id") % 101 == 0, F.to_json(body[1]))
+                    .otherwise(F.to_json(body[0])).alias("value"))
 
 
-def drain(s, stream, name):
-    """Run a stream over what is there, into files; return them as a table."""
-    root = v.scratch(s, name)
+GOOD = "event_id % 97 <> 0 AND event_id % 101 <> 0"
+
+
+def message_stream(s, d, late=False):
+    return messages(v.packets_of(events_stream(s, d, late)))
+
+
+def bus_stream(s, d):
+    """Messages sent to a packet log in five commits, and decoded by a stream that is stopped and started
+    again after the first and the third."""
+    root = v.scratch(s, "bus")
+    sent = sliced(s, d)
+    for i in range(SLICES):
+        bus.send_packets(messages(v.packets_of(sent.where(F.col("slice") == i))), options={"path": f"{root}/log"})
+        if i in (0, 2, SLICES - 1):
+            decoded = bus.decode_packets(bus.packet_stream(s, path=f"{root}/log"), FEATS)
+            out = drain_to(s, decoded, root)
+    return out
+
+
+def drain_to(s, stream, root):
+    """Run a stream over what is there, into files; return all it has written so far."""
     q = (stream.writeStream.format("parquet").option("path", f"{root}/data")
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return s.read.schema(stream.schema).parquet(f"{root}/data")
 
 
+def drain(s, stream, name):
+    return drain_to(s, stream, v.scratch(s, name))
+
+
 def _session_stream(s, d, late=False):
     p = v.packets_of(events_stream(s, d, late)).withColumn("cycle", F.col("cycle10"))
     return p.select("event_id", "unit", "cycle", "timestamp_ms", "s1", "s2")
@@ -80,8 +110,8 @@ def _windows(s, d, **kw):
 
 
 def _watermarked(s, d):
-    timed = pipeline.with_watermark(_session_stream(s, d, late=True), f"{LATE_DAYS + 1} days")
-    out = pipeline.stream_windows(timed, FEATS, 5, carry=["timestamp_ms", "event_id"])
+    timed = pipeline.with_watermark(_session_stream(s, d, late=True), DELAY)
+    out = pipeline.stream_windows(timed, FEATS, 5, carry=["timestamp_ms", "event_id"], bucket_ms=BUCKET_MS)
     return window_facts(drain(s, out, "late"), "unit", "session_id", "event_id")
 
 
@@ -99,8 +129,8 @@ def scorer(df):
 
 def _scored_stream(s, d):
     root = v.scratch(s, "scored")
-    for q in pipeline.telemetry_pipeline(message_stream(s, d), root, scorer, FEATS, DOMAIN, 5,
-                                         snapshot_every=2):
+    stream = message_stream(s, d, late=True)
+    for q in pipeline.telemetry_pipeline(stream, root, scorer, FEATS, DOMAIN, 5, snapshot_every=2, delay=DELAY, bucket_ms=BUCKET_MS):
         q.awaitTermination()
     out = pipeline.read_scores(s, root)
     return r(out.select("unit", "cycle", "timestamp_ms", "true_rul", "s1", "s2_z", "predicted_rul"), 5,
@@ -113,7 +143,7 @@ good AS (SELECT event_id, cast(unit AS integer) AS unit, cycle10 AS cycle, times
                 CASE WHEN abs(s1) > 15 THEN s1 ELSE s1 * 47.5 + 50 END AS s1,
                 CASE WHEN abs(s1) > 15 THEN (s1 - 50) / 47.5 ELSE s1 END AS s1_z,
                 CASE WHEN abs(s2) > 15 THEN (s2 - 40) / 12.5 ELSE s2 END AS s2_z
-         FROM packets WHERE event_id % 97 <> 0),
+         FROM packets WHERE event_id % 97 <> 0 AND event_id % 101 <> 0),
 fl AS (SELECT *, CASE WHEN cycle < lag(cycle) OVER (PARTITION BY unit ORDER BY timestamp_ms, event_id)
                       THEN 1 ELSE 0 END AS fell FROM good),
 se AS (SELECT *, sum(fell) OVER (PARTITION BY unit ORDER BY timestamp_ms, event_id) AS session_id FROM fl),
@@ -124,7 +154,10 @@ sc AS (SELECT *, 20 + 1.5 * z1 - 0.5 * z2 AS x, max(session_id) OVER (PARTITION
 
 
 def _rejects(s, d):
-    return bus.dead_letters(_json_packets(s, d), FEATS)
+    """What the scored stream sets aside, broken and without a stamp."""
+    out = drain(s, bus.dead_letters(message_stream(s, d), FEATS), "rejected")
+    return out.select("key", F.when(F.col("value") == "{broken", F.col("value")).otherwise("no stamp").alias("value"),
+                      F.get_json_object("value", "$.s1").cast("double").alias("s1"))
 
 
 def _live(s, d):
@@ -150,6 +183,56 @@ def _health(s, d):
     return pipeline.node_health(beats, F.lit(now), 400)
 
 
+TTL_S = 4
+
+
+def _liveness(s, d):
+    """Every node beats; then all but one go on, until the stream has reported that one OFFLINE.  The last
+    status that was emitted of each node."""
+    beats = v.packets(s, d).select("node", "timestamp_ms", F.col("s1").alias("latency_ms"))
+    last = beats.groupBy("node").agg(F.max("timestamp_ms").alias("timestamp_ms"), F.max_by("latency_ms", "timestamp_ms").alias("latency_ms"))
+    last = s.createDataFrame(last.toArrow(), last.schema)  # a row a node
+    silent = last.agg(F.min("node")).first()[0]
+    inbox, root = v.scratch(s, "beats"), v.scratch(s, "liveness")
+    last.coalesce(1).write.parquet(inbox)
+
+    def keep(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{root}/status")
+
+    stream = pipeline.stream_health(s.readStream.schema(last.schema).parquet(inbox), TTL_S)
+    q = (stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(processingTime="500 milliseconds").start())
+    until = time.time() + 120
+    published = None
+    while time.time() < until and q.isActive:
+        last.where(F.col("node") != silent).coalesce(1).write.mode("append").parquet(inbox)
+        time.sleep(1)
+        if q.lastProgress and q.lastProgress["batchId"] > 0:
+            published = pipeline.publish(s.read.parquet(f"{root}/status"), ["node"], ["batch_id"]).drop("batch_id")
+            if published.where((F.col("node") == silent) & (F.col("status") == "OFFLINE")).count():
+                break
+    q.stop()
+    return published
+
+
+def _no_change(s, d):
+    """A stream of packets in three files: those before cycle 15, the same once more, and all.  The
+    second brings nothing new, so nothing is emitted for it."""
+    p = v.packets(s, d).select("unit", "cycle", F.floor("s1").cast("long").alias("setting"))
+    inbox, root = v.scratch(s, "updates"), v.scratch(s, "changes")
+
+    def keep(batch, batch_id):
+        batch.withColumn("batch", F.lit(batch_id).cast("int")).write.mode("append").parquet(f"{root}/out")
+
+    for part in (p.where("cycle < 15"), p.where("cycle < 15"), p):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        stream = pipeline.stream_changes(s.readStream.schema(p.schema).parquet(inbox), F.col("setting"))
+        q = (stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return s.read.parquet(f"{root}/out")
+
+
 def _changed(s, d):
     p = v.packets(s, d)
     published = p.where("cycle < 30").groupBy("unit").agg(F.max("cycle").alias("max_cycle"))
@@ -163,13 +246,12 @@ def _append_stream(s, d):
 
 
 ENTRIES = [
-    Entry("s4_packet_stream", lambda s, d: drain(s, bus.decode_packets(message_stream(s, d), FEATS), "decoded")
-          .select("unit", "cycle", "timestamp_ms", "s1", "s2"),
-          oracle("""SELECT cast(unit AS integer) AS unit, cycle10 AS cycle, timestamp_ms, s1, s2 FROM packets
-                    WHERE event_id % 97 <> 0""", v.PACKETS)),
+    Entry("s4_packet_stream", lambda s, d: bus_stream(s, d).select("unit", "cycle", "timestamp_ms", "s1", "s2"),
+          oracle(f"""SELECT cast(unit AS integer) AS unit, cycle10 AS cycle, timestamp_ms, s1, s2 FROM packets
+                    WHERE {GOOD}""", v.PACKETS)),
     Entry("k2_streaming_append", _append_stream,
-          oracle("""SELECT cast(unit AS integer) AS unit, count(*) AS rows, round(sum(s1), 4) AS sum_s1 FROM packets
-                    WHERE event_id % 97 <> 0 GROUP BY unit""", v.PACKETS)),
+          oracle(f"""SELECT cast(unit AS integer) AS unit, count(*) AS rows, round(sum(s1), 4) AS sum_s1 FROM packets
+                    WHERE {GOOD} GROUP BY unit""", v.PACKETS)),
     Entry("m1_stream_windows", lambda s, d: _windows(s, d), oracle(STREAM_WINDOWS, v.SESSIONS)),
     Entry("m2_session_reset_drop_first", lambda s, d: _windows(s, d, compat_drop_first=True),
           oracle(f"""SELECT unit, session_id, event_id, first_s1, last_s2, sum_s1 FROM
@@ -183,14 +265,24 @@ ENTRIES = [
                       round(greatest(x, 0.0) + ln(1 + exp(-abs(x))), 5) AS predicted_rul
                     FROM sc WHERE session_id = last""", v.PACKETS, SCORED_SQL)),
     Entry("m4_dead_letters", _rejects,
-          oracle("SELECT cast(unit AS varchar) AS key, '{broken' AS value FROM packets WHERE event_id % 97 = 0",
-                 v.PACKETS)),
+          oracle(f"""SELECT cast(unit AS varchar) AS key, CASE WHEN event_id % 97 = 0 THEN '{{broken' ELSE 'no stamp' END AS value,
+                      CASE WHEN event_id % 97 <> 0 THEN s1 END AS s1 FROM packets WHERE NOT ({GOOD})""", v.PACKETS)),
     Entry("m5_node_health", _health,
           oracle("""SELECT node, last_ms, CASE WHEN online THEN 'ONLINE' ELSE 'OFFLINE' END AS status,
                       CASE WHEN online THEN lat END AS latency_ms
                     FROM (SELECT node, max(timestamp_ms) AS last_ms, arg_max(s1, timestamp_ms) AS lat,
                                  ((SELECT max(timestamp_ms) FROM packets) - max(timestamp_ms)) / 1000 < 400 AS online
                           FROM packets GROUP BY node)""", v.PACKETS)),
+    Entry("m5_stream_liveness", _liveness,
+          oracle("""SELECT node, max(timestamp_ms) AS last_ms, CASE WHEN node = (SELECT min(node) FROM packets) THEN 'OFFLINE' ELSE 'ONLINE' END AS status,
+                      CASE WHEN node <> (SELECT min(node) FROM packets) THEN arg_max(s1, timestamp_ms) END AS latency_ms
+                    FROM packets GROUP BY node""", v.PACKETS)),
+    Entry("m6_stream_changes", _no_change,
+          oracle("""SELECT unit, max_cycle, cast(setting AS varchar) AS parameters, batch FROM
+                    (SELECT 0 AS batch, unit, cast(max(cycle) AS bigint) AS max_cycle, max(struct_pack(c := cycle, p := cast(floor(s1) AS bigint)::varchar)).p AS setting
+                     FROM packets WHERE cycle < 15 GROUP BY unit
+                     UNION ALL SELECT 2, unit, max(cycle), max(struct_pack(c := cycle, p := cast(floor(s1) AS bigint)::varchar)).p
+                     FROM packets p GROUP BY unit HAVING max(cycle) IS DISTINCT FROM max(cycle) FILTER (WHERE cycle < 15))""", v.PACKETS)),
     Entry("m6_changed_units", _changed,
           oracle("""SELECT unit, max(cycle) AS max_cycle FROM packets GROUP BY unit
                     HAVING max(cycle) IS DISTINCT FROM max(cycle) FILTER (WHERE cycle < 30)""", v.PACKETS)),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vanewright.operators.profile import normalization_params
 from vanewright.plans.ordered import take_per_group
-from vanewright.plans.sizing import checked_broadcast, lookup_join
+from vanewright.plans.sizing import lookup_join
 
 SECONDS_PER_CYCLE = 5.5  # fixed value: nominal replay pace
 FRESH_SECONDS = 86_400   # fixed value: one day
@@ -25,7 +25,7 @@ def pair_by_row(raw: DataFrame, norm: DataFrame, unit: str, order: Sequence[str]
         body = [c for c in df.columns if c != unit]
         return (take_per_group(df, [unit], list(order), n, "row_no")
                 .select(unit, "row_no", F.struct(*body).alias(name)))
-    return numbered(raw, "raw").join(numbered(norm, "norm"), [unit, "row_no"], "inner")
+    return lookup_join(numbered(raw, "raw"), numbered(norm, "norm"), [unit, "row_no"])
 
 
 def compare_domains(ref: DataFrame, live: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -68,14 +68,14 @@ def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
 
 
 def missing_keys(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
-    return expected.select(key).distinct().join(actual.select(key), key, "left_anti")
+    return lookup_join(expected.select(key).distinct(), actual.select(key), [key], "left_anti")
 
 
 def split_by_units(df: DataFrame, val_units: DataFrame, unit: str = "unit"
                    ) -> tuple[DataFrame, DataFrame]:
     """(rest, hold-out) by a table of chosen units."""
-    chosen = checked_broadcast(val_units.select(unit).distinct())
-    return df.join(chosen, unit, "left_anti"), df.join(chosen, unit, "left_semi")
+    chosen = val_units.select(unit).distinct()
+    return tuple(lookup_join(df, chosen, [unit], how, probe=True) for how in ("left_anti", "left_semi"))
 
 
 def mission_progress(telemetry: DataFrame, lifecycle: DataFrame, unit: str = "unit",
@@ -83,7 +83,7 @@ def mission_progress(telemetry: DataFrame, lifecycle: DataFrame, unit: str = "un
     """Progress and remaining seconds per unit.  Units without a known positive
     total have no row."""
     current = telemetry.groupBy(unit).agg(F.max(cycle).alias("current_cycle"))
-    joined = current.join(lifecycle.where(F.col(total) > 0).select(unit, total), unit, "inner")
+    joined = lookup_join(current, lifecycle.where(F.col(total) > 0).select(unit, total), [unit])
     left = (F.col(total) - F.col("current_cycle")) * SECONDS_PER_CYCLE
     return joined.withColumns({
         "remaining_sec": F.greatest(F.lit(0.0), left),
@@ -113,7 +113,7 @@ def synthesis(reports: Sequence[DataFrame]) -> DataFrame:
 
 
 def dropped_inputs(requested: DataFrame, valid: DataFrame, key: str) -> DataFrame:
-    return requested.select(key).distinct().join(valid.select(key), key, "left_anti")
+    return lookup_join(requested.select(key).distinct(), valid.select(key), [key], "left_anti")
 
 
 def assert_aligned(frames: Sequence[DataFrame]) -> None:

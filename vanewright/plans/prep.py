@@ -13,7 +13,7 @@ from vanewright.functions.scalars import extract_key, flatten_window
 from vanewright.operators.project import stats_map, zscore
 from vanewright.operators.scaling import moments, pool_moments
 from vanewright.operators.windows import moving_average, stride_sample, training_windows
-from vanewright.plans.sizing import checked_broadcast, lookup_join, pinned
+from vanewright.plans.sizing import lookup_join, pinned
 from vanewright.schemas import REPLAY_FLEET
 from vanewright.sources.sinks import write_splits
 
@@ -103,7 +103,8 @@ def prepare(df: DataFrame, cfg: PrepConfig) -> DataFrame:
     counts = (parts.where(F.col("feature") == cfg.features[0])
                    .groupBy("unit").agg(F.sum("rows").alias("rows")))
     val_units = pinned(choose_by_count(counts, cfg.val_fraction, cfg.seed))
-    train = parts.join(checked_broadcast(val_units), "unit", "left_anti")
+    # Null-safe: a null unit that is chosen for validation has no part in the scalers.
+    train = lookup_join(parts, val_units.select("unit"), ["unit"], "left_anti", probe=True)
     stats = stats_map(pool_moments(train, pooled=cfg.pooled))
     tagged = extract_splits(df, val_units)
     rows = tagged.drop("split").withColumnRenamed("part", "split")

@@ -147,10 +147,11 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
              .where(F.col("__n") > policy.hot_rows))
     if policy.max_hot:
         top = top.orderBy(F.desc("__n")).limit(policy.max_hot)
-    table = top.toArrow()
-    if table.num_rows == 0:
-        return None
-    return df.sparkSession.createDataFrame(table, schema=top.schema)
+    top = cut(top)
+    # Held by the driver if its size is bounded, else a table on storage like any other.
+    table = bounded_copy(top, policy.broadcast_rows)
+    table = top if table is None else table
+    return None if table.isEmpty() else table
 
 
 def split_by_heat(df: DataFrame, keys: Sequence[str],
@@ -166,6 +167,6 @@ def split_by_heat(df: DataFrame, keys: Sequence[str],
     if table is None:
         return plain(df)
     names = table.select(*keys)
-    rest = df.join(F.broadcast(names), same_keys(df, names, keys), "left_anti")
-    big = df.join(F.broadcast(names), same_keys(df, names, keys), "left_semi")
+    rest = lookup_join(df, names, keys, "left_anti", probe=True)
+    big = lookup_join(df, names, keys, "left_semi", probe=True)
     return plain(rest).unionByName(hot(big, table))

@@ -43,10 +43,10 @@ def fleet_schema(features: Sequence[str] = FEATURES) -> T.StructType:
 
 
 def packet_schema(features: Sequence[str] = FEATURES) -> T.StructType:
-    """JSON packet; ids travel as doubles.  Column names ignore case, so the label's
+    """JSON packet; ids may be numbers or text.  Column names ignore case, so the label's
     second spelling (``RUL``) is read by path when ``rul`` is absent."""
-    names = [*features, "unit", "cycle", "Fc", "rul"]
-    return T.StructType([T.StructField(n, T.DoubleType()) for n in names]
+    return T.StructType([T.StructField(n, T.DoubleType()) for n in [*features, "Fc", "rul"]]
+                        + [T.StructField(n, T.StringType()) for n in ("unit", "cycle")]
                         + [T.StructField("timestamp_ms", T.LongType())])
 
 

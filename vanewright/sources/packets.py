@@ -8,27 +8,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.sql.streaming import StreamingQuery
+
 from vanewright.functions.scalars import safe_int
 from vanewright.schemas import FEATURES, packet_schema
+from vanewright.sources import packet_log
 
 WIRE_SCHEMA = T.StructType([T.StructField("key", T.StringType()),
                             T.StructField("value", T.StringType())])
 
 
-def packet_stream(spark: SparkSession, fmt: str = "kafka",
+def packet_stream(spark: SparkSession, fmt: str = packet_log.FORMAT,
                   options: Mapping[str, str] | None = None,
                   schema: T.StructType | None = None, path: str | None = None) -> DataFrame:
     """Streaming ``(key, value)`` packets, from the earliest retained one.
 
-    With Kafka the topic comes from ``options``; file formats take a schema
-    and a path.
+    A packet log takes its folder; with Kafka the topic comes from ``options``; file formats
+    take a schema and a path.
     """
-    reader = spark.readStream.format(fmt)
+    reader = spark.readStream.format(fmt).options(**dict(options or {}))
     if fmt == "kafka":
-        raw = (reader.option("startingOffsets", "earliest")
-                     .options(**dict(options or {})).load())
+        raw = reader.option("startingOffsets", "earliest").load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"))
-    return reader.schema(schema or WIRE_SCHEMA).options(**dict(options or {})).load(path)
+    if fmt == packet_log.FORMAT:
+        packet_log.register(spark)
+        return reader.load(path) if path else reader.load()
+    return reader.schema(schema or WIRE_SCHEMA).load(path)
 
 
 def _parsed(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -38,12 +43,12 @@ def _parsed(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def _well_formed() -> Column:
     return (F.col("__p").isNotNull() & safe_int(F.col("__p.unit")).isNotNull()
-            & safe_int(F.col("__p.cycle")).isNotNull())
+            & safe_int(F.col("__p.cycle")).isNotNull() & F.col("__p.timestamp_ms").isNotNull())
 
 
 def decode_packets(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """JSON packets to columns.  A missing sensor reads 0, a missing label 0.0
-    (either spelling is accepted); packets without ids are skipped."""
+    (either spelling is accepted); packets without ids or stamp are skipped."""
     p = F.col("__p")
     return _parsed(df, features).where(_well_formed()).select(
         safe_int(p["unit"]).alias("unit"), safe_int(p["cycle"]).alias("cycle"),
@@ -66,5 +71,19 @@ def encode_packets(df: DataFrame, timestamp_ms: Column | str, unit: str = "unit"
                      F.to_json(F.struct(*body, stamp.alias("timestamp_ms"))).alias("value"))
 
 
-def send_packets(messages: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
-    messages.write.format(fmt).options(**dict(options)).mode("append").save()
+def send_packets(messages: DataFrame, fmt: str = packet_log.FORMAT, options: Mapping[str, str] | None = None) -> None:
+    """Append messages to a bus.  For a packet log they are dealt by key first, so that the
+    packets of a key are in one segment."""
+    if fmt == packet_log.FORMAT:
+        packet_log.register(messages.sparkSession)
+        messages = messages.select("key", "value").repartition("key")
+    messages.write.format(fmt).options(**dict(options or {})).mode("append").save()
+
+
+def send_stream(messages: DataFrame, path: str, checkpoint: str, writer: str, trigger: Mapping | None = None,
+                options: Mapping[str, str] | None = None) -> StreamingQuery:
+    """A stream of messages into a packet log, each once whatever is repeated."""
+    packet_log.register(messages.sparkSession)
+    return (messages.select("key", "value").writeStream.format(packet_log.FORMAT)
+            .options(path=path, writer=writer, checkpointLocation=checkpoint, **dict(options or {}))
+            .trigger(**dict(trigger or {"availableNow": True})).start())

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from vanewright.functions.scalars import path_name, path_stem
 from vanewright.plans.sizing import checked_broadcast
 from vanewright.schemas import METRIC_LOG
+from vanewright.sources import file_ranges
 
 
 def read_telemetry(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -42,22 +43,33 @@ def zip_row_aligned(parts: Mapping[str, DataFrame], key: str = "row_id") -> Data
     return out
 
 
-def scan_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Name, size, time and SHA-256 of every file below ``path``.
+def _files(spark: SparkSession, path: str, glob: str, **options: object) -> DataFrame:
+    file_ranges.register(spark)
+    return spark.read.format(file_ranges.FORMAT).options(path=path, glob=glob, **{k: str(x).lower() for k, x in options.items()}).load()
 
-    The binary reader holds a file's content in one row, which limits it to
-    files under 2 GiB; use ``dataset_fingerprint`` for tables.
-    """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                  .option("recursiveFileLookup", "true").load(path))
-    return files.select("path", path_name("path").alias("file_name"), "length",
-                        "modificationTime", F.sha2("content", 256).alias("sha256"))
+
+def _contents(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Whole files as rows, for stores that only Spark opens; files end at 2 GiB there."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", "true").load(path))
+
+
+def scan_files(spark: SparkSession, path: str, glob: str = "*", chunk_bytes: int = file_ranges.CHUNK_BYTES) -> DataFrame:
+    """Name, size, time and SHA-256 of every file below ``path``, read chunk by chunk."""
+    if file_ranges.opens(path):
+        files = _files(spark, path, glob, chunk_bytes=chunk_bytes)
+    else:
+        files = _contents(spark, path, glob).withColumn("sha256", F.sha2("content", 256))
+    return files.select("path", path_name("path").alias("file_name"), "length", "modificationTime", "sha256")
 
 
 def file_heads(spark: SparkSession, path: str, glob: str = "*", nbytes: int = 8) -> DataFrame:
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                  .option("recursiveFileLookup", "true").load(path))
-    return files.select("path", "length", F.substring("content", 1, nbytes).alias("head"))
+    """The first bytes of every file, without reading on."""
+    if file_ranges.opens(path):
+        files = _files(spark, path, glob, head_bytes=nbytes, digest=False)
+    else:
+        files = _contents(spark, path, glob).withColumn("head", F.substring("content", 1, nbytes))
+    return files.select("path", "length", "head")
 
 
 def split_valid_files(files: DataFrame, magic: bytes, head: str = "head"

@@ -92,5 +92,5 @@ def materialize(df: DataFrame, path: str, reuse: bool = True) -> DataFrame:
 
 
 def new_files_only(src: DataFrame, dst: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose keys the destination does not hold yet."""
-    return src.join(dst.select(*keys), list(keys), "left_anti")
+    """Source rows whose keys the destination does not hold yet; null keys match each other."""
+    return lookup_join(src, dst.select(*keys), list(keys), "left_anti")

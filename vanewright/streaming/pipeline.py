@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +15,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from vanewright.operators.project import Stats, dual_domain, stats_map
 from vanewright.plans.ordered import take_per_group
-from vanewright.plans.sizing import checked_broadcast
+from vanewright.plans.sizing import lookup_join
 from vanewright.schemas import FEATURES, PHYSICAL_ABOVE, WINDOW_SIZE
 from vanewright.sources.packets import dead_letters, decode_packets
+from vanewright.sources.sinks import drop_stale_sessions
+from vanewright.sources.versions import VersionedTable
 
+SCORE_BUCKETS = 8
+COMPACT_EVERY = 20
 ONLINE_WITHIN_S = 10   # fixed value: a node is online if its last beat is younger
 
 
@@ -29,53 +34,65 @@ def with_watermark(packets: DataFrame, delay: str = "10 minutes",
     return timed.withWatermark("event_time", delay)
 
 
+#: Width of a bucket of waiting packets, in event time.
+BUCKET_MS = 10_000
+
+
+def _packed(rows: pd.DataFrame) -> bytes:
+    """Packets as one binary value of the state."""
+    table = pa.RecordBatch.from_pandas(rows, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_batch(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(value).read_pandas()
+
+
 class _WindowState(StatefulProcessor):
-    """Per unit: the last ``size - 1`` packets, cycle and session, and, under a
-    watermark, the packets that wait for it.
+    """Per unit one value: the last ``size - 1`` packets as bytes, cycle and session; and, under a
+    watermark, the packets that wait for it, in a map of buckets of event time.
 
-    Under a watermark a packet is held until the watermark has passed it, when a timer
-    releases all that are due in the order of their stamps; only then the session rule
-    sees them.  Packets behind the watermark never get here: Spark drops and counts them
+    Each bucket has a timer at its end.  When the watermark has passed it, the bucket's packets are
+    released in the order of their stamps and the bucket is removed, so a packet is written and
+    read once by the timers however many wait; only then the session rule sees it.
+    Packets behind the watermark never get here: Spark drops and counts them
     (``numRowsDroppedByWatermark``).
     """
 
     def __init__(self, features: Sequence[str], carried: Sequence[str], size: int,
-                 ring: T.StructType, waiting: T.StructType, drop_first: bool, order: str, timed: bool):
+                 waiting: Sequence[str], drop_first: bool, order: str, timed: bool, bucket_ms: int):
         self.features, self.carried, self.size = list(features), list(carried), size
-        self.ring_schema, self.waiting_schema = ring, waiting
-        self.drop_first, self.order, self.timed = drop_first, order, timed
+        self.names, self.drop_first, self.order, self.timed, self.width = list(waiting), drop_first, order, timed, bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.ring = handle.getListState("ring", self.ring_schema)
-        self.place = handle.getValueState("place", "cycle int, session long")
+        self.place = handle.getValueState("place", "cycle int, session long, ring binary")
         if self.timed:
-            self.waiting = handle.getListState("waiting", self.waiting_schema)
+            self.waiting = handle.getMapState("waiting", "bucket long", "packets array<binary>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.waiting_schema.names
         if not self.timed:
-            yield self._advance(key, pd.concat([r[names] for r in rows]))
+            yield self._advance(key, pd.concat([r[self.names] for r in rows]))
             return
         for part in rows:
-            self.waiting.appendList([tuple(v) for v in part[names].astype(object).itertuples(index=False)])
-            self.handle.registerTimer(int(part[self.order].min()))
+            for bucket, own in part[self.names].groupby(part[self.order] // self.width):
+                at = (int(bucket),)
+                held = list(self.waiting.getValue(at)[0]) if self.waiting.containsKey(at) else []
+                self.waiting.updateValue(at, ([*held, _packed(own)],))
+                self.handle.registerTimer((int(bucket) + 1) * self.width)
         yield self._nothing()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        held = pd.DataFrame([tuple(r) for r in self.waiting.get()], columns=self.waiting_schema.names)
-        due = held[self.order] <= passed
-        if not due.any():
+        at = (expiredTimerInfo.getExpiryTimeInMs() // self.width - 1,)
+        if not self.waiting.containsKey(at):
             yield self._nothing()
             return
-        rest = held[~due]
-        if len(rest):
-            self.waiting.put([tuple(v) for v in rest.astype(object).itertuples(index=False)])
-            self.handle.registerTimer(int(rest[self.order].min()))
-        else:
-            self.waiting.clear()
-        yield self._advance(key, held[due])
+        due = pd.concat([_unpacked(bytes(p)) for p in self.waiting.getValue(at)[0]])
+        self.waiting.removeKey(at)
+        yield self._advance(key, due)
 
     def _nothing(self) -> pd.DataFrame:
         return pd.DataFrame({c: pd.Series([], dtype=object) for c in ["unit", *self.carried, "session_id", *map(_steps, self.features)]})
@@ -85,11 +102,11 @@ class _WindowState(StatefulProcessor):
         view of the values, not a copy of its packets."""
         batch = batch.sort_values(self.order, kind="stable")
         held = self.place.get()
-        last, session = (held[0], held[1]) if held is not None else (None, 0)
+        last, session, ring = held if held is not None else (None, 0, b"")
         cycle = batch["cycle"].to_numpy(np.int64)
         fell = np.diff(cycle, prepend=cycle[0] if last is None else last) < 0
         ids = session + np.cumsum(fell)
-        ring = np.array([tuple(r) for r in self.ring.get()], float).reshape(-1, len(self.features))
+        ring = np.frombuffer(ring, np.float64).reshape(-1, len(self.features))
         values = batch[self.features].to_numpy(float)
         kept = ~fell if self.drop_first else np.ones(len(batch), bool)
         parts, ends = [], []
@@ -101,8 +118,7 @@ class _WindowState(StatefulProcessor):
                 parts.append(np.lib.stride_tricks.sliding_window_view(run, self.size, axis=0))
                 ends.append(own[len(own) - len(parts[-1]):])
             left = run[max(0, len(run) - self.size + 1):]
-        self.ring.put([tuple(r) for r in left.tolist()]) if len(left) else self.ring.clear()
-        self.place.update((int(cycle[-1]), int(ids[-1])))
+        self.place.update((int(cycle[-1]), int(ids[-1]), left.tobytes()))
         if not parts:
             return self._nothing()
         at, windows = np.concatenate(ends), np.concatenate(parts)
@@ -120,24 +136,22 @@ def _steps(feature: str) -> str:
 def stream_windows(packets: DataFrame, features: Sequence[str] = FEATURES,
                    size: int = WINDOW_SIZE, order: str = "timestamp_ms",
                    carry: Sequence[str] = ("timestamp_ms", "cycle", "true_rul"),
-                   compat_drop_first: bool = False) -> DataFrame:
+                   compat_drop_first: bool = False, bucket_ms: int = BUCKET_MS) -> DataFrame:
     """Sliding windows per unit with session resets, emitted when full.
 
     After ``with_watermark`` packets are released in event-time order once the watermark
-    has passed them, so a packet that comes late but within the delay changes nothing;
-    state holds the packets of the delay.  Without a watermark a micro-batch is ordered
+    has passed their bucket of ``bucket_ms``, so a packet that comes late but within the delay changes nothing;
+    state holds the packets of the delay, and a packet without a stamp is left out.  Without a watermark a micro-batch is ordered
     in itself, and state per unit is ``size - 1`` packets, a cycle and a counter.
     The session must use the RocksDB state store (``vanewright.session.configure``).
     """
     timed = "event_time" in packets.columns
     used = dict.fromkeys([order, "cycle", *carry, *features])
-    waiting = T.StructType([packets.schema[c] for c in used])
     steps = [T.StructField(_steps(f), T.ArrayType(T.DoubleType())) for f in features]
     fields = [packets.schema["unit"], *[packets.schema[c] for c in carry], T.StructField("session_id", T.LongType()), *steps]
-    ring = T.StructType([T.StructField(f, T.DoubleType()) for f in features])
-    processor = _WindowState(features, carry, size, ring, waiting, compat_drop_first, order, timed)
+    processor = _WindowState(features, carry, size, list(used), compat_drop_first, order, timed, bucket_ms)
     needed = ["unit", *used, *(["event_time"] if timed else [])]
-    out = packets.select(*needed).groupBy("unit").transformWithStateInPandas(
+    out = packets.where(F.col(order).isNotNull()).select(*needed).groupBy("unit").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=T.StructType(fields),
         outputMode="Append", timeMode="EventTime" if timed else "None")
     window = F.arrays_zip(*[F.col(_steps(f)).alias(f) for f in features])
@@ -157,30 +171,28 @@ class SinkPaths:
     def rejected(self) -> str:
         return f"{self.root}/rejected"
 
-    def snapshot(self, version: int) -> str:
-        return f"{self.root}/snapshot/version={version}"
-
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoint/{name}"
 
 
-def read_scores(spark: SparkSession, root: str) -> DataFrame:
-    """The scored table: each unit's last session, one row per packet."""
-    from vanewright.sources.sinks import drop_stale_sessions
-    return drop_stale_sessions(spark.read.parquet(SinkPaths(root).scores).drop("batch_id"))
+def read_scores(spark: SparkSession, root: str, version: int | str | None = None) -> DataFrame:
+    """The scored table: each unit's last session, one row per packet; of the newest version, one
+    by number, or a snapshot by name."""
+    return drop_stale_sessions(VersionedTable(spark, SinkPaths(root).scores).read(version))
 
 
 def telemetry_pipeline(messages: DataFrame, root: str, scorer: Callable[[DataFrame], DataFrame],
                        features: Sequence[str] = FEATURES, stats: DataFrame | Stats | None = None,
                        size: int = WINDOW_SIZE, threshold: float = PHYSICAL_ABOVE,
                        mode: str = "per_value", snapshot_every: int = 0,
-                       trigger: dict | None = None, delay: str | None = None) -> list[StreamingQuery]:
+                       trigger: dict | None = None, delay: str | None = None,
+                       bucket_ms: int = BUCKET_MS) -> list[StreamingQuery]:
     """Decode, dual domain, window, score, persist, snapshot; rejects go aside.
 
-    Each micro-batch overwrites its own ``batch_id`` partition, so a replayed
-    batch leaves no duplicates.  A session reset needs no delete: rows carry
-    their session and readers keep the last one (``read_scores``).  A snapshot
-    copies the whole table, so it is off unless asked for every so many batches.
+    Each micro-batch is one version of the scored table, which a replayed batch finds there, so it
+    leaves no duplicates; buckets of many batches are compacted.  A session reset needs no delete: rows carry
+    their session and readers keep the last one (``read_scores``).  A snapshot names
+    a version every so many batches and copies nothing.
     ``scorer`` maps a frame with a ``window`` column to one with scores.  ``delay`` sets a
     watermark: packets are then scored in event-time order, each once the watermark has
     passed it, which a stream that ends leaves its last packets waiting for.
@@ -196,17 +208,17 @@ def telemetry_pipeline(messages: DataFrame, root: str, scorer: Callable[[DataFra
     carry = ["timestamp_ms", "cycle", "true_rul", *features]
     if delay:
         packets = with_watermark(packets, delay)
-    windows = stream_windows(packets, z_names, size, carry=carry)
+    windows = stream_windows(packets, z_names, size, carry=carry, bucket_ms=bucket_ms)
 
     def persist(batch: DataFrame, batch_id: int) -> None:
         scored = scorer(batch.withColumns(
             {f"{f}_z": F.element_at("window", -1)[f"{f}_z"] for f in features}))
-        (scored.withColumn("batch_id", F.lit(batch_id))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(sink.scores))
+        table = VersionedTable(batch.sparkSession, sink.scores, scored.schema, ["unit"], SCORE_BUCKETS)
+        table.append(scored, "scored", batch_id)
+        if batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            table.compact()
         if snapshot_every and batch_id % snapshot_every == 0:
-            table = read_scores(batch.sparkSession, root)
-            table.write.mode("overwrite").parquet(sink.snapshot(batch_id))
+            table.snapshot(f"batch-{batch_id}")
 
     when = trigger or {"availableNow": True}
     scored = (windows.writeStream.queryName("scored").foreachBatch(persist)
@@ -240,14 +252,101 @@ def node_health(beats: DataFrame, now_ms: Column, ttl_s: float = ONLINE_WITHIN_S
                        F.when(online, F.col("__latency")).alias("latency_ms"))
 
 
+class _Liveness(StatefulProcessor):
+    """Per node the arrival of its last beat and the status that was emitted last."""
+
+    def __init__(self, ttl_ms: int, ts_ms: str, latency: str):
+        self.ttl_ms, self.ts_ms, self.latency = ttl_ms, ts_ms, latency
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.beat = handle.getValueState("beat", "last_ms long, due_ms long, online boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.beat.get()
+        beats = pd.concat(list(rows))
+        newest = beats.loc[beats[self.ts_ms].idxmax()]
+        last = max(int(newest[self.ts_ms]), held[0]) if held is not None else int(newest[self.ts_ms])
+        due = timerValues.getCurrentProcessingTimeInMs() + self.ttl_ms
+        if held is not None and held[2]:
+            self.handle.deleteTimer(held[1])
+        self.handle.registerTimer(due)
+        self.beat.update((last, due, True))
+        came_back = held is None or not held[2]
+        yield self._row(key, last, "ONLINE", newest[self.latency]) if came_back else self._row(key)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, due, online = self.beat.get()
+        if not online or due > timerValues.getCurrentProcessingTimeInMs():
+            yield self._row(key)
+            return
+        self.beat.update((last, due, False))
+        yield self._row(key, last, "OFFLINE", None)
+
+    @staticmethod
+    def _row(key, last: int | None = None, status: str | None = None, latency: float | None = None) -> pd.DataFrame:
+        rows = [] if status is None else [(key[0], last, status, latency)]
+        return pd.DataFrame(rows, columns=["node", "last_ms", "status", "latency_ms"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_health(beats: DataFrame, ttl_s: float = ONLINE_WITHIN_S, node: str = "node", ts_ms: str = "timestamp_ms",
+                  latency: str = "latency_ms") -> DataFrame:
+    """Status changes of nodes while a stream of beats runs: ONLINE with the first beat after silence, OFFLINE
+    when none has arrived for ``ttl_s`` by the clock, which a timer per node tells even if nothing else
+    arrives.  Beats without node or stamp are left out.  State is one row a node; ``publish`` keeps the last status."""
+    rows = beats.where(F.col(node).isNotNull() & F.col(ts_ms).isNotNull()) \
+                .select(F.col(node).alias("node"), F.col(ts_ms).cast("long").alias("ts"), F.col(latency).cast("double").alias("latency"))
+    kind = rows.schema["node"].dataType.simpleString()
+    return rows.groupBy("node").transformWithStateInPandas(
+        statefulProcessor=_Liveness(int(ttl_s * 1000), "ts", "latency"),
+        outputStructType=f"node {kind}, last_ms long, status string, latency_ms double", outputMode="Update", timeMode="ProcessingTime")
+
+
+class _Changes(StatefulProcessor):
+    """Per unit what was published last: the largest cycle and the digest of its parameters."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "max_cycle long, parameters string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values(["cycle", "parameters"], kind="stable", na_position="first").iloc[-1]
+        held = self.seen.get()
+        cycle, parameters = int(new["cycle"]), new["parameters"]
+        if held is not None and held[0] > cycle:
+            cycle, parameters = held[0], held[1]
+        changed = held is None or (cycle, parameters) != (held[0], held[1])
+        if changed:
+            self.seen.update((cycle, parameters))
+        rows = [(key[0], cycle, parameters)] if changed else []
+        yield pd.DataFrame(rows, columns=["unit", "max_cycle", "parameters"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_changes(packets: DataFrame, parameters: Column | None = None, unit: str = "unit", cycle: str = "cycle") -> DataFrame:
+    """Units whose largest cycle, or parameters at it, differ from what this stream emitted last.  A micro-batch
+    that brings nothing new emits nothing; a null unit is a unit; rows without a cycle are left out.  Of equal cycles in a
+    micro-batch the greatest parameters count."""
+    held = (F.lit("") if parameters is None else F.coalesce(parameters.cast("string"), F.lit(""))).alias("parameters")
+    rows = packets.where(F.col(cycle).isNotNull()).select(F.col(unit).alias("unit"), F.col(cycle).cast("long").alias("cycle"), held)
+    kind = rows.schema["unit"].dataType.simpleString()
+    return rows.groupBy("unit").transformWithStateInPandas(
+        statefulProcessor=_Changes(), outputStructType=f"unit {kind}, max_cycle long, parameters string", outputMode="Update", timeMode="None")
+
+
 def changed_units(current: DataFrame, published: DataFrame, unit: str = "unit",
                   cycle: str = "cycle") -> DataFrame:
     """Units whose largest cycle differs from the published one, or that are new.
     ``published`` has one row per unit."""
     now = current.groupBy(unit).agg(F.max(cycle).alias("max_cycle"))
-    seen = published.select(unit, F.col("max_cycle").alias("__seen"))
-    both = now.join(checked_broadcast(seen, probe=False), unit, "left")
-    return both.where(~F.col("max_cycle").eqNullSafe(F.col("__seen"))).drop("__seen")
+    seen = published.select(unit, F.col("max_cycle").alias("__seen"), F.lit(True).alias("__known"))
+    both = lookup_join(now, seen, [unit], "left")
+    same = F.col("__known").isNotNull() & F.col("max_cycle").eqNullSafe(F.col("__seen"))
+    return both.where(~same).drop("__seen", "__known")
 
 
 def publish(status: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
