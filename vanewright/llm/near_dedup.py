@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -53,16 +54,18 @@ class NearDup:
     batch: int = 16
     miss: float = 1e-7
     extra: int = 352
+    wide_batch: int = 64
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
-    def least_matches(self, values: int = 0) -> list[tuple[int, int]]:
+    @lru_cache(maxsize=8)  # noqa: B019  a few settings a process
+    def least_matches(self, values: int = 0, batch: int = 0) -> list[tuple[int, int]]:
         """After how many values how many must agree, up to those of a signature.  With a uniform prior the posterior
         is Beta(m + 1, n - m + 1), whose upper tail at t is P(Binomial(n + 1, t) <= m)."""
         t, out = self.percent / 100, []
-        for n in range(self.batch, (values or self.hashes) + 1, self.batch):
+        for n in range(batch or self.batch, (values or self.hashes) + 1, batch or self.batch):
             tail, m = 0.0, 0
             while m <= n:
                 tail += comb(n + 1, m) * t ** m * (1 - t) ** (n + 1 - m)
@@ -171,14 +174,13 @@ def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
     return out.select(F.struct("f1", "f2").alias("node"), "sig", "grams", "checks").dropDuplicates(["node"])
 
 
-def _sequential(left: list[np.ndarray], right: list[np.ndarray], cfg: NearDup) -> tuple[np.ndarray, np.ndarray]:
-    """Which aligned rows of signature matrices, given in parts, survive all batches, and how many values agree."""
-    alive, found, last, part, before = np.arange(len(left[0])), np.zeros(len(left[0]), np.int32), 0, 0, 0
-    for n, least in cfg.least_matches(sum(x.shape[1] for x in left)):
-        if last - before == left[part].shape[1]:
-            part, before = part + 1, last
-        at = slice(last - before, n - before)
-        found = found + (left[part][alive, at] == right[part][alive, at]).sum(axis=1)
+def _sequential(left: np.ndarray, right: np.ndarray, limits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Which aligned rows of two signature matrices survive all batches, and how many values agree.  ``left``
+    may be one row, for all."""
+    alive, found, last = np.arange(len(right)), np.zeros(len(right), np.int64), 0
+    for n, least in limits:
+        mine = left[last:n] if left.ndim == 1 else left[alive, last:n]
+        found = found + np.count_nonzero(mine == right[alive, last:n], axis=1)
         ok = found >= least
         alive, found, last = alive[ok], found[ok], n
     return alive, found
@@ -188,7 +190,7 @@ def _prune(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
     """Pairs (a, b) that survive the sequential comparison of signatures."""
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         sig = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, cfg.hashes) for i in (2, 3)]
-        yield batch.select(["a", "b"]).take(pa.array(_sequential(sig[:1], sig[1:], cfg)[0]))
+        yield batch.select(["a", "b"]).take(pa.array(_sequential(*sig, cfg.least_matches())[0]))
 
     pair = "struct<f1:bigint,f2:bigint>"
     side = {x: sets.select(F.col("node").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab"}
@@ -209,13 +211,15 @@ def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _longer(sets: DataFrame, nodes: DataFrame, cfg: NearDup) -> DataFrame:
-    """(node, sig, more) of the given classes: ``extra`` more values of the second hash, a byte each."""
+    """(node, sig, more) of the given classes: a byte of every value, and of ``extra`` more of the second hash."""
     factors, shifts = _coefficients(cfg.extra)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = batch.column(2)
         values, off = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
-        more = [(signature(values[a:b], factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes() for a, b in zip(off[:-1], off[1:])]
+        more = [(np.frombuffer(sig, np.uint32) >> np.uint32(12)).astype(np.uint8).tobytes()
+                + (signature(values[a:b], factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes()
+                for sig, a, b in zip(batch.column(1).to_pylist(), off[:-1], off[1:])]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], blobs(more)], names=["node", "sig", "more"])
 
     return per_batch(sets.join(nodes, "node").select("node", "sig", "checks"), work, "node struct<f1:bigint,f2:bigint>, sig binary, more binary")
@@ -239,39 +243,34 @@ def _rest(placed: DataFrame, longer: DataFrame, cfg: NearDup, best: bool) -> Dat
     spot = F.xxhash64("node")
     dealt = placed.join(counts, "key")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    rows = dealt.where("out").select("key", "node", "root", F.lit(True).alias("probe"),
+    rows = dealt.where("out").select("key", "node", "root", "out", F.lit(True).alias("probe"),
                                      F.pmod(spot, "na").alias("i"), upto("nb").alias("j"))
-    rows = rows.unionByName(dealt.select("key", "node", "root", F.lit(False).alias("probe"),
+    rows = rows.unionByName(dealt.select("key", "node", "root", "out", F.lit(False).alias("probe"),
                                          upto("na").alias("i"),
                                          F.pmod(spot, "nb").alias("j")))
-    rows = rows.join(longer, "node").select("key", "i", "j", "probe", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
+    rows = rows.join(longer, "node").select("key", "i", "j", "probe", "out", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
                                             F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "more")
 
+    total = cfg.hashes + cfg.extra
+    limits = cfg.least_matches(total - total % cfg.wide_batch, cfg.wide_batch)
+
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         f1, f2, r1, r2 = (table.column(c).to_numpy() for c in ("f1", "f2", "r1", "r2"))
-        probe = table.column("probe").to_numpy(zero_copy_only=False)
+        probe, out = (table.column(c).to_numpy(zero_copy_only=False) for c in ("probe", "out"))
         sig, more = (np.frombuffer(b"".join(table.column(c).to_pylist()), t).reshape(len(f1), -1) for c, t in (("sig", np.uint32), ("more", np.uint8)))
         own, other = np.flatnonzero(probe), np.flatnonzero(~probe)
-        keys, all_ = band_keys(sig, cfg), [sig[other], more[other]]
-        of = np.unique(np.stack([r1, r2], axis=1), axis=0, return_inverse=True)[1].ravel()
-        key = table.column("key")[0].as_py()
+        keys = band_keys(sig, cfg)
+        band = int(np.flatnonzero(keys[0] == table.column("key")[0].as_py())[0])
+        before = keys[:, :band]  # a pair is decided in the first band that it shares
+        _, of = np.unique(r1.view(np.uint64) ^ (r2.view(np.uint64) << np.uint64(1)), return_inverse=True)
         a, b = [], []
         for p in own:
-            # A pair is decided in the first band that it shares.
-            same = keys[other] == keys[p] if len(other) < 64 else None
-            if same is None:
-                at = np.flatnonzero((of[other] != of[p]) & (keys[other] == key).any(axis=1))
-                same = keys[other[at]] == keys[p]
-            else:
-                at = np.flatnonzero(of[other] != of[p])
-                same = same[at]
-            at = at[same.any(axis=1) & (keys[p, same.argmax(axis=1)] == key)]
-            if not len(at):
-                continue
-            mine = [np.broadcast_to(x[p], (len(at), x.shape[1])) for x in (sig, more)]
-            alive, found = _sequential(mine, [x[at] for x in all_], cfg)
-            at = other[at[alive]]
+            # Of two that are outside, the smaller looks for the larger.
+            at = other[((r1[other] != r1[p]) | (r2[other] != r2[p])) & ~(out[other] & ((f1[other] < f1[p]) | ((f1[other] == f1[p]) & (f2[other] < f2[p]))))]
+            at = at[~(before[at] == before[p]).any(axis=1)]
+            alive, found = _sequential(more[p], more[at], limits)
+            at = at[alive]
             if best and len(at):
                 order = np.lexsort((-found, of[at]))
                 at = at[order[np.unique(of[at][order], return_index=True)[1]]]
@@ -345,17 +344,22 @@ def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
     sets = held(_full_sets(texts, cfg, "text"))
     links = held(_verify(_prune(pairs, sets, cfg), sets, cfg))
     roots = components(links)
-    longer = None
+    longer = failed = None
     for best in (True, False):
-        placed = held(_outside(members, hubs, roots))
+        placed = _outside(members, hubs, roots)
+        if failed is not None:
+            placed = placed.join(failed, "node", "left").withColumn("out", F.col("out") & F.coalesce("again", F.lit(False))).drop("again")
+            placed = placed.join(placed.where("out").select("key").distinct(), "key", "left_semi")
+        placed = held(placed)
         if placed.isEmpty():
             break
         longer = longer or held(_longer(sets, placed.select("node").distinct(), cfg))
         found = held(_rest(placed, longer, cfg, best))
         good = held(_verify(found, sets, cfg))
         roots = _merged(roots, good)
-        if found.count() == good.count():  # every component that a class may belong to is joined
-            break
+        # Where the best pair with a component was granted, the class has joined it; where there was none, there is no pair.
+        refused = found.join(good, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        failed = held(refused.withColumn("again", F.lit(True)))
     grouped = classes.select("node", "least").join(roots, "node", "left") \
                      .select("node", "least", F.coalesce("root", "node").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
