@@ -1,8 +1,9 @@
 """MinHash near-duplicate groups with sequential Bayesian verification.
 
 1. One pass over the texts gives each document's set of distinct word shingles, a
-   128-bit fingerprint of that set and the keys of its MinHash bands.  A shingle is 128 bits too, two
-   independent hashes of its words.  Documents
+   128-bit fingerprint of that set and the keys of its MinHash bands.  A shingle is two independent hashes
+   of 64 bits; the second decides, with the first, on sets and on links of sets of at most ``SMALL`` shingles.
+   A wrong link of larger ones would take dozens of equal hashes of different shingles at once.  Documents
    with the same set are one class from here on, however many there are.
 2. Classes that share a band are candidates.  In each band every class is paired
    with the few classes of the band that share most bands with others ("hubs"),
@@ -41,6 +42,8 @@ from vanewright.llm.tables import held, small_side
 from vanewright.llm.textscan import LOWER, Texts, blobs, mix, per_batch, pieces, runs
 
 HUBS = 3
+#: Shingles up to which a set carries its second hashes.
+SMALL = 64
 #: Classes that one block of a large band may hold on either side, about 1 KB each.
 BLOCK_ROWS = 4096
 
@@ -167,7 +170,8 @@ def _full_sets(docs: DataFrame, cfg: NearDup, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints[:, 0]), pa.array(prints[:, 1]),
                  blobs([signature(s, factors, shifts).tobytes() for s, _ in sets]),
-                 *[pa.array([s[i].view(np.int64) for s in sets], pa.list_(pa.int64())) for i in (0, 1)]],
+                 pa.array([g.view(np.int64) for g, _ in sets], pa.list_(pa.int64())),
+                 pa.array([c.view(np.int64) if len(c) <= SMALL else None for _, c in sets], pa.list_(pa.int64()))],
                 names=["f1", "f2", "sig", "grams", "checks"])
 
     out = per_batch(docs.select(F.col(text).alias("text")), work, "f1 long, f2 long, sig binary, grams array<long>, checks array<long>")
@@ -199,30 +203,30 @@ def _prune(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the threshold, by either hash of the shingles.  Sets stay in
+    """Pairs (a, b) whose full sets reach the threshold, by both hashes where sets are small.  Sets stay in
     the JVM, pair by pair: a batch of them for Python would be large."""
     side = {x: sets.select(F.col("node").alias(x), F.col("grams").alias(f"g{x}"), F.col("checks").alias(f"c{x}")) for x in "ab"}
     joined = pairs.join(side["a"], "a").join(side["b"], "b")
     a, b = F.size("ga"), F.size("gb")
     joined = joined.where(100 * F.least(a, b) >= cfg.percent * F.greatest(a, b))
-    joined = joined.select("a", "b", (a + b).alias("all"), 
-                           F.least(F.size(F.array_intersect("ga", "gb")), F.size(F.array_intersect("ca", "cb"))).alias("both"))
+    checked = F.when(F.col("ca").isNotNull() & F.col("cb").isNotNull(), F.size(F.array_intersect("ca", "cb")))
+    joined = joined.select("a", "b", (a + b).alias("all"), F.least(F.size(F.array_intersect("ga", "gb")), checked).alias("both"))
     return joined.where(100 * F.col("both") >= cfg.percent * (F.col("all") - F.col("both"))).select("a", "b")
 
 
 def _longer(sets: DataFrame, nodes: DataFrame, cfg: NearDup) -> DataFrame:
-    """(node, sig, more) of the given classes: a byte of every value, and of ``extra`` more of the second hash."""
+    """(node, sig, more) of the given classes: a byte of every value, and of ``extra`` more."""
     factors, shifts = _coefficients(cfg.extra)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = batch.column(2)
-        values, off = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+        values, off = mix(lists.values.to_numpy(zero_copy_only=False).view(np.uint64), CHECK), lists.offsets.to_numpy()
         more = [(np.frombuffer(sig, np.uint32) >> np.uint32(12)).astype(np.uint8).tobytes()
                 + (signature(values[a:b], factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes()
                 for sig, a, b in zip(batch.column(1).to_pylist(), off[:-1], off[1:])]
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], blobs(more)], names=["node", "sig", "more"])
 
-    return per_batch(sets.join(nodes, "node").select("node", "sig", "checks"), work, "node struct<f1:bigint,f2:bigint>, sig binary, more binary")
+    return per_batch(sets.join(nodes, "node").select("node", "sig", "grams"), work, "node struct<f1:bigint,f2:bigint>, sig binary, more binary")
 
 
 def _outside(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
