@@ -141,12 +141,6 @@ def test_registry_lookup_ignores_case(spark):
     assert {r["slug"]: r["entry"] for r in got.collect()} == {"gdpr": 1, "none": None}
 
 
-def test_snapshot_versions_are_kept_apart(spark, tmp_path):
-    first = sinks.write_snapshot(spark.range(3), str(tmp_path), 1)
-    second = sinks.write_snapshot(spark.range(4), str(tmp_path), 2)
-    assert (spark.read.parquet(first).count(), spark.read.parquet(second).count()) == (3, 4)
-
-
 def test_null_keys_match_each_other(spark):
     src = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "path string, size int")
     assert [r["path"] for r in sinks.new_files_only(src, src.where("size < 3"), ["path"]).collect()] == ["b"]

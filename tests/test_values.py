@@ -31,18 +31,23 @@ def test_quantiles_match_linear_interpolation(spark, rows):
         np.testing.assert_allclose([mine[q] for q in PROBS], np.quantile(rows[f], list(PROBS.values())))
 
 
-@pytest.mark.parametrize("narrow_from", [0, 10**9])
-def test_quantiles_of_a_large_table_use_brackets(spark, split_groups, monkeypatch, narrow_from):
+@pytest.mark.parametrize("listed,bins", [(0, 7), (50, 4096), (10**9, 4096)])
+def test_quantiles_of_a_large_table_use_histograms(spark, split_groups, monkeypatch, listed, bins):
+    """Whatever the values are: ties, gaps over all of a double's range, infinities, the smallest numbers, none."""
     rng = np.random.default_rng(8)
-    pdf = pd.DataFrame({"a": rng.normal(size=60_000), "b": rng.integers(0, 9, 60_000).astype(float)})
+    n = 20_000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 9, n).astype(float), "wild": rng.choice([-1, 1], n) * 10.0 ** rng.uniform(-300, 300, n),
+                        "tiny": rng.integers(0, 3, n) * 5e-324, "ends": rng.choice([-np.inf, -1.7e308, 0.5, 1.7e308, np.inf], n), "none": np.nan})
     pdf.loc[::50, "b"] = np.nan
     pdf.loc[pdf.index % 3 == 0, "a"] = 0.25
-    monkeypatch.setattr(quantiles, "NARROW_FROM", narrow_from)
-    got = quantiles.exact_quantiles(spark.createDataFrame(pdf), ["a", "b"], PROBS).toPandas()
-    for f in ["a", "b"]:
-        mine = got[got["feature"] == f].iloc[0]
-        np.testing.assert_allclose([mine[q] for q in PROBS],
-                                   np.quantile(pdf[f].dropna(), list(PROBS.values())))
+    monkeypatch.setattr(quantiles, "LISTED", listed)
+    monkeypatch.setattr(quantiles, "BINS", bins)
+    got = quantiles.exact_quantiles(spark.createDataFrame(pdf), list(pdf.columns), PROBS).toPandas().set_index("feature")
+    for f in ["a", "b", "wild", "tiny"]:
+        np.testing.assert_allclose([got.loc[f, q] for q in PROBS], np.quantile(pdf[f].dropna(), list(PROBS.values())), rtol=1e-12)
+    order = np.sort(pdf["ends"])
+    assert [got.loc["ends", q] for q in PROBS] == [order[int((n - 1) * p)] for p in PROBS.values()]
+    assert got.loc["none"].isna().all()
 
 
 def test_describe_equals_pandas(spark, rows):
@@ -179,6 +184,29 @@ def test_envelope(spark):
     assert [r[2] for r in project.in_envelope(df, "m", "a").collect()] == [True, False, False, True, False]
 
 
+@pytest.mark.parametrize("kind", ["even", "normal", "gap", "ties"])
+def test_moments_give_the_sums_of_all_neighbours(monkeypatch, kind):
+    """Also where x has gaps, and with blocks of a few points."""
+    rng = np.random.default_rng(3)
+    m = 700
+    x = {"even": np.arange(m) * 1.0, "normal": np.sort(rng.normal(size=m)), "ties": np.unique(rng.integers(0, 90, m)) * 1e6,
+         "gap": np.sort(np.concatenate([rng.normal(size=m // 2), 50 + rng.normal(size=m - m // 2) * 1e-3]))}[kind]
+    n = rng.integers(1, 5, len(x))
+    w = n * rng.random(len(x))
+    wy = w * rng.normal(size=len(x))
+    for frac in (0.02, 0.15, 0.6, 1.0):
+        k = smoothing._neighbours(int(n.sum()), frac)
+        reach = smoothing.reaches(x, n, k)
+        for i in range(0, len(x), 37):
+            d = np.abs(x - x[i])
+            order = np.argsort(d, kind="stable")
+            assert reach[i] == d[order][np.searchsorted(np.cumsum(n[order]), k)]
+        monkeypatch.setattr(smoothing, "DIRECT_NEIGHBOURS", 10**9)
+        want = smoothing.fit_series(x, n, w, wy, k)
+        monkeypatch.setattr(smoothing, "DIRECT_NEIGHBOURS", 0)
+        np.testing.assert_allclose(smoothing.fit_series(x, n, w, wy, k), want, rtol=1e-7, atol=1e-8)
+
+
 def brute_lowess(x, y, frac, iters):
     """One fit per point with one weight per point."""
     n = len(x)

@@ -16,6 +16,7 @@ from vanewright.operators.project import dual_domain, zscore
 from vanewright.plans import prep
 from vanewright.sources import packets as bus
 from vanewright.sources import scans, sinks
+from vanewright.sources.versions import VersionedTable
 
 S, STATS = v.SENSORS, v.STATS
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "unit", "cycle"]
@@ -111,6 +112,21 @@ def _train_windows(s, d):
                     F.element_at("window", -1)["s2"].alias("last_s2"), F.size("window").alias("steps"), "label")
 
 
+LOCAL_FIT = """
+g AS (SELECT unit, cycle, count(*) AS n, sum(predicted_rul) AS sy FROM scores GROUP BY unit, cycle),
+t AS (SELECT unit, sum(n) AS total, least(sum(n), greatest(2, floor(0.3 * sum(n) + 1e-10))) AS k FROM g GROUP BY unit),
+near AS (SELECT a.unit, a.cycle, b.cycle - a.cycle AS u, b.n, b.sy, total, k,
+                sum(b.n) OVER (PARTITION BY a.unit, a.cycle ORDER BY abs(b.cycle - a.cycle)) AS c
+         FROM g a JOIN g b ON a.unit = b.unit JOIN t ON t.unit = a.unit),
+far AS (SELECT *, min(CASE WHEN c >= k THEN abs(u) END) OVER (PARTITION BY unit, cycle) AS reach FROM near),
+weighed AS (SELECT *, CASE WHEN reach = 0 THEN (u = 0)::int WHEN abs(u) / reach >= 0.999 THEN 0 WHEN abs(u) / reach <= 0.001 THEN 1
+                           ELSE power(1 - power(abs(u) / reach, 3), 3) END AS w FROM far),
+sums AS (SELECT unit, cycle, max(total) AS total, max(reach) AS reach, sum(n * w) AS s0, sum(n * w * u) AS s1, sum(n * w * u * u) AS s2,
+                sum(sy * w) AS t0, sum(sy * w * u) AS t1 FROM weighed GROUP BY unit, cycle),
+fits AS (SELECT unit, cycle, total, t0 / s0 - CASE WHEN s2 - s1 * s1 / s0 > 1e-12 * greatest(1, s0 * reach * reach)
+                THEN (t1 - t0 * s1 / s0) / (s2 - s1 * s1 / s0) ELSE 0 END * s1 / s0 AS fit FROM sums)"""
+
+
 def _fleet(s, d):
     t = prep.fleet_sample(v.telemetry(s, d), v.ORDER, {11: 10, 14: 5, 15: 20})
     return t.select(*KEYS, "s1")
@@ -144,19 +160,39 @@ def _append(s, d):
         F.round(F.avg(F.col("s2").cast("double")), 3).alias("mean_s2"))
 
 
+def _versioned(s, name, df, keys=("unit",)):
+    table = VersionedTable(s, v.scratch(s, name), df.schema, list(keys), 8)
+    table.append(df)
+    return table
+
+
+def _upsert_versions(s, d):
+    """Two upserts into a versioned table; the second repeats the first, which changes nothing."""
+    p = v.packets(s, d).select("unit", "cycle", "timestamp_ms", "event_id", "s1")
+    table = _versioned(s, "upserts", p.limit(0))
+    for part in (p.where("event_id % 3 <> 0"), p.where("event_id % 3 = 0"), p.where("event_id % 3 = 0")):
+        table.upsert(part, ["unit", "cycle"], ["timestamp_ms", "event_id"])
+    return table.read()
+
+
 def _rewrite(s, d):
-    """Partition overwrite touches only the units of the new batch."""
-    path = v.scratch(s, "units")
+    """Replacing units touches only their buckets."""
     p = v.packets(s, d).select("unit", "cycle", "s1")
-    sinks.rewrite_units(p, path)
-    sinks.rewrite_units(p.where("unit % 2 = 0").withColumn("s1", F.col("s1") + 1000), path)
-    return s.read.parquet(path).groupBy("unit").agg(F.count(F.lit(1)).alias("rows"),
-                                                    F.round(F.sum("s1"), 3).alias("sum_s1"))
+    table = _versioned(s, "units", p)
+    table.replace_units(p.where("unit % 2 = 0").withColumn("s1", F.col("s1") + 1000))
+    table.delete(p.where("unit % 5 = 0").select("unit"))
+    return table.read().groupBy("unit").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("s1"), 3).alias("sum_s1"))
 
 
 def _snapshot(s, d):
-    path = sinks.write_snapshot(v.scores(s, d), v.scratch(s, "snap"), 1)
-    return s.read.parquet(path)
+    """A snapshot by name, after later versions have dropped and compacted what it holds."""
+    table = _versioned(s, "snap", v.scores(s, d))
+    table.snapshot("before")
+    table.delete(v.scores(s, d).where("unit % 2 = 0").select("unit"))
+    table.append(v.scores(s, d).limit(3))
+    table.compact(1)
+    table.vacuum()
+    return table.read("before")
 
 
 def _materialized(s, d):
@@ -294,6 +330,11 @@ ENTRIES = [
                     FROM telemetry GROUP BY unit""", v.TELEMETRY)),
     Entry("w9_lowess", lambda s, d: smoothing.lowess(
               v.scores(s, d).select("unit", "cycle", "event_id", "predicted_rul"), "cycle", "predicted_rul", 0.2)),
+    Entry("w9_local_fit", lambda s, d: r(smoothing.lowess(
+              v.scores(s, d).select("unit", "cycle", "event_id", "predicted_rul"), "cycle", "predicted_rul", 0.3, iters=0), 6, "predicted_rul_smooth")
+          .select("unit", "event_id", "predicted_rul_smooth"),
+          oracle("""SELECT unit, event_id, round(CASE WHEN total < 5 THEN predicted_rul ELSE fit END, 6) AS predicted_rul_smooth
+                    FROM scores JOIN fits USING (unit, cycle)""", v.SCORES, LOCAL_FIT)),
     Entry("w10_elapsed_index", lambda s, d: windows.elapsed_index(v.telemetry(s, d), v.ORDER).select(*KEYS, "elapsed"),
           oracle(f"SELECT {KEY_SQL}, row_number() OVER ({BY_UNIT}) - 1 AS elapsed FROM telemetry", v.TELEMETRY)),
     Entry("w11_head_tail", lambda s, d: profile.head_tail(v.metric_log(s, d), ["tag"], ["step"], 5)
@@ -327,14 +368,18 @@ ENTRIES = [
           oracle("""SELECT unit, cycle, timestamp_ms, event_id, s1 FROM (SELECT *, row_number() OVER
                     (PARTITION BY unit, cycle ORDER BY timestamp_ms DESC, event_id DESC) AS rn FROM packets)
                     WHERE rn = 1""", v.PACKETS)),
+    Entry("k3_upsert_versions", _upsert_versions,
+          oracle("""SELECT unit, cycle, timestamp_ms, event_id, s1 FROM (SELECT *, row_number() OVER
+                    (PARTITION BY unit, cycle ORDER BY timestamp_ms DESC, event_id DESC) AS rn FROM packets)
+                    WHERE rn = 1""", v.PACKETS)),
     Entry("k4_drop_stale_sessions", lambda s, d: sinks.drop_stale_sessions(v.sessions(s, d))
           .select("event_id", "unit", "session_id"),
           oracle("""SELECT event_id, unit, session_id FROM (SELECT *, max(session_id) OVER (PARTITION BY unit) AS last
                     FROM sessions) WHERE session_id = last""", v.SESSIONS)),
     Entry("k4_partition_overwrite", _rewrite,
-          oracle("""SELECT cast(unit AS integer) AS unit, count(*) AS rows,
+          oracle("""SELECT unit, count(*) AS rows,
                     round(sum(CASE WHEN unit % 2 = 0 THEN s1 + 1000 ELSE s1 END), 3) AS sum_s1
-                    FROM packets GROUP BY unit""", v.PACKETS)),
+                    FROM packets WHERE unit % 5 <> 0 GROUP BY unit""", v.PACKETS)),
     Entry("k5_snapshot", _snapshot, oracle("SELECT * FROM scores", v.SCORES)),
     Entry("k6_split_partitions", _prep_write,
           oracle("""SELECT dataset, split, count(*) AS rows, round(avg(s1), 6) AS mean_s1 FROM prepared

@@ -98,6 +98,12 @@ grid AS (SELECT fc, n, lo, hi, bw, cast(i AS integer) AS grid_idx,
                 lo - 3 * bw + (hi - lo + 6 * bw) / 99 * i AS x
          FROM st, (SELECT unnest(range(100)) AS i))"""
 
+def _plain_rows(s, d):
+    """Telemetry with values whose text is the same in every engine, and some nulls."""
+    return v.telemetry(s, d).select("dataset", "split", "unit", "cycle", F.col("s1").cast("decimal(12,2)").alias("s1"),
+                                    F.when(F.col("s3") > 0.02, F.col("s3").cast("decimal(12,2)")).alias("s3"))
+
+
 ENTRIES = [
     Entry("a1_state_audit", lambda s, d: profile.state_audit(v.telemetry(s, d), "s1"),
           oracle("""SELECT count(*) AS rows, round(avg(s1), 2) AS mean, round(stddev_samp(s1), 2) AS std,
@@ -170,7 +176,13 @@ ENTRIES = [
                     round(sqrt(greatest(var_pop(v), 1e-9)), 6) AS std
                     FROM long_telemetry WHERE split = 'dev' GROUP BY feature""", v.LONG_TELEMETRY)),
     Entry("a13_dataset_fingerprint",
-          lambda s, d: profile.dataset_fingerprint(v.telemetry(s, d), ["dataset"])),
+          lambda s, d: profile.dataset_fingerprint(_plain_rows(s, d), ["dataset"]).withColumn("row_sum", F.col("row_sum").cast("string")),
+          oracle(f"""SELECT dataset, bit_xor(cast('0x' || substr(m, 1, 15) AS bigint)) AS row_xor,
+                      cast(sum(cast('0x' || substr(m, 17, 15) AS bigint)) AS varchar) AS row_sum, count(*) AS rows FROM
+                    (SELECT dataset, md5({" || ".join(f"coalesce(length({x}) || ':' || {x}, '-')" for x in (
+                        "dataset", "split", "cast(unit AS varchar)", "cast(cycle AS varchar)", "cast(cast(s1 AS decimal(12,2)) AS varchar)",
+                        "CASE WHEN s3 > 0.02 THEN cast(cast(s3 AS decimal(12,2)) AS varchar) END"))}) AS m FROM telemetry)
+                    GROUP BY dataset""", v.TELEMETRY)),
     Entry("a14_window_minmax", lambda s, d: scaling.window_minmax(_windows5(s, d), ["s1", "s2"]),
           oracle("""SELECT f.feature, min(CASE f.feature WHEN 's1' THEN s1 ELSE s2 END) AS min_sample,
                            max(CASE f.feature WHEN 's1' THEN s1 ELSE s2 END) AS max_sample

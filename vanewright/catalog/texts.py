@@ -91,6 +91,14 @@ def _markdown(s, d):
                       F.md5("legal").alias("legal_digest"), F.length("legal").alias("legal_chars"))
 
 
+def _facts(s, d):
+    """What must survive of each page: headings, links with their targets, list items, all letters of the text."""
+    out = t.html_to_markdown(spread(v.table(s, d, "pages")), "html", (), unwrap_tags=t.GUIDE_UNWRAP)
+    count = lambda p: F.size(F.regexp_extract_all("markdown", F.lit(p), F.lit(0))).cast("long")
+    return out.select("page_id", count(r"(?m)^#{1,6} ").alias("headings"), count(r"\]\(").alias("links"), count(r"(?m)^[*+-] ").alias("items"),
+                      F.length(F.regexp_replace("markdown", r"[^\p{L}]", "")).cast("long").alias("letters"))
+
+
 def _guides(s, d):
     """All fragments of the pages with a code block appended, through protection and sections."""
     p = spread(v.table(s, d, "pages")).withColumn("html", F.concat(
@@ -146,6 +154,11 @@ def _export(s, d):
 
 ENTRIES = [
     Entry("t1_html_to_markdown", _markdown),
+    Entry("t1_markdown_facts", _facts,
+          r"""SELECT page_id, len(regexp_extract_all(html, '<h[1-6]>')) AS headings, len(regexp_extract_all(html, '<a href="')) AS links,
+              len(regexp_extract_all(html, '<li>')) AS items,
+              length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, '"</p>"', '"p"'), '&[a-z]+;', '', 'g'), '<a href="([^"]*)">', '\1', 'g'), '<[^>]*>', '', 'g'), '[^\p{L}]', '', 'g')) AS letters
+              FROM pages""".replace(chr(92) * 2, chr(92))),
     Entry("t2_guide_fragments", _guide_rows),
     Entry("t2_protected_code", _examples,
           """SELECT page_id, 'Example' AS section, 2 AS level,
@@ -166,7 +179,8 @@ ENTRIES = [
           oracle("SELECT doc_id, cast(max(chunk_no) + 1 AS integer) AS chunk_count FROM ch GROUP BY doc_id",
                  v.HEADER_LINES, HEADED)),
     Entry("t7_validate_markup", lambda s, d: t.validate_markup(
-              v.table(s, d, "pages"), "html", marker='lang="fr"').select("page_id", "valid_markup"),
+              v.table(s, d, "pages").withColumn("html", F.when(F.col("html").contains('lang="fr"'), F.regexp_replace(
+                  "html", "<html ", f'<html xmlns="{t.XHTML}" ')).otherwise(F.col("html"))), "html").select("page_id", "valid_markup"),
           """SELECT page_id, contains(html, 'lang="fr"') AS valid_markup FROM pages"""),
     Entry("t8_outline", lambda s, d: t.outline(v.documents_with(s, d, "headers"), "text", ["doc_id"]),
           oracle("SELECT doc_id, cast(chunk_no AS integer) AS heading_no, cast(level AS integer) AS level, title FROM heads",

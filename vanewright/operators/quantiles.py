@@ -5,14 +5,18 @@ Here equal values are first counted (partial aggregation, shuffled on the value,
 so a repeated value or a single feature is no hot key); the running count over
 the sorted values then tells which values hold the two ranks around a quantile.
 
-A large table without groups is narrowed first: approximate percentiles give a
-bracket around each quantile with a guaranteed rank error, and only the values
-inside the brackets are counted; the rows below each bracket are a plain count.
+In a large table without groups the ranks are selected by histograms: the values of a box, at first all, are
+counted in bins by map-side aggregation, with the least and greatest value of each bin; the bin that
+holds a wanted rank is the next box, until its values are few enough to be listed.  No value is shuffled before
+that, and the driver sees at most ``BINS`` numbers a box.
 """
 
 from __future__ import annotations
 
+import math
+import sys
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +24,9 @@ from pyspark.sql import functions as F
 from vanewright.plans.ordered import running_sum
 from vanewright.plans.sizing import SizePolicy, is_small, lookup_join
 
-ACCURACY = 10_000
-# Features with fewer values than this are counted whole.
-NARROW_FROM = 1_000_000
+BINS = 4096
+# Boxes of at most this many values are listed.
+LISTED = 10_000
 
 
 def _value(f: str) -> Column:
@@ -30,18 +34,15 @@ def _value(f: str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def _pick(ranked: DataFrame, keys: Sequence[str], probs: Mapping[str, float],
-          tag: str | None = None) -> DataFrame:
-    """All quantiles from rows (value, n, first rank, last rank, total) in one pass.  With
-    ``tag`` a row counts for the quantile that this column names."""
+def _pick(ranked: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """All quantiles from rows (value, n, first rank, last rank, total) in one pass."""
     aggs, needed = [], F.lit(False)
     for name, p in probs.items():
-        own = F.lit(True) if tag is None else F.col(tag) == name
         spot = (F.col("total") - 1) * F.lit(p)
         low, high = F.floor(spot), F.ceil(spot)
-        needed = needed | own & (F.col("lo") <= high) & (low <= F.col("hi"))
-        at_low = F.max(F.when(own & (F.col("lo") <= low) & (low <= F.col("hi")), F.col("value")))
-        at_high = F.max(F.when(own & (F.col("lo") <= high) & (high <= F.col("hi")), F.col("value")))
+        needed = needed | (F.col("lo") <= high) & (low <= F.col("hi"))
+        at_low = F.max(F.when((F.col("lo") <= low) & (low <= F.col("hi")), F.col("value")))
+        at_high = F.max(F.when((F.col("lo") <= high) & (high <= F.col("hi")), F.col("value")))
         share = F.max(spot - low)
         aggs.append((at_low + (at_high - at_low) * share).alias(name))
     return ranked.where(needed).groupBy(*keys).agg(*aggs)
@@ -79,47 +80,87 @@ def _for_all(picked: DataFrame, features: Sequence[str], probs: Mapping[str, flo
     return lookup_join(every, picked.select("feature", *probs), ["feature"], "left")
 
 
-def _by_brackets(df: DataFrame, features: Sequence[str],
-                 probs: Mapping[str, float]) -> DataFrame:
-    slack = 2.0 / ACCURACY
-    edges = [e for p in probs.values() for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    probe = df.agg(
-        *[F.percentile_approx(_value(f), edges, ACCURACY).alias(f"e_{i}")
-          for i, f in enumerate(features)],
-        *[F.count(_value(f)).alias(f"n_{i}") for i, f in enumerate(features)]).first()
-
-    brackets = []          # (feature, quantile name, low, high, total)
-    for i, f in enumerate(features):
-        cuts = probe[f"e_{i}"]
-        for j, name in enumerate(probs):
-            if cuts:
-                wide = probe[f"n_{i}"] < NARROW_FROM
-                low = float("-inf") if wide else cuts[2 * j]
-                high = float("inf") if wide else cuts[2 * j + 1]
-                brackets.append((f, name, low, high, probe[f"n_{i}"]))
-    spark = df.sparkSession
-    if not brackets:
-        return _by_counts(df, features, probs, [])
-
-    below = df.agg(*[F.count_if(_value(f) < F.lit(lo)).alias(f"b{i}")
-                     for i, (f, _, lo, _, _) in enumerate(brackets)]).first()
-    table = spark.createDataFrame(
-        [(f, name, below[f"b{i}"], n) for i, (f, name, _, _, n) in enumerate(brackets)],
-        "feature string, q string, below long, total long")
-
-    # Each value goes to the brackets that contain it: a small share of the rows.
-    tags = F.array_compact(F.array(*[
-        F.when(_value(f).between(F.lit(lo), F.lit(hi)),
-               F.struct(F.lit(f).alias("feature"), F.lit(name).alias("q"), _value(f).alias("value")))
-        for f, name, lo, hi, _ in brackets]))
+@dataclass
+class _Box:
+    """Values of a feature from ``low`` to ``high``, both taken: ``n`` of them, after ``below`` smaller ones."""
+    feature: str
+    low: float
+    high: float
+    below: int
+    n: int
+    ranks: set[int]
+
+    def known(self) -> dict[int, float]:
+        """Ranks that need no further look."""
+        ends = {self.below: self.low, self.below + self.n - 1: self.high}
+        return {r: self.low if self.low == self.high else ends[r] for r in self.ranks if self.low == self.high or r in ends}
+
+    def bin(self, value: Column) -> Column:
+        """Monotone in the value, whatever rounding does; halves, as the width of all doubles is none."""
+        low, high = max(self.low, -sys.float_info.max), min(self.high, sys.float_info.max)
+        width = high / 2 - low / 2
+        if width == 0:
+            inner = (value > F.lit(low)).cast("long")
+        else:
+            inner = F.floor((value / 2 - F.lit(low / 2)) / F.lit(width) * BINS).cast("long")
+        return F.when(value < F.lit(low), -1).when(value > F.lit(high), BINS + 1).otherwise(inner)
+
+
+def _by_histograms(df: DataFrame, features: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    one = df.agg(*[c for i, f in enumerate(features) for c in (
+        F.count(_value(f)).alias(f"n{i}"), F.min(_value(f)).alias(f"a{i}"), F.max(_value(f)).alias(f"b{i}"))]).first()
+    totals = {f: one[f"n{i}"] for i, f in enumerate(features)}
+    spots = {(f, name): (n - 1) * p for f, n in totals.items() if n for name, p in probs.items()}
+    boxes = [_Box(f, one[f"a{i}"], one[f"b{i}"], 0, totals[f],
+                  {r for name in probs for r in (math.floor(spots[f, name]), math.ceil(spots[f, name]))})
+             for i, f in enumerate(features) if totals[f]]
+    found: dict[tuple[str, int], float] = {}
+    while boxes:
+        for box in boxes:
+            known = box.known()
+            found |= {(box.feature, r): x for r, x in known.items()}
+            box.ranks -= known.keys()
+        boxes = [b for b in boxes if b.ranks]
+        if boxes:
+            boxes = _narrowed(df, boxes, found)
+    rows = []
+    for f in features:
+        row = [f]
+        for name in probs:
+            if totals[f]:
+                spot = spots[f, name]
+                low, high = found[f, math.floor(spot)], found[f, math.ceil(spot)]
+                row.append(low if low == high else low + (high - low) * (spot - math.floor(spot)))
+            else:
+                row.append(None)
+        rows.append(tuple(row))
+    return df.sparkSession.createDataFrame(rows, "feature string, " + ", ".join(f"`{n}` double" for n in probs))
+
+
+def _narrowed(df: DataFrame, boxes: list[_Box], found: dict[tuple[str, int], float]) -> list[_Box]:
+    """One scan over all boxes: smaller boxes for the wide ones, the answers of the others."""
+    tags = []
+    for i, box in enumerate(boxes):
+        x = _value(box.feature)
+        wide = box.n > LISTED
+        tags.append(F.when(x.between(F.lit(box.low), F.lit(box.high)), F.struct(
+            F.lit(i).alias("box"), (box.bin(x) if wide else F.lit(None).cast("long")).alias("bin"),
+            (F.lit(None).cast("double") if wide else x).alias("listed"), x.alias("value"))))
     # The outer form keeps the tags from being computed twice (see text operators).
-    inside = df.select(F.inline_outer(tags)).where(F.col("q").isNotNull())
-    counts = inside.groupBy("feature", "q", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_sum(counts, ["feature", "q"], ["value"], "n", "cum")
-    ranked = (ranked.join(F.broadcast(table), ["feature", "q"])
-              .withColumns({"lo": F.col("below") + F.col("cum") - F.col("n"),
-                            "hi": F.col("below") + F.col("cum") - 1}))
-    return _for_all(_pick(ranked, ["feature"], probs, "q"), features, probs)
+    inside = df.select(F.inline_outer(F.array_compact(F.array(*tags)))).where("box is not null")
+    counted = inside.groupBy("box", "bin", "listed").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    parts: dict[int, list] = {}
+    for r in counted.toArrow().to_pylist():
+        parts.setdefault(r["box"], []).append(r)
+    out = []
+    for i, box in enumerate(boxes):
+        below = box.below
+        for r in sorted(parts[i], key=lambda r: (r["low"], r["high"])):
+            ranks = {k for k in box.ranks if below <= k < below + r["n"]}
+            if ranks:
+                out.append(_Box(box.feature, r["low"], r["high"], below, r["n"], ranks))
+            below += r["n"]
+    return out
 
 
 def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str, float],
@@ -131,4 +172,4 @@ def exact_quantiles(df: DataFrame, features: Sequence[str], probs: Mapping[str,
         return _in_one_buffer(df, features, probs, by)
     if by or is_small(df, policy.small_bytes):
         return _by_counts(df, features, probs, by)
-    return _by_brackets(df, features, probs)
+    return _by_histograms(df, features, probs)

@@ -10,6 +10,7 @@ again an aggregation: medians by value counts, weights per row, sums per x.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -25,54 +26,150 @@ MIN_POINTS = 5       # fixed value: shorter series are returned as they are
 MIN_NEIGHBOURS = 2
 
 
+#: Series with fewer neighbours a point are summed directly, one point after another.
+DIRECT_NEIGHBOURS = 64
+#: Blocks of moments in a neighbourhood, about.
+PIECES = 8
+#: A block this many times as wide as a neighbourhood has no useful moments for it.
+WIDE_BLOCK = 2.0
+POWERS = 12   # the kernel has degree 9, sums need two powers of x more
+CHOOSE = np.array([[comb(q, m) for m in range(POWERS)] for q in range(POWERS)], float)
+# The kernel (1 - |d|^3)^3 by powers of d, right and left of the point.
+RIGHT, LEFT = ((0, 1.0), (3, -3.0), (6, 3.0), (9, -1.0)), ((0, 1.0), (3, 3.0), (6, 3.0), (9, 1.0))
+INNER, OUTER = 0.001, 0.999   # fixed values: nearer points weigh 1, farther ones 0
+
+
+def reaches(x: np.ndarray, n: np.ndarray, k: int) -> np.ndarray:
+    """Distance of the k-th nearest point from each distinct x (sorted), ``n`` points at each.
+
+    The k nearest lie in a run of consecutive x.  Over the runs by their start, the left side
+    of the reach shrinks and the right side grows, so the best start is found by bisection, for all points at once.
+    """
+    m = len(x)
+    before = np.concatenate([[0], np.cumsum(n)])
+    ends = np.searchsorted(before, before[:-1] + k, side="left")   # exclusive, of the run from each start
+    firsts = np.maximum(np.searchsorted(before, before[1:] - k, side="right") - 1, 0)
+    last = int(np.searchsorted(ends, m, side="right")) - 1         # starts after it have too few points
+    i = np.arange(m)
+    low, high = firsts.copy(), np.minimum(i, last)
+    sides = lambda s: (x - x[s], x[np.minimum(np.maximum(ends[s], i + 1), m) - 1] - x)
+    held = firsts <= high
+    lo, hi = low.copy(), np.maximum(high, low)
+    while (lo < hi).any():
+        mid = (lo + hi) // 2
+        left, right = sides(mid)
+        open_, up = lo < hi, right >= left
+        lo, hi = np.where(open_ & ~up, mid + 1, lo), np.where(open_ & up, mid, hi)
+    best = np.minimum(np.maximum(*sides(lo)), np.maximum(*sides(np.maximum(lo - 1, low))))
+    return np.where(held, best, np.maximum(x - x[0], x[-1] - x))
+
+
+def _zones(x: np.ndarray, reach: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Index ranges of the weights: from, core from, core to, to."""
+    return (np.searchsorted(x, at - OUTER * reach, "right"), np.searchsorted(x, at - INNER * reach, "left"),
+            np.searchsorted(x, at + INNER * reach, "right"), np.searchsorted(x, at + OUTER * reach, "left"))
+
+
+def _line(s0: np.ndarray, s1: np.ndarray, s2: np.ndarray, t0: np.ndarray, t1: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """Value at 0 of the weighted line through points, from sums of w, w u, w u^2, w y, w y u, where u counts in units of ``unit``."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean_u, mean_y = s1 / s0, t0 / s0
+        spread = s2 - s1 * mean_u
+        slope = np.where(spread > 1e-12 * np.maximum(1.0 / np.maximum(unit * unit, 1e-300), s0), (t1 - t0 * mean_u) / spread, 0.0)
+        return np.where(s0 > 0, mean_y - slope * mean_u, np.nan)
+
+
+def _direct(x: np.ndarray, w: np.ndarray, wy: np.ndarray, reach: np.ndarray, points: np.ndarray) -> np.ndarray:
+    out = np.empty((len(points), 5))
+    a, c0, c1, b = _zones(x, reach[points], x[points])
+    for j, i in enumerate(points):
+        unit = reach[i] or 1.0
+        lo, hi = min(a[j], c0[j]), max(b[j], c1[j])
+        u = (x[lo:hi] - x[i]) / unit
+        kernel = np.clip(1 - np.abs(u) ** 3, 0, 1) ** 3
+        kernel[c0[j] - lo:c1[j] - lo] = 1.0
+        kw, ky = kernel * w[lo:hi], kernel * wy[lo:hi]
+        out[j] = kw.sum(), (kw * u).sum(), (kw * u * u).sum(), ky.sum(), (ky * u).sum()
+    return out
+
+
+class _Moments:
+    """Prefix moments of a series inside blocks of consecutive points, each in the block's own coordinate in [-1, 1]."""
+
+    def __init__(self, x: np.ndarray, values: list[np.ndarray], size: int) -> None:
+        self.size, m = size, len(x)
+        blocks = -(-m // size)
+        edge = np.minimum(np.arange(blocks + 1) * size, m)
+        low, high = x[edge[:-1]], x[edge[1:] - 1]
+        self.centre, self.half = (low + high) / 2, np.where(high > low, (high - low) / 2, 1.0)
+        block = np.arange(m) // size
+        power = ((x - self.centre[block]) / self.half[block])[:, None] ** np.arange(POWERS)
+        self.sums = []
+        for v in values:
+            padded = np.zeros((blocks * size, POWERS))
+            padded[:m] = power * v[:, None]
+            rows = np.zeros((blocks, size + 1, POWERS))
+            np.cumsum(padded.reshape(blocks, size, POWERS), axis=1, out=rows[:, 1:])
+            self.sums.append(rows)
+
+    def between(self, a: np.ndarray, b: np.ndarray, at: np.ndarray, unit: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Sums of v u^q, u = (x - at) / unit, over the points from a to b, for each series; and whether a block that
+        a range only cuts is too wide for it."""
+        out = [np.zeros((len(a), POWERS)) for _ in self.sums]
+        wide = np.zeros(len(a), bool)
+        first, final = a // self.size, np.maximum(b - 1, a) // self.size
+        for step in range(int((final - first).max(initial=0)) + 1):
+            block = first + step
+            rows = np.flatnonzero((block <= final) & (a < b))
+            if not len(rows):
+                continue
+            k = block[rows]
+            lo, hi = np.maximum(a[rows] - k * self.size, 0), np.minimum(b[rows] - k * self.size, self.size)
+            alpha, beta = (self.centre[k] - at[rows]) / unit[rows], self.half[k] / unit[rows]
+            wide[rows] |= (beta > WIDE_BLOCK) & (hi - lo > 0)
+            up = alpha[:, None] ** np.arange(POWERS)
+            scale = beta[:, None] ** np.arange(POWERS)
+            for sums, total in zip(self.sums, out):
+                own = (sums[k, hi] - sums[k, lo]) * scale
+                for q in range(POWERS):
+                    total[rows, q] += (own[:, :q + 1] * up[:, q::-1] * CHOOSE[q, :q + 1]).sum(axis=1)
+        return out, wide
+
+
+def _by_moments(x: np.ndarray, w: np.ndarray, wy: np.ndarray, reach: np.ndarray, points: np.ndarray, k: int) -> np.ndarray:
+    """As ``_direct``, in a number of steps a point that does not depend on how many neighbours it has."""
+    moments = _Moments(x, [w, wy], max(8, k // PIECES))
+    at, unit = x[points], np.where(reach[points] > 0, reach[points], 1.0)
+    a, c0, c1, b = _zones(x, reach[points], at)
+    out, direct = np.zeros((len(points), 5)), np.zeros(len(points), bool)
+    for lo, hi, kernel in ((a, c0, LEFT), (c0, c1, ((0, 1.0),)), (c1, b, RIGHT)):
+        (sw, sy), wide = moments.between(lo, np.maximum(lo, hi), at, unit)
+        direct |= wide
+        for q, c in kernel:
+            for p in range(3):
+                out[:, p] += c * sw[:, p + q]
+            for p in range(2):
+                out[:, 3 + p] += c * sy[:, p + q]
+    if direct.any():  # gaps in x: such points are few or lie in short neighbourhoods
+        out[direct] = _direct(x, w, wy, reach, points[direct])
+    return out
+
+
 def fit_series(x: np.ndarray, n: np.ndarray, w: np.ndarray, wy: np.ndarray, k: int,
                wanted: np.ndarray | None = None) -> np.ndarray:
     """Local linear fit at each distinct x (sorted), or at the wanted ones.
 
     ``n`` points lie at each x (they count as neighbours), with total robustness
-    weight ``w`` and weighted sum ``wy``.  The ``k`` nearest points lie in a run
-    of consecutive x, so each fit looks at no more than that run.
+    weight ``w`` and weighted sum ``wy``.  The tricube kernel is a polynomial on either side of a point, so
+    its sums come from prefix moments of x, whatever the number of neighbours is.
     """
-    before = np.concatenate([[0], np.cumsum(n)])
-    ends = np.searchsorted(before, before[:-1] + k, side="left")   # exclusive, of the run from each start
-    firsts = np.maximum(np.searchsorted(before, before[1:] - k, side="right") - 1, 0)
-    last = int(np.searchsorted(ends, len(x), side="right")) - 1    # starts after it have too few points
+    x = np.asarray(x, float)
     fitted = np.full(len(x), np.nan)
-    s = 0
-    for i in range(len(x)) if wanted is None else np.flatnonzero(wanted):
-        at = x[i]
-
-        def cost(start: int) -> float:
-            return max(at - x[start], x[max(ends[start], i + 1) - 1] - at)
-
-        # The best run moves to the right only: to the left end it is too long, to the
-        # right end too short, and between the longer side shrinks and then grows.
-        s = max(s, firsts[i])
-        if s <= min(i, last):
-            while s + 1 <= min(i, last) and cost(s + 1) <= cost(s):
-                s += 1
-            reach = cost(s)
-        else:
-            reach = cost(last) if firsts[i] <= last <= i else max(at - x[0], x[-1] - at)
-        near = slice(np.searchsorted(x, at - reach, side="left"),
-                     np.searchsorted(x, at + reach, side="right"))
-        dist = np.abs(x[near] - at)
-        if reach > 0:
-            ratio = dist / reach
-            kernel = np.where(ratio < 0.999, (1 - np.minimum(ratio, 1.0) ** 3) ** 3, 0.0)
-            kernel[ratio <= 0.001] = 1.0
-        else:
-            kernel = (dist == 0).astype(float)
-        weight = kernel * w[near]
-        mass = weight.sum()
-        if mass <= 0:
-            continue
-        mean_x, mean_y = (weight * x[near]).sum() / mass, (kernel * wy[near]).sum() / mass
-        spread = (weight * (x[near] - mean_x) ** 2).sum()
-        fitted[i] = mean_y
-        if spread > 1e-12 * max(1.0, mass * reach * reach):
-            slope = (kernel * wy[near] * (x[near] - mean_x)).sum() / spread
-            fitted[i] += slope * (at - mean_x)
+    points = np.arange(len(x)) if wanted is None else np.flatnonzero(wanted)
+    if len(points):
+        reach = reaches(x, n, k)
+        sums = _direct(x, w, wy, reach, points) if k <= DIRECT_NEIGHBOURS else _by_moments(x, w, wy, reach, points, k)
+        fitted[points] = _line(*sums.T, reach[points])
     return fitted
 
 

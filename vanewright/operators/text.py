@@ -179,8 +179,11 @@ def fragment_documents(df: DataFrame, metadata: Sequence[str], name: str = "frag
     return df.select(meta.alias("metadata"), F.col(name).alias("fragments"))
 
 
+XHTML = "http://www.w3.org/1999/xhtml"  # fixed value: namespace marker
+
+
 def validate_markup(df: DataFrame, html: str, name: str = "valid_markup",
-                    marker: str = "http://www.w3.org/1999/xhtml") -> DataFrame:
+                    marker: str = XHTML) -> DataFrame:
     """Flag whether the expected namespace marker is present; rows are kept."""
     return df.withColumn(name, F.coalesce(F.contains(html, F.lit(marker)), F.lit(False)))
 

@@ -48,25 +48,6 @@ def drop_stale_sessions(df: DataFrame, unit: str = "unit", session: str = "sessi
     return split_by_heat(df, [unit], plain, hot)
 
 
-def rewrite_units(df: DataFrame, path: str, unit: str = "unit") -> None:
-    """Replace the partitions of the units present in ``df``, leave the rest.
-
-    Rebalancing puts a unit's rows in few files and lets the adaptive planner
-    split a unit that is too large for one writer.
-    """
-    (df.hint("rebalance", unit)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(unit).parquet(path))
-
-
-def write_snapshot(df: DataFrame, path: str, version: int) -> str:
-    """A complete copy in a directory of its own; readers pick the newest one
-    that has a success marker."""
-    target = f"{path}/version={version}"
-    df.write.mode("overwrite").parquet(target)
-    return target
-
-
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy("dataset", "split").parquet(path)
 
