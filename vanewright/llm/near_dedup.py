@@ -12,10 +12,10 @@
    pair is dropped once the posterior probability that its similarity reaches the
    threshold falls below ``miss``.  What is left is decided on the full sets.
 4. Bands whose classes are not all connected by then are finished exactly: classes
-   outside the first hub's component meet all others of the band, in blocks whose rows are signatures
-   alone, ``extra`` values longer, so that pairs well below the threshold are dropped in the task.
-   Of what is left a task returns the best pair of each class with each other component; only if
-   full sets refuse some of these, all pairs between components that are still apart.
+   outside the first hub's component meet all others of the band, in blocks whose rows have signatures
+   ``extra`` values longer, so that pairs well below the threshold are dropped at once.
+   What is left is compared by the halves of the shingles' hashes, and of a class and a component a task
+   returns no more pairs once one is beyond doubt; full sets decide on those.
 
 With 32 bands of 5 values a pair of similarity 0.8 is a candidate with probability
 1 - 3e-6.  Defined results: a text without words (null, empty, white space) has an
@@ -215,18 +215,22 @@ def _verify(pairs: DataFrame, sets: DataFrame, cfg: NearDup) -> DataFrame:
 
 
 def _longer(sets: DataFrame, nodes: DataFrame, cfg: NearDup) -> DataFrame:
-    """(node, sig, more) of the given classes: a byte of every value, and of ``extra`` more."""
+    """(node, keys, more, half) of the given classes: the keys of their bands; a byte of every value of the signature
+    and of ``extra`` more; and the lower half of every shingle's hash."""
     factors, shifts = _coefficients(cfg.extra)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = batch.column(2)
-        values, off = mix(lists.values.to_numpy(zero_copy_only=False).view(np.uint64), CHECK), lists.offsets.to_numpy()
-        more = [(np.frombuffer(sig, np.uint32) >> np.uint32(12)).astype(np.uint8).tobytes()
-                + (signature(values[a:b], factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes()
-                for sig, a, b in zip(batch.column(1).to_pylist(), off[:-1], off[1:])]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], blobs(more)], names=["node", "sig", "more"])
+        values, off = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, cfg.hashes)
+        own = [values[a:b] for a, b in zip(off[:-1], off[1:])]
+        more = [(x >> np.uint32(12)).astype(np.uint8).tobytes() + (signature(mix(g, CHECK), factors, shifts) >> np.uint32(12)).astype(np.uint8).tobytes()
+                for x, g in zip(sig, own)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), blobs([k.tobytes() for k in band_keys(sig, cfg)]), blobs(more),
+                                          blobs([g.astype(np.uint32).tobytes() for g in own])], names=["node", "keys", "more", "half"])
 
-    return per_batch(sets.join(nodes, "node").select("node", "sig", "grams"), work, "node struct<f1:bigint,f2:bigint>, sig binary, more binary")
+    return per_batch(sets.join(nodes, "node").select("node", "sig", "grams"), work,
+                     "node struct<f1:bigint,f2:bigint>, keys binary, more binary, half binary")
 
 
 def _outside(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -239,48 +243,60 @@ def _outside(members: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame
     return placed.join(held(placed.where("out").select("key").distinct()), "key", "left_semi")
 
 
-def _rest(placed: DataFrame, longer: DataFrame, cfg: NearDup, best: bool) -> DataFrame:
-    """Candidate pairs of classes that are outside with classes of other components of their band; ``best``: of
-    each class and component of a block the one of most equal values."""
+def _rest(placed: DataFrame, longer: DataFrame, cfg: NearDup) -> DataFrame:
+    """Pairs of classes that are outside with classes of other components of their band that reach the threshold by half
+    hashes; of a class and a component of a block no more once one pair is beyond doubt."""
     blocks = lambda of: F.ceil(of / BLOCK_ROWS).cast("long")
     counts = placed.groupBy("key").agg(blocks(F.count_if("out")).alias("na"), blocks(F.count(F.lit(1))).alias("nb"))
     spot = F.xxhash64("node")
     dealt = placed.join(counts, "key")
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    rows = dealt.where("out").select("key", "node", "root", "out", F.lit(True).alias("probe"),
-                                     F.pmod(spot, "na").alias("i"), upto("nb").alias("j"))
-    rows = rows.unionByName(dealt.select("key", "node", "root", "out", F.lit(False).alias("probe"),
-                                         upto("na").alias("i"),
-                                         F.pmod(spot, "nb").alias("j")))
-    rows = rows.join(longer, "node").select("key", "i", "j", "probe", "out", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
-                                            F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "sig", "more")
-
+    # A row stands on either side of a block that it looks for and lies in, so it is sent once there.
+    rows = dealt.where("out").select("key", "node", "root", "out", F.lit(True).alias("probe"), F.pmod(spot, "na").alias("i"), upto("nb").alias("j"))
+    rows = rows.unionByName(dealt.select("key", "node", "root", "out", F.lit(False).alias("probe"), upto("na").alias("i"), F.pmod(spot, "nb").alias("j")))
+    rows = rows.groupBy("key", "i", "j", "node", "root", "out").agg(F.max("probe").alias("probe"), F.bool_and("probe").alias("only"))
+    rows = rows.join(longer, "node").select("key", "i", "j", "probe", "only", "out", F.col("node.f1").alias("f1"), F.col("node.f2").alias("f2"),
+                                            F.col("root.f1").alias("r1"), F.col("root.f2").alias("r2"), "keys", "more", "half")
     total = cfg.hashes + cfg.extra
     limits = cfg.least_matches(total - total % cfg.wide_batch, cfg.wide_batch)
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         f1, f2, r1, r2 = (table.column(c).to_numpy() for c in ("f1", "f2", "r1", "r2"))
-        probe, out = (table.column(c).to_numpy(zero_copy_only=False) for c in ("probe", "out"))
-        sig, more = (np.frombuffer(b"".join(table.column(c).to_pylist()), t).reshape(len(f1), -1) for c, t in (("sig", np.uint32), ("more", np.uint8)))
-        own, other = np.flatnonzero(probe), np.flatnonzero(~probe)
-        keys = band_keys(sig, cfg)
+        probe, only, out = (table.column(c).to_numpy(zero_copy_only=False) for c in ("probe", "only", "out"))
+        keys, more = (np.frombuffer(b"".join(table.column(c).to_pylist()), t).reshape(len(f1), -1) for c, t in (("keys", np.int64), ("more", np.uint8)))
+        half, sets = table.column("half"), {}
+
+        def shingles(i: int) -> tuple[np.ndarray, int]:
+            if i not in sets:
+                whole = np.frombuffer(half[i].as_py(), np.uint32)
+                sets[i] = np.unique(whole), len(whole)
+            return sets[i]
+
+        own, other = np.flatnonzero(probe), np.flatnonzero(~only)
         band = int(np.flatnonzero(keys[0] == table.column("key")[0].as_py())[0])
         before = keys[:, :band]  # a pair is decided in the first band that it shares
-        _, of = np.unique(r1.view(np.uint64) ^ (r2.view(np.uint64) << np.uint64(1)), return_inverse=True)
         a, b = [], []
         for p in own:
             # Of two that are outside, the smaller looks for the larger.
-            at = other[((r1[other] != r1[p]) | (r2[other] != r2[p])) & ~(out[other] & ((f1[other] < f1[p]) | ((f1[other] == f1[p]) & (f2[other] < f2[p]))))]
+            smaller = (f1[other] < f1[p]) | ((f1[other] == f1[p]) & (f2[other] <= f2[p]))
+            at = other[((r1[other] != r1[p]) | (r2[other] != r2[p])) & ~(out[other] & smaller)]
             at = at[~(before[at] == before[p]).any(axis=1)]
             alive, found = _sequential(more[p], more[at], limits)
-            at = at[alive]
-            if best and len(at):
-                order = np.lexsort((-found, of[at]))
-                at = at[order[np.unique(of[at][order], return_index=True)[1]]]
-            a.append(np.full(len(at), p))
-            b.append(at)
-        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (a, b))
+            done = set()
+            for q in at[alive[np.argsort(-found, kind="stable")]]:
+                root = (r1[q], r2[q])
+                if root in done:
+                    continue
+                (x, n), (y, m) = shingles(p), shingles(q)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                most = both + n - len(x) + m - len(y)
+                if 100 * most >= cfg.percent * (n + m - most):
+                    a.append(p)
+                    b.append(q)
+                    if 100 * (both - 1) >= cfg.percent * (n + m - both + 1):
+                        done.add(root)
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
         return pa.table({"a1": f1[a], "a2": f2[a], "b1": f1[b], "b2": f2[b]})
 
     met = rows.groupBy("key", "i", "j").applyInArrow(meet, "a1 long, a2 long, b1 long, b2 long")
@@ -348,22 +364,10 @@ def _groups(docs: DataFrame, cfg: NearDup) -> DataFrame:
     sets = held(_full_sets(texts, cfg, "text"))
     links = held(_verify(_prune(pairs, sets, cfg), sets, cfg))
     roots = components(links)
-    longer = failed = None
-    for best in (True, False):
-        placed = _outside(members, hubs, roots)
-        if failed is not None:
-            placed = placed.join(failed, "node", "left").withColumn("out", F.col("out") & F.coalesce("again", F.lit(False))).drop("again")
-            placed = placed.join(placed.where("out").select("key").distinct(), "key", "left_semi")
-        placed = held(placed)
-        if placed.isEmpty():
-            break
-        longer = longer or held(_longer(sets, placed.select("node").distinct(), cfg))
-        found = held(_rest(placed, longer, cfg, best))
-        good = held(_verify(found, sets, cfg))
-        roots = _merged(roots, good)
-        # Where the best pair with a component was granted, the class has joined it; where there was none, there is no pair.
-        refused = found.join(good, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        failed = held(refused.withColumn("again", F.lit(True)))
+    placed = held(_outside(members, hubs, roots))
+    if not placed.isEmpty():
+        longer = held(_longer(sets, placed.select("node").distinct(), cfg))
+        roots = _merged(roots, held(_verify(held(_rest(placed, longer, cfg)), sets, cfg)))
     grouped = classes.select("node", "least").join(roots, "node", "left") \
                      .select("node", "least", F.coalesce("root", "node").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
