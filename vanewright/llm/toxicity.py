@@ -155,12 +155,14 @@ def learn(docs: DataFrame, labels: DataFrame, cfg: Learning = Learning(), id_col
 
     Labels are sampled before they meet the documents: the smallest hashes of their ids,
     at most ``sample`` rows, which are broadcast, so no text is shuffled to find them.
-    A document with several labels takes the larger.
+    A document with several labels takes the larger; of documents that share an id one, that of the
+    smallest hash of its text, is learned from, so that the sample bounds what the driver gets.
     """
     chosen = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1)).groupBy(id_col) \
                    .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = held(chosen.orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(cfg.sample))
-    rows = docs.select(id_col, F.col(text).alias("text")).join(F.broadcast(chosen), id_col).select("text", "toxic")
+    rows = docs.select(id_col, F.col(text).alias("text")).join(F.broadcast(chosen), id_col)
+    rows = rows.groupBy(id_col).agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
     rows = held(_folded(rows, "toxic"))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(n) < 2:
