@@ -73,3 +73,9 @@ def forward(windows: np.ndarray, p: Params) -> np.ndarray:
     y = dense @ p["head"].T + p["head_bias"]
     y = np.maximum(y, 0) + np.log1p(np.exp(-np.abs(y)))
     return np.where(y > 1e-9, y, 1e-9)
+
+
+def conv_scorer(params: Params):
+    """A scorer of batches of windows with the given weights."""
+    frozen = {k: np.asarray(v) for k, v in params.items()}
+    return lambda batch: forward(batch, frozen)

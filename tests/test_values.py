@@ -4,11 +4,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import network
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vanewright.functions import scalars
-from vanewright.operators import metrics, network, profile, project, quantiles, scaling, scoring, smoothing
+from vanewright.operators import metrics, profile, project, quantiles, scaling, scoring, smoothing
 from vanewright.schemas import FEATURES, calibration
 
 
@@ -304,3 +306,22 @@ def test_score_windows_keeps_rows_and_order_of_features(spark):
 def test_calibration_feature_count():
     assert len(FEATURES) == 18 and list(calibration()) == FEATURES
     assert calibration()["Wf"] == (2.238, 0.866)
+
+
+@pytest.mark.parametrize("block", [30, 37, 4096])
+def test_a_series_is_scored_like_its_windows(spark, block):
+    """Blocks with the rows before them give the windows that a frame gives, each once; also with the network."""
+    from vanewright.operators.windows import sliding_windows
+    cloudpickle.register_pickle_by_value(network)
+    rng = np.random.default_rng(3)
+    feats = [f"f{i}" for i in range(18)]
+    rows = pd.DataFrame(rng.normal(size=(260, 18)), columns=feats).assign(unit=[1] * 150 + [2] * 80 + [3] * 29 + [4], at=range(260))
+    df = spark.createDataFrame(rows).withColumn("unit", F.when(F.col("unit") != 2, F.col("unit"))).repartition(4)
+    scorer = network.conv_scorer(network.seeded_params(7))
+    got = scoring.score_series(df, scorer, feats, ["at"], 30, block=block)
+    want = scoring.score_windows(sliding_windows(df, feats, ["at"], 30), scorer, feats, 30)
+    plain = lambda d: sorted((r["at"], round(r["predicted_rul"], 9), round(r["predicted_std"], 9)) for r in d.collect())
+    assert plain(got) == plain(want) and len(plain(want)) == 121 + 51
+    assert got.columns == [*df.columns, "predicted_rul", "predicted_std", "inference_latency_ms"]
+    with pytest.raises(ValueError):
+        scoring.score_series(df, scorer, feats, ["at"], 30, block=8)

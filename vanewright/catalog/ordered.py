@@ -11,7 +11,7 @@ from vanewright.catalog.profiles import _windows5, r
 from vanewright.catalog.projections import PATTERNS, _runs
 from vanewright.catalog.views import Entry, oracle
 from vanewright.functions import scalars
-from vanewright.operators import network, profile, scaling, scoring, smoothing, windows
+from vanewright.operators import profile, scaling, scoring, smoothing, windows
 from vanewright.operators.project import dual_domain, zscore
 from vanewright.plans import prep
 from vanewright.sources import packets as bus
@@ -214,22 +214,6 @@ def _round_trip(s, d):
     return back.select(F.col("unit").cast("long").alias("unit"), "cycle", "timestamp_ms", "s1")
 
 
-def scorer_windows(s, d):
-    """18-feature windows of 30 consecutive vectors."""
-    e = v.table(s, d, "embeddings")
-    feats = [f"f{i}" for i in range(18)]
-    rows = e.select((F.col("vec_id") % 3).alias("unit"), "vec_id",
-                    *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(feats)])
-    return windows.sliding_windows(rows, feats, ["vec_id"], 30).select("unit", "vec_id", "window"), feats
-
-
-def _conv(s, d):
-    w, feats = scorer_windows(s, d)
-    out = scoring.score_windows(w, scoring.conv_scorer(network.seeded_params(7)), feats)
-    return out.select("unit", "vec_id", F.round("predicted_rul", 6).alias("predicted_rul"),
-                      F.round("predicted_std", 6).alias("predicted_std"))
-
-
 def _mean_scorer(batch):
     import numpy as np
     x = batch.mean(axis=(1, 2))
@@ -242,6 +226,13 @@ def _user_scorer(s, d):
     return out.select("event_id", F.round("predicted_rul", 5).alias("predicted_rul"), "predicted_std")
 
 
+def _series_scorer(s, d):
+    """The same scores from blocks of rows, each sent to the scorer's task once."""
+    p = v.packets(s, d).select("event_id", "unit", "timestamp_ms", "s1", "s2")
+    out = scoring.score_series(p, _mean_scorer, ["s1", "s2"], P_ORDER, 5, block=64)
+    return out.select("event_id", F.round("predicted_rul", 5).alias("predicted_rul"), "predicted_std")
+
+
 def _status(df):
     out = windows.latest_status(df, P_ORDER if "event_id" in df.columns else ["cycle", "timestamp_ms"])
     return r(out, 6, "predicted_rul", "predicted_std", "uncertainty", "uncertainty_delta")
@@ -443,12 +434,16 @@ ENTRIES = [
                    ELSE 'N/A' END) FILTER (WHERE c_custkey = 3) AS run3
              FROM customer, (SELECT unnest(['model_name', 'dataset_size', 'q_scale']) AS p) GROUP BY p"""),
     # --- scoring
+    Entry("e1_score_series", _series_scorer,
+          oracle(f"""SELECT event_id, round(greatest(m, 0.0) + ln(1 + exp(-abs(m))), 5) AS predicted_rul,
+                      1.0::double AS predicted_std
+                    FROM (SELECT event_id, avg((s1 + s2) / 2) OVER w AS m, count(*) OVER w AS n FROM packets
+                          WINDOW w AS ({BY_TIME} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) WHERE n = 5""", v.PACKETS)),
     Entry("e1_score_windows", _user_scorer,
           oracle(f"""SELECT event_id, round(greatest(m, 0.0) + ln(1 + exp(-abs(m))), 5) AS predicted_rul,
                       1.0::double AS predicted_std
                     FROM (SELECT event_id, avg((s1 + s2) / 2) OVER w AS m, count(*) OVER w AS n FROM packets
                           WINDOW w AS ({BY_TIME} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) WHERE n = 5""", v.PACKETS)),
-    Entry("e2_conv_scorer", _conv),
     Entry("f12_flatten_window", lambda s, d: _windows5(s, d).select(
               "event_id", F.array_join(F.transform(scalars.flatten_window("window", ["s1", "s2"]),
                                                    lambda x: F.format_string("%.2f", x)), ",").alias("flat")),

@@ -113,8 +113,8 @@ def _guide_rows(s, d):
 
 
 def _examples(s, d):
-    """The appended block alone, as its SQL has it; ``_guide_rows`` has all fragments."""
-    return _guides(s, d).where("section = 'Example'").select("page_id", "section", "level",
+    """All fragments that hold code, which in these pages are the appended blocks; ``_guide_rows`` has all fragments."""
+    return _guides(s, d).where(F.exists("text", lambda p: p.startswith("```"))).select("page_id", "section", "level",
                                                              F.array_join("text", "|").alias("body"))
 
 
@@ -146,10 +146,10 @@ def _export_rows(s, d):
 
 
 def _export(s, d):
-    """The first fragment of each document, as its SQL has it; ``_export_rows`` has all."""
+    """Each document with one digest over all its fragments in order; ``_export_rows`` has them one by one."""
+    whole = F.array_join(F.transform("fragments", lambda x: F.md5(x["text"])), ",")
     return _exported(s, d).select(F.col("metadata.doc_id").alias("doc_id"), F.col("metadata.source").alias("source"),
-                       F.col("metadata.chunk_count").alias("chunk_count"),
-                       F.md5(F.element_at("fragments", 1)["text"]).alias("first_digest"))
+                       F.col("metadata.chunk_count").alias("chunk_count"), F.md5(whole).alias("digest"))
 
 
 ENTRIES = [
@@ -203,11 +203,9 @@ ENTRIES = [
           oracle("""SELECT CASE WHEN path LIKE '%.parquet' THEN 'telemetry' ELSE 'resources' END AS kind, count(*) AS files
                     FROM artifacts GROUP BY 1""", v.ARTIFACTS)),
     Entry("k8_fragment_export", _export,
-          oracle("""SELECT a.doc_id, source, cast(n AS integer) AS chunk_count,
-                      md5(header || chr(10) || chr(10) || body) AS first_digest
-                    FROM art a JOIN (SELECT doc_id, max(chunk_no) + 1 AS n FROM ch GROUP BY doc_id) c
-                      ON a.doc_id = c.doc_id AND a.chunk_no = 0
-                    JOIN documents d ON d.doc_id = a.doc_id""", v.ARTICLE_LINES, ARTICLES)),
+          oracle("""SELECT a.doc_id, max(source) AS source, cast(count(*) AS integer) AS chunk_count,
+                      md5(string_agg(md5(header || chr(10) || chr(10) || body), ',' ORDER BY chunk_no)) AS digest
+                    FROM art a JOIN documents d ON d.doc_id = a.doc_id GROUP BY a.doc_id""", v.ARTICLE_LINES, ARTICLES)),
     Entry("k8_fragment_rows", _export_rows,
           oracle(r"""SELECT a.doc_id, source, cast(n AS integer) AS chunk_count, a.chunk_no, header AS section,
                       regexp_extract(header, 'Article\s+(\d+\w?)', 1) AS article_id, 'article' AS type,

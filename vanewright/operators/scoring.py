@@ -6,25 +6,17 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.functions.scalars import field_of, positive_head
-from vanewright.operators import network
+from vanewright.plans.ordered import dense_index
 
 # A scorer maps (batch, steps, features) to (batch, 2): mean and uncertainty.
 Scorer = Callable[[np.ndarray], np.ndarray]
 
 
-def conv_scorer(params: network.Params) -> Scorer:
-    """The convolutional scorer with the given weights (about 0.2 million
-    numbers, fixed by the architecture, shipped with the task)."""
-    frozen = {k: np.asarray(v) for k, v in params.items()}
-    return lambda batch: network.forward(batch, frozen)
-
-
 def _tensor(batch: pa.RecordBatch, col: str, steps: int, features: Sequence[str]) -> np.ndarray:
     """Window column (list<struct<features>>) as a (rows, steps, features) array."""
     rows = batch.column(col).flatten()
@@ -57,6 +49,46 @@ def score_windows(df: DataFrame, scorer: Scorer, features: Sequence[str], size:
     return df.mapInArrow(run, schema)
 
 
+def score_series(df: DataFrame, scorer: Scorer, features: Sequence[str], order: Sequence[str], size: int = 30,
+                 keys: Sequence[str] = ("unit",), block: int = 4096, chunk: int = 1024) -> DataFrame:
+    """``sliding_windows`` and ``score_windows`` in one: rows that end a full window, with its scores.
+
+    A row is sent to Python once, in a block of consecutive rows of its group, and the last ``size - 1`` rows
+    of a block once more with the next; the windows are a view of the block's values, not copies.
+    """
+    if block < size:
+        raise ValueError("a block has to hold a window")
+    kept = df.columns
+    schema = df.select("*").schema
+    for name in ("predicted_rul", "predicted_std", "inference_latency_ms"):
+        schema = schema.add(name, "double")
+    own = F.floor(F.col("__i") / block).cast("long")
+    placed = dense_index(df, keys, order, "__i")
+    homes = F.when(F.col("__i") % block >= block - (size - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    rows = placed.withColumn("__home", F.explode(homes))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("__i").combine_chunks()
+        at = table.column("__i").to_numpy()
+        values = np.stack([table.column(f).to_numpy().astype(float) for f in features], axis=1)
+        ends = np.flatnonzero(at // block == table.column("__home")[0].as_py())
+        ends = ends[ends >= size - 1]
+        y, each = np.zeros((len(ends), 2)), np.zeros(len(ends))
+        if len(ends):
+            windows = np.lib.stride_tricks.sliding_window_view(values, size, axis=0).transpose(0, 2, 1)
+            for lo in range(0, len(ends), chunk):
+                some = slice(lo, min(lo + chunk, len(ends)))
+                began = time.perf_counter()
+                y[some] = scorer(windows[ends[some] - (size - 1)])
+                each[some] = (time.perf_counter() - began) * 1000 / (some.stop - lo)
+        out = table.select(kept).take(pa.array(ends))
+        for name, values in (("predicted_rul", y[:, 0]), ("predicted_std", y[:, 1]), ("inference_latency_ms", each)):
+            out = out.append_column(name, pa.array(values))
+        return out
+
+    return rows.groupBy(*keys, "__home").applyInArrow(run, schema)
+
+
 def linear_score(df: DataFrame, weights: dict[str, float], bias: float = 0.0,
                  std_bias: float = 0.0, window: str = "window") -> DataFrame:
     """A scorer that stays on the JVM side: weighted sum of the window means

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewright.plans.ordered import dense_index, framed, running_sum, take_per_group
-from vanewright.plans.sizing import attach_group, lookup_join
+from vanewright.plans.sizing import attach_group, hot_groups, lookup_join
 
 
 def moving_average(df: DataFrame, features: Sequence[str], order: Sequence[str], n: int = 10,
@@ -79,7 +79,10 @@ def training_windows(df: DataFrame, features: Sequence[str], order: Sequence[str
     """
     g = math.gcd(win_length, win_step)
     per_window = win_length // g
-    placed = dense_index(df, keys, order, "__i")
+    # Blocks are fewer than rows: where no group of rows is hot, none of blocks is, and counting them again
+    # would compute all of this twice.
+    small = hot_groups(df, keys) is None
+    placed = dense_index(df, keys, order, "__i", small=small)
     thin = placed.where(F.col("__i") % skip_obs == 0) \
                  .withColumn("__t", F.floor(F.col("__i") / skip_obs).cast("long"))
     row = F.struct("__t", F.struct(*features).alias("x"), F.col(label).alias("y"))
@@ -90,7 +93,7 @@ def training_windows(df: DataFrame, features: Sequence[str], order: Sequence[str
     def exprs(spec):
         frame = spec.rowsBetween(-(per_window - 1), 0)
         return {"__run": F.collect_list("__rows").over(frame)}
-    runs = framed(blocks, keys, ["__b"], per_window - 1, exprs)
+    runs = framed(blocks, keys, ["__b"], per_window - 1, exprs, small)
     start = (F.col("__b") - (per_window - 1)) * g
     return (runs.where((F.size("__run") == per_window) & (start % win_step == 0))
                 .select(*keys, start.alias("window_start"),

@@ -86,8 +86,8 @@ def _join_offsets(df: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                name: str = "row_idx", total: str | None = None) -> DataFrame:
-    """Zero-based position of each row in its group; optionally the group size."""
+                name: str = "row_idx", total: str | None = None, small: bool = False) -> DataFrame:
+    """Zero-based position of each row in its group; optionally the group size.  ``small`` as in ``split_by_heat``."""
 
     def plain(part: DataFrame) -> DataFrame:
         spec = _ordered(keys, order)
@@ -107,7 +107,7 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             out = out.withColumn(total, F.col("__total").cast("long"))
         return out.drop("__blk", "__pos", "__before", "__total")
 
-    return split_by_heat(df, keys, plain, hot)
+    return split_by_heat(df, keys, plain, hot, small)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -136,12 +136,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def framed(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int,
-           exprs: Callable[[WindowSpec], dict[str, Column]]) -> DataFrame:
+           exprs: Callable[[WindowSpec], dict[str, Column]], small: bool = False) -> DataFrame:
     """Add window expressions that look back at most ``before`` rows.
 
     ``exprs`` receives the ordered window (no frame set) and returns the new
     columns.  For a hot group each block of consecutive positions receives a
-    copy of the ``before`` rows ahead of it.
+    copy of the ``before`` rows ahead of it.  ``small`` as in ``split_by_heat``.
     """
 
     def plain(part: DataFrame) -> DataFrame:
@@ -160,7 +160,7 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int
         return (out.where(F.floor(F.col("__i") / width) == F.col("__home"))
                    .select(*cols, *[c for c in out.columns if c not in spread.columns]))
 
-    return split_by_heat(df, keys, plain, hot)
+    return split_by_heat(df, keys, plain, hot, small)
 
 
 def take_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

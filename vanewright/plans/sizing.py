@@ -147,10 +147,9 @@ def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
              .where(F.col("__n") > policy.hot_rows))
     if policy.max_hot:
         top = top.orderBy(F.desc("__n")).limit(policy.max_hot)
-    top = cut(top)
     # Held by the driver if its size is bounded, else a table on storage like any other.
     table = bounded_copy(top, policy.broadcast_rows)
-    table = top if table is None else table
+    table = cut(top) if table is None else table
     return None if table.isEmpty() else table
 
 
