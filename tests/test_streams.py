@@ -91,6 +91,30 @@ def test_late_packets_change_nothing(spark, source, delayed, tmp_path, drop_firs
     assert dropped == 1
 
 
+def test_state_grows_with_the_groups_not_with_units_and_buckets(spark, tmp_path):
+    """Packets of many units, one in a bucket; a null unit is a unit, and longs beside nulls keep their digits."""
+    far = 2**53 + 1
+    rows = [(u, 1, SHIFT + 1000 * (60 * at + (u or 0)), float(at), None if u == 1 else far + at)
+            for u in [None, *range(59)] for at in range(6)]
+    schema = "unit long, cycle int, timestamp_ms long, a double, mark long"
+    beat = spark.createDataFrame([(-1, 1, 10**9, 0.0, 0)], schema)
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/p=0")
+    for i in (1, 2):  # the second takes the batch in which the first has moved the watermark
+        beat.coalesce(1).write.parquet(f"{tmp_path}/in/p={i}")
+    want = sorted((str(u), a, str(m)) for u, _, _, a, m in rows if a >= 2)
+    for timed, most in ((False, 4), (True, 50)):
+        at = f"{tmp_path}/{timed}"
+        source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/p=*")
+        packets = pipeline.with_watermark(source, "1000 seconds") if timed else source
+        out = pipeline.stream_windows(packets, ["a"], 3, carry=["mark"], bucket_ms=100_000, groups=2)
+        q = (out.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/cp")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) <= most
+        got = spark.read.parquet(f"{at}/out").where("unit is null or unit >= 0").collect()
+        assert sorted((str(r["unit"]), r["window"][-1]["a"], str(r["mark"])) for r in got) == want
+
+
 def test_pipeline_end_to_end_and_restart(spark, source, tmp_path):
     path, pdf = source
 
