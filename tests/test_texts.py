@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from vanewright.operators import text as t
@@ -131,3 +132,15 @@ def test_whole_pages_are_checked(spark, tmp_path):
     assert got == [(0, "Introduction", 0), (1, "One", 1), (2, "Two", 2), (3, "Example", 2)]
     got = sorted((r["doc_id"], r["chunk_no"], r["chunk_count"], r["digest"]) for r in run["k8_fragment_rows"](spark, str(tmp_path)).collect())
     assert got == [(1, 0, 2, md5("Article 0 a\n\nb\nc")), (1, 1, 2, md5("Article 3 d\n\ne")), (2, 0, 1, md5("Article 0 x\n\n"))]
+
+
+def test_pages_reach_python_in_batches_of_bounded_size(spark):
+    pages = spark.range(3000, numPartitions=1).select("id", F.when(F.col("id") % 7 != 0, F.concat(
+        F.lit("<h1>"), F.col("id").cast("string"), F.lit("</h1><p>"), F.repeat(F.lit("word "), 2000))).alias("html"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.get_total_buffer_size()]})
+    assert max(r["bytes"] for r in pages.mapInArrow(sizes, "bytes long").collect()) < 20 << 20
+    got = t.html_to_markdown(pages, "html").select("id", F.substring_index("markdown", "\n", 1).alias("head")).collect()
+    assert sorted((r["id"], r["head"]) for r in got) == [(i, f"# {i}" if i % 7 else None) for i in range(3000)]

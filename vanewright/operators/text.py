@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,15 +196,20 @@ def html_to_markdown(df: DataFrame, html: str, drop_tags: Sequence[str] = ("scri
     ``<pre>`` becomes a code token and its text goes to the ``codes`` map.
     ``GUIDE_UNWRAP`` and ``LEGAL_UNWRAP`` are the lists of the two ingestion paths.
 
-    The only Python step of the document jobs: Arrow batches of one column.
+    The only Python step of the document jobs: Arrow batches of one column, bounded in bytes by the session
+    (``vanewright.session``), of which ``PAGES`` pages at a time are Python objects.
     """
     drop, unwrap = tuple(drop_tags), tuple(unwrap_tags)
 
-    @F.pandas_udf("struct<markdown string, codes map<string, string>>")
-    def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<markdown string, codes map<string, string>>")
+    def convert(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = [_convert(page, drop, protect_pre, unwrap) for page in batch]
-            yield pd.DataFrame(rows, columns=["markdown", "codes"])
+            for start in range(0, len(batch), PAGES):
+                rows = [_convert(page.as_py(), drop, protect_pre, unwrap) for page in batch.slice(start, PAGES)]
+                yield pa.StructArray.from_arrays([
+                    pa.array([m for m, _ in rows], pa.string()),
+                    pa.array([c if c is None else list(c.items()) for _, c in rows], pa.map_(pa.string(), pa.string()))],
+                    names=["markdown", "codes"])
 
     out = df.withColumn("__md", convert(F.col(html)))
     out = out.withColumn(name, F.col("__md.markdown"))
@@ -213,6 +218,9 @@ def html_to_markdown(df: DataFrame, html: str, drop_tags: Sequence[str] = ("scri
     return out.drop("__md")
 
 
+#: Pages that are converted before their Markdown leaves Python.
+PAGES = 64
+
 # Tags that the two ingestion paths unwrap.
 GUIDE_UNWRAP = ("script", "style", "nav", "footer")
 LEGAL_UNWRAP = ("script", "style", "img")
